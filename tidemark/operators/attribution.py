@@ -163,12 +163,14 @@ def visits_in_window(visits: DataFrame, users: DataFrame, days: int = 30, *,
 
 
 # --------------------------------------------------------------------- M3
-def referral_touches(referrals: DataFrame, users: DataFrame) -> DataFrame:
+def referral_touches(referrals: DataFrame, users: DataFrame, tiebreak=None) -> DataFrame:
     """M3: newest referral of each referred user as an ``mgm`` touch; its cost
-    is the reward when the referral is FINISHED, else 0."""
+    is the reward when the referral is FINISHED, else 0. ``tiebreak``
+    orders referrals made at the same instant (default: referrer id)."""
     ref = referrals.join(users.select(F.col("user_id").alias("referrer_id"), F.col("email").alias("__tm_email")),
                          on="referrer_id", how="inner")
-    ref = distinct_on(ref, ["referred_id"], [("created_at", "desc"), ("referrer_id", "asc")])
+    tb = list(tiebreak) if tiebreak is not None else [("referrer_id", "asc")]
+    ref = distinct_on(ref, ["referred_id"], [("created_at", "desc"), *tb])
     return ref.select(
         F.col("referred_id").alias("user_id"),
         F.col("created_at").alias("timestamp"),
@@ -203,12 +205,13 @@ def attribute_by_priority(touches: DataFrame, user: str = "user_id", ts: str = "
 
     PostgreSQL null order throughout (T1): a null class sorts last, a null
     timestamp sorts first among equals. Ties on both are broken by
-    ``tiebreak`` (default: source, campaign, path, referrer ascending).
+    ``tiebreak`` (default: source, campaign, path, referrer, content, term, cost).
     Written as one ``row_number() == 1`` so the partial ``WindowGroupLimit``
     reduces each user's touches before the shuffle.
     """
-    tb = list(tiebreak) if tiebreak is not None else [("source", "asc"), ("campaign", "asc"),
-                                                      ("path", "asc"), ("referrer", "asc")]
+    tb = list(tiebreak) if tiebreak is not None else [
+        ("source", "asc"), ("campaign", "asc"), ("path", "asc"), ("referrer", "asc"), ("content", "asc"),
+        ("term", "asc"), ("mgm_cost", "asc")]
     ranked = touches.withColumn("medium_priority", medium_priority("medium"))
     return distinct_on(ranked, [user], [("medium_priority", "asc"), (ts, "desc"), *tb])
 
