@@ -11,10 +11,8 @@ for _module in (basic,):
     REGISTRY.update(_module.REGISTRY)
     ORACLE.update(_module.ORACLE)
 
-try:  # composite marts and IO queries
-    from tidemark.plans import mart_queries
+from tidemark.plans import io_queries, mart_queries  # noqa: E402
 
-    REGISTRY.update(mart_queries.REGISTRY)
-    ORACLE.update(mart_queries.ORACLE)
-except ImportError:  # pragma: no cover - during incremental development
-    pass
+for _module in (mart_queries, io_queries):
+    REGISTRY.update(_module.REGISTRY)
+    ORACLE.update(_module.ORACLE)

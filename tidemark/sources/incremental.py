@@ -50,7 +50,10 @@ def max_updated_at(spark: SparkSession, target: str, ts_col: str = "updated_at")
         if not spark.catalog.tableExists(target):
             return None
         df = spark.table(target)
-    row = df.agg(F.max(ts_col).alias("m")).first()
+    col = F.col(ts_col)
+    if df.schema[ts_col].dataType.typeName() == "timestamp":
+        col = col.cast("timestamp_ntz")  # wall clock in the session zone, no local-zone conversion
+    row = df.agg(F.max(col).alias("m")).first()
     return None if row is None else row["m"]
 
 
@@ -69,14 +72,17 @@ def incremental_load(
     now: datetime | None = None,
     schema=None,
     literal: str = "TIMESTAMP('{}')",
+    mark_col: str | None = None,
 ) -> list[tuple[datetime, datetime]]:
     """IO5: append the rows of ``source_table`` newer than the target's mark.
 
     Returns the windows that were loaded (empty when there is nothing new).
     ``now`` is an argument so a run is reproducible; it defaults to the
-    wall clock.
+    wall clock. ``ts_col`` is the column as the source database spells it
+    (quoted if needed); ``mark_col`` is its name in the target (default the
+    same).
     """
-    mark = max_updated_at(spark, target, ts_col)
+    mark = max_updated_at(spark, target, mark_col or ts_col)
     if mark is not None:
         start = mark + timedelta(microseconds=1)
     else:
