@@ -24,9 +24,11 @@ from tidemark.session import BROADCAST_LIMIT_BYTES
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate for ``df`` (no job is run)."""
+    """Catalyst's size estimate for ``df`` from its analysed plan (no job is
+    run and no optimiser pass is triggered; file scans report file sizes, so
+    this is an upper bound)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
     except Exception:  # pragma: no cover - estimate unavailable
         return 1 << 62
 

@@ -24,6 +24,7 @@ from tidemark.plans.fixtures import (
     fixture_cte,
 )
 from tidemark.operators.reshape import date_spine
+from tidemark.sources.files import stage_table
 
 REGISTRY: dict[str, object] = {}
 ORACLE: dict[str, str] = {}
@@ -428,7 +429,8 @@ _ACQ_FINAL = ("SELECT rf._date, rf.medium_agg, rf.source, rf.campaign_agg, rf.co
 
 @register("acquisition_daily", ua_sql(_ACQ_FINAL, fixtures=UA_FIXTURES + ("ads_cost",), extra=_ACQ_EXTRA))
 def acquisition_daily(spark: SparkSession, sf: str) -> DataFrame:
-    att = _user_attribution(spark, sf)
+    # the attribution mart is a table upstream and is read twice here
+    att = stage_table(_user_attribution(spark, sf), "user_attribution")
     spine = date_spine(spark, SPINE_START, SPINE_END)
     return marts.acquisition_daily(att, Fixtures(spark, sf).ads_cost, spine)
 
@@ -634,9 +636,13 @@ fin AS (
 
 
 def _financial(spark: SparkSession, sf: str) -> DataFrame:
+    """The coupon fact and the transaction ledger are tables upstream of the
+    daily mart and each is read five or six times by it, so both are
+    written once to the shared folder and re-read."""
     fx = Fixtures(spark, sf)
-    cf = _coupons_finished(fx)
-    return marts.financial_daily(fx.transactions_finished, cf, fx.league_points, fx.coupon_items, fx.challenges,
+    cf = stage_table(_coupons_finished(fx), "coupons_finished")
+    tf = stage_table(fx.transactions_finished, "transactions_finished")
+    return marts.financial_daily(tf, cf, fx.league_points, fx.coupon_items, fx.challenges,
                                  fx.users, league_since=LEAGUE_SINCE,
                                  subscription_users_since=SUBSCRIPTION_USERS_SINCE)
 

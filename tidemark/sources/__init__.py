@@ -7,6 +7,7 @@ from tidemark.sources.files import (  # noqa: F401
     materialize,
     read_source,
     split_extract,
+    stage_table,
 )
 from tidemark.sources.jdbc import (  # noqa: F401
     plan_windows,

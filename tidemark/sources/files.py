@@ -112,6 +112,21 @@ def materialize(
     return target
 
 
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and
+    return the re-read table.
+
+    Used where a model is a table in the pipelines and is read several
+    times downstream: lineage is cut (a lost executor re-reads files instead
+    of recomputing the upstream joins) and later reads get column pruning
+    and filter push-down.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def create_view(spark: SparkSession, df_or_sql, name: str) -> DataFrame:
     """IO11: create or replace a (temporary) view from a DataFrame or SQL text."""
     df = spark.sql(df_or_sql) if isinstance(df_or_sql, str) else df_or_sql
