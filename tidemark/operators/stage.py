@@ -82,6 +82,17 @@ def _order(spec: OrderSpec, pg_nulls: bool = False) -> list[Column]:
     return out
 
 
+def ordered(df: DataFrame, order: OrderSpec, pg_nulls: bool = False, within_partitions: bool = False) -> DataFrame:
+    """O1/O3: final sort with explicit direction and null placement.
+
+    Only meant for a sink (a view has no order). ``within_partitions=True``
+    sorts each output file instead of the whole result, which avoids the
+    range shuffle of a global sort when only file-level order matters.
+    """
+    cols = _order(order, pg_nulls)
+    return df.sortWithinPartitions(*cols) if within_partitions else df.orderBy(*cols)
+
+
 def ranked(df: DataFrame, keys: Sequence[str], order: OrderSpec, name: str = "rn",
            pg_nulls: bool = False) -> DataFrame:
     """``row_number() over (partition by keys order by order)`` kept as
@@ -150,7 +161,8 @@ def _skew_safe_rank(df: DataFrame, keys: Sequence[str], order: OrderSpec, name:
     sorted_df = df.orderBy(*ordering).withColumn(pid, F.spark_partition_id())
     w_in = Window.partitionBy(pid, *keys).orderBy(*ordering)
     local = sorted_df.withColumn(pos, F.row_number().over(w_in))
-    counts = sorted_df.groupBy(pid, *keys).agg(F.count(F.lit(1)).alias("__tm_n"))
+    # counts come from the same positions, so both sides of the join agree
+    counts = local.groupBy(pid, *keys).agg(F.max(pos).alias("__tm_n"))
     w_off = Window.partitionBy(*keys).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__tm_off", F.coalesce(F.sum("__tm_n").over(w_off), F.lit(0)))
     joined = local.join(offsets.drop("__tm_n"), on=[pid, *keys], how="inner")

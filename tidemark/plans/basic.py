@@ -470,17 +470,16 @@ def conditional_pivot_sums(spark: SparkSession, sf: str) -> DataFrame:
         case_label([(F.col("o_orderstatus") == "F", "PAYIN"), (F.col("o_orderstatus") == "O", "PAYOUT")],
                    default="COUPON").alias("type"),
         money("o_totalprice").alias("amount"))
-    ty, amt = F.col("type"), F.col("amount")
     rules = {
-        "coupons": (ty == "COUPON", amt),
-        "payin": (ty == "PAYIN", amt),
-        "payout_abs": (ty == "PAYOUT", amt),
-        "payout": (ty == "PAYOUT", -amt),
-        "payout_abs2": (ty == "PAYOUT", F.abs(amt)),
-        "payin_payout_balance": aggs.cond_sum(ty == "PAYIN", amt) - aggs.cond_sum(ty == "PAYOUT", amt),
+        "coupons": (("COUPON",), "value"),
+        "payin": (("PAYIN",), "value"),
+        "payout_abs": (("PAYOUT",), "value"),
+        "payout": (("PAYOUT",), "neg"),
+        "payout_abs2": (("PAYOUT",), "abs"),
     }
-    general = aggs.pivot_sums(ledger, ["reference_date"], rules)
-    per_segment = aggs.pivot_sums(ledger, ["reference_date", "segment"], rules)
+    derived = {"payin_payout_balance": (("PAYIN",), ("PAYOUT",))}
+    general = aggs.pivot_by_type(ledger, ["reference_date"], "type", "amount", rules, derived)
+    per_segment = aggs.pivot_by_type(ledger, ["reference_date", "segment"], "type", "amount", rules, derived)
     return aggs.with_general(general, per_segment, "segment")
 
 

@@ -678,3 +678,64 @@ LEFT JOIN users uf ON uf.tel = replace(m."from", 'whatsapp:', '')""")
 def message_log(spark: SparkSession, sf: str) -> DataFrame:
     fx = Fixtures(spark, sf)
     return marts.message_log(fx.messages, fx.users)
+
+
+# ------------------------------------------------------------- M24 / M25
+@register("exchange_series", """
+WITH rates AS (SELECT CAST(o_orderdate AS DATE) AS reference_date, CAST(min(o_totalprice) AS DECIMAL(18,2)) AS exchange
+               FROM orders WHERE o_orderpriority <> '3-MEDIUM' GROUP BY 1),
+spine AS (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-08-01', INTERVAL 1 DAY)) AS DATE) AS _date),
+weekly AS (SELECT CAST(date_trunc('week', reference_date) AS DATE) AS wk, avg(exchange) AS exchange FROM rates GROUP BY 1)
+SELECT s._date AS reference_date, CAST(round(coalesce(r.exchange, w.exchange), 4) AS DECIMAL(18,4)) AS exchange
+FROM spine s
+LEFT JOIN rates r ON r.reference_date = s._date
+LEFT JOIN weekly w ON CAST(date_trunc('week', s._date) AS DATE) = w.wk AND r.exchange IS NULL
+""")
+def exchange_series(spark: SparkSession, sf: str) -> DataFrame:
+    """M24 on a calendar from a fixed start to ``as_of`` (here the last order
+    day); rates of one priority are dropped so whole weeks go missing."""
+    from tidemark.sources.files import Tables
+    o = Tables(spark, sf).orders.where(F.col("o_orderpriority") != "3-MEDIUM")
+    rates = o.groupBy(F.to_date("o_orderdate").alias("reference_date")).agg(
+        F.min("o_totalprice").cast("decimal(18,2)").alias("exchange"))
+    out = marts.exchange_series(rates, date_spine(spark, SPINE_START, SPINE_END))
+    return out.withColumn("exchange", F.col("exchange").cast("decimal(18,4)"))
+
+
+@register("ads_cost_series", fixture_cte("ads_cost") + f"""
+SELECT CAST(reference_date AS DATE) AS reference_date, cost, font FROM ads_cost
+WHERE CAST(reference_date AS DATE) < DATE '{AS_OF}'""")
+def ads_cost_series(spark: SparkSession, sf: str) -> DataFrame:
+    """The long cost table, days before ``as_of`` only."""
+    return marts.ads_cost_series(Fixtures(spark, sf).ads_cost, AS_OF)
+
+
+# ------------------------------------------------------------- M28 / M30
+@register("ads_staging", """
+SELECT CAST(l_orderkey AS VARCHAR) AS ad_id, CAST(l_partkey AS VARCHAR) AS campaign_id,
+  CAST(l_discount AS FLOAT) AS cpc, CAST(l_tax AS FLOAT) AS ctr, CAST(l_extendedprice AS FLOAT) AS spend,
+  CAST(l_shipdate AS DATE) AS date_start
+FROM lineitem""")
+def ads_staging(spark: SparkSession, sf: str) -> DataFrame:
+    """Ad-platform staging — rename ids, rates and spend to 32-bit
+    float (``::float`` is single precision in Spark SQL)."""
+    from tidemark.operators.stage import stage
+    from tidemark.sources.files import Tables
+    li = Tables(spark, sf).lineitem
+    return stage(li, [("l_orderkey", "ad_id"), ("l_partkey", "campaign_id"), ("l_discount", "cpc"),
+                      ("l_tax", "ctr"), ("l_extendedprice", "spend"), (F.to_date("l_shipdate"), "date_start")],
+                 casts={"ad_id": "string", "campaign_id": "string", "cpc": "float", "ctr": "float", "spend": "float"})
+
+
+@register("event_staging", """
+SELECT event_id AS id, user_id, event_type AS event, props AS context,
+  CAST((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/Sao_Paulo' AS TIMESTAMP) AS "timestamp", ts AS received_at
+FROM events""")
+def event_staging(spark: SparkSession, sf: str) -> DataFrame:
+    """Event staging — projection, renamed id, local wall-clock time."""
+    from tidemark.functions import to_local
+    from tidemark.operators.stage import stage
+    from tidemark.sources.files import Tables
+    ev = Tables(spark, sf).events
+    return stage(ev, [("event_id", "id"), "user_id", ("event_type", "event"), ("props", "context"),
+                      (to_local("ts"), "timestamp"), ("ts", "received_at")])

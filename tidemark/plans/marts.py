@@ -247,14 +247,9 @@ def typed_ledger(tf: DataFrame, coupons: DataFrame, league_points: DataFrame, co
             "bonus_converted": bonus_converted, "bonus_received": bonus_received, "payin_payout": payin_payout}
 
 
-def _financial_rules() -> dict:
-    ty, amt = F.col("type"), F.col("amount")
-    rules = {}
-    for name, types, how in FINANCIAL_MEASURES:
-        v = F.abs(amt) if how == "abs" else (-amt if how == "neg" else amt)
-        rules[name] = (ty.isin(*types), v)
-    rules["payin_payout_balance"] = aggs.cond_sum(ty == "PAYIN", amt) - aggs.cond_sum(ty == "PAYOUT", amt)
-    return rules
+def _financial_rules() -> tuple[dict, dict]:
+    rules = {name: (types, {"amount": "value"}.get(how, how)) for name, types, how in FINANCIAL_MEASURES}
+    return rules, {"payin_payout_balance": (("PAYIN",), ("PAYOUT",))}
 
 
 FINANCIAL_COLUMNS = ("reference_date", "gamemode", "league_entrance", "subscription_old_user", "coupons",
@@ -282,9 +277,9 @@ def financial_daily(tf: DataFrame, coupons: DataFrame, league_points: DataFrame,
         fanned[name] = joins.fan_out(feeds[name], modes, "user_id", "gamemode", DEFAULT_GAMEMODE).select(*_LEDGER_COLS)
     general_src = stage.stack_rows(*feeds.values())
     mode_src = stage.stack_rows(*fanned.values())
-    rules = _financial_rules()
-    general = aggs.pivot_sums(general_src, ["reference_date"], rules)
-    per_mode = aggs.pivot_sums(mode_src, ["reference_date", "gamemode"], rules)
+    rules, derived = _financial_rules()
+    general = aggs.pivot_by_type(general_src, ["reference_date"], "type", "amount", rules, derived)
+    per_mode = aggs.pivot_by_type(mode_src, ["reference_date", "gamemode"], "type", "amount", rules, derived)
     unified = aggs.with_general(general, per_mode, "gamemode")
 
     mu = aggs.monthly_active(coupons, "created_at", "user_id").withColumn("gamemode", F.lit("GENERAL"))
