@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import text_to_date, try_number, week_start
+from tidemark.operators import joins
 from tidemark.operators.aggs import weekly_mean
 
 # Load-metadata columns of the wide cost sheet, never measures.
@@ -63,25 +64,23 @@ def fill_from_week(spine: DataFrame, values: DataFrame, date_col: str, value: st
     """Value of each calendar day; a day without a value takes the
     mean of its (Monday) week, and a week without any value stays null.
 
-    Joins: spine ⟕ values on day (J13), then ⟕ weekly means on week only for
-    rows still missing a value (J12, J16).
+    Calendar ⟕ daily values on the day (J13), then the weekly mean joined
+    on the week only for rows still missing a value (J12 with J16's key
+    expression), rounded.
     """
-    daily = values.select(F.to_date(date_col).alias("__tm_day"), F.col(value).alias("__tm_v"))
-    weekly = weekly_mean(values, date_col, value, week_col="__tm_week", name="__tm_w")
-    out = spine.join(daily, on=F.col(spine_col) == F.col("__tm_day"), how="left")
-    out = out.join(weekly, on=(week_start(spine_col) == F.col("__tm_week")) & F.col("__tm_v").isNull(),
-                   how="left")
-    return out.select(F.col(spine_col).alias(out_date),
-                      F.round(F.coalesce("__tm_v", "__tm_w"), round_to).alias(value))
+    daily = values.select(F.to_date(date_col).alias("__tm_day"), F.col(value))
+    weekly = weekly_mean(values, date_col, value, week_col="__tm_week", name=value)
+    out = joins.fallback_lookup(spine, daily, [(F.col(spine_col), "__tm_day")],
+                                weekly, [(week_start(spine_col), "__tm_week")], value, name="__tm_filled")
+    return out.select(F.col(spine_col).alias(out_date), F.round("__tm_filled", round_to).alias(value))
 
 
 def fill_spine(spine: DataFrame, df: DataFrame, date_col: str, keys: Sequence[str],
                zero_sums: Sequence[str], sums: Sequence[str], spine_col: str = "_date") -> DataFrame:
     """Calendar ⟕ data, grouped by (day, keys). Days without data get one
     row with null keys; ``zero_sums`` become 0 there, ``sums`` stay null."""
-    joined = spine.join(df, on=F.col(spine_col) == F.col(date_col), how="left")
-    if date_col != spine_col:
-        joined = joined.drop(date_col)
+    data = df.withColumnRenamed(date_col, spine_col) if date_col != spine_col else df
+    joined = joins.on_spine(spine, data, spine_col)
     aggs = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in zero_sums]
     aggs += [F.sum(c).alias(c) for c in sums]
     return joined.groupBy(spine_col, *keys).agg(*aggs)

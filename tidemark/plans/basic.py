@@ -633,3 +633,9 @@ GROUP BY 1, 2 HAVING count(*) > 1
 """)
 def unique_checks(spark: SparkSession, sf: str) -> DataFrame:
     return checks.check_unique(Tables(spark, sf).lineitem, ["l_orderkey", "l_linenumber"])
+
+
+@register("passthrough_staging", "SELECT vec_id AS id, embedding, label FROM embeddings")
+def passthrough_staging(spark: SparkSession, sf: str) -> DataFrame:
+    """Staging that carries nested columns (here an array) unchanged."""
+    return stage.stage(Tables(spark, sf).embeddings, [("vec_id", "id"), "embedding", "label"])

@@ -47,10 +47,25 @@ class Tables:
         return read_source(self.spark, self.directory, name)
 
 
+def _norm_path(p: str) -> str:
+    for prefix in ("file://", "file:"):
+        if p.startswith(prefix):
+            p = p[len(prefix):]
+    return "/" + p.lstrip("/").rstrip("/")
+
+
 def _reads_target(df: DataFrame, target: str) -> bool:
-    """True when the plan of ``df`` scans the table or path being overwritten."""
+    """True when ``df`` reads the path or catalog table being overwritten.
+
+    Paths: compare with the frame's input files (file listing metadata, no
+    job). Tables: look for the table identifier in the analysed plan.
+    """
+    if "/" in target or target.startswith("file:"):
+        root = _norm_path(target) + "/"
+        return any(_norm_path(f).startswith(root) for f in df.inputFiles())
     plan = df._jdf.queryExecution().analyzed().toString()
-    return target in plan
+    name = target.split(".")[-1].strip("`")
+    return f".{name}" in plan or f" {name}" in plan
 
 
 def materialize(
