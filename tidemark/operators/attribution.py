@@ -149,12 +149,20 @@ def classify_visits(visits: DataFrame, campaign_dim: DataFrame | None = None, *,
     return out.drop("__tm_infl") if campaign_dim is not None else out
 
 
-def visits_in_window(visits: DataFrame, users: DataFrame, days: int = 30, *,
+def visits_in_window(visits: DataFrame, users: DataFrame | None, days: int = 30, *,
                      visit_ts: str = "timestamp", signup_ts: str = "created_at",
                      own_site_like: str | None = None) -> DataFrame:
     """J7 + M2 filter: visits of each user in the ``days`` days up to sign-up
-    (both ends inclusive); referrers of the own site are excluded."""
-    out = visits.join(users.select("user_id", F.col(signup_ts).alias("__tm_signup")), on="user_id", how="inner")
+    (both ends inclusive); referrers of the own site are excluded.
+
+    With ``users=None`` the visits already carry the sign-up time in
+    ``signup_ts`` (e.g. from :func:`resolve_identity`), so no second join to
+    the users is made; the column is dropped from the result.
+    """
+    if users is not None:
+        out = visits.join(users.select("user_id", F.col(signup_ts).alias("__tm_signup")), on="user_id", how="inner")
+    else:
+        out = visits.withColumnRenamed(signup_ts, "__tm_signup")
     out = out.where(F.col(visit_ts).between(F.col("__tm_signup") - F.make_dt_interval(F.lit(days)),
                                             F.col("__tm_signup")))
     if own_site_like:

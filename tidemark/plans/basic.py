@@ -639,3 +639,21 @@ def unique_checks(spark: SparkSession, sf: str) -> DataFrame:
 def passthrough_staging(spark: SparkSession, sf: str) -> DataFrame:
     """Staging that carries nested columns (here an array) unchanged."""
     return stage.stage(Tables(spark, sf).embeddings, [("vec_id", "id"), "embedding", "label"])
+
+
+@register("coalesced_lookup", """
+SELECT e.event_id, coalesce(c1.c_name, c2.c_name) AS name,
+       replace(coalesce(c1.c_name, c2.c_name), '#', ' ') AS label
+FROM events e
+LEFT JOIN customer c1 ON c1.c_custkey = CASE WHEN e.event_type IN ('click', 'view') THEN e.user_id END
+LEFT JOIN customer c2 ON c2.c_custkey = e.user_id + 100
+""")
+def coalesced_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Two look-ups on one dimension, first hit wins — the customer by
+    the event's own number for click/view events, else by a second key."""
+    t = Tables(spark, sf)
+    ev = t.events.select("event_id", "user_id", "event_type").withColumns({
+        "k1": F.when(F.col("event_type").isin("click", "view"), F.col("user_id")),
+        "k2": F.col("user_id") + 100})
+    out = joins.coalesced_lookup(ev, t.customer, ["k1", "k2"], "c_custkey", "c_name", name="name")
+    return out.select("event_id", "name", replace_text("name", "#", " ").alias("label"))

@@ -292,7 +292,7 @@ def classify_visits(spark: SparkSession, sf: str) -> DataFrame:
     ins = _ua_inputs(fx)
     v = attribution.resolve_identity(ins["pages"], ins["id_graph"], ins["identifiers"],
                                      ins["users"].select("user_id", "created_at"))
-    v = attribution.visits_in_window(v.drop("created_at"), ins["users"], 30, own_site_like=marts.OWN_SITE_REFERRER)
+    v = attribution.visits_in_window(v, None, 30, own_site_like=marts.OWN_SITE_REFERRER)
     v = attribution.classify_visits(v, ins["campaign_dim"])
     return v.select("page_id", "user_id", "medium", "source", "campaign", "content", "term")
 
@@ -739,3 +739,48 @@ def event_staging(spark: SparkSession, sf: str) -> DataFrame:
     ev = Tables(spark, sf).events
     return stage(ev, [("event_id", "id"), "user_id", ("event_type", "event"), ("props", "context"),
                       (to_local("ts"), "timestamp"), ("ts", "received_at")])
+
+
+# ---------------------------------------------------------------- M2 on pages
+_PAGE_VISITS = r"""
+visits AS (
+  SELECT page_id,
+    nullif(regexp_extract(url, 'utm_source=([^&#]+)', 1), '') AS campaign_source,
+    CAST(NULL AS VARCHAR) AS campaign_medium,
+    nullif(regexp_extract(url, '[?&]ref=([^&#]+)', 1), '') AS campaign_name,
+    CAST(NULL AS VARCHAR) AS campaign_content, CAST(NULL AS VARCHAR) AS campaign_term,
+    regexp_extract(url, '^https?://[^/]+(/[^?#]*)', 1) AS path,
+    CASE WHEN url LIKE '%#top' THEN NULL ELSE url END AS referrer
+  FROM pages)"""
+
+
+@register("classify_pages", f"""WITH {_PAGE_VISITS}
+SELECT page_id,
+  CASE WHEN campaign_source IN ('influencer', 'influencers') THEN 'influencer'
+       WHEN campaign_medium IS NOT NULL THEN campaign_medium
+       WHEN path LIKE '%blog%' THEN 'search-blog'
+       WHEN regexp_matches(referrer, '({SEARCH})') THEN 'search-brand'
+       WHEN regexp_matches(referrer, '({SOCIAL})') THEN 'social'
+       WHEN referrer IS NULL THEN 'direct' ELSE 'referral' END AS medium,
+  CASE WHEN campaign_source IN ('influencer', 'influencers') THEN NULL
+       WHEN campaign_source IS NOT NULL THEN campaign_source
+       WHEN path LIKE '%blog%' THEN path
+       WHEN regexp_matches(referrer, '({SEARCH}{SOCIAL})') THEN regexp_extract(referrer, '({SEARCH}{SOCIAL})', 1)
+       WHEN referrer IS NULL THEN 'direct' ELSE referrer END AS source,
+  coalesce(campaign_name, CASE WHEN path LIKE '%blog%' THEN path END) AS campaign
+FROM visits""")
+def classify_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """M2/S9/T4 on the raw page table: every URL is parsed (path, campaign
+    parameters) with regex and classified by the ordered rules."""
+    from tidemark.sources.files import Tables
+    p = Tables(spark, sf).pages.select("page_id", "url")
+    visits = p.select(
+        "page_id",
+        F.nullif(F.regexp_extract("url", r"utm_source=([^&#]+)", 1), F.lit("")).alias("campaign_source"),
+        F.lit(None).cast("string").alias("campaign_medium"),
+        F.nullif(F.regexp_extract("url", r"[?&]ref=([^&#]+)", 1), F.lit("")).alias("campaign_name"),
+        F.lit(None).cast("string").alias("campaign_content"), F.lit(None).cast("string").alias("campaign_term"),
+        F.regexp_extract("url", r"^https?://[^/]+(/[^?#]*)", 1).alias("path"),
+        F.when(F.col("url").like("%#top"), F.lit(None)).otherwise(F.col("url")).alias("referrer"))
+    out = attribution.classify_visits(visits)
+    return out.select("page_id", "medium", "source", "campaign")

@@ -356,8 +356,7 @@ def attributed_touches(*, users: DataFrame, pages: DataFrame, id_graph: DataFram
     classified (M2), plus referral touches (M3); one touch per user by
     priority (M4) with rollup labels (M5)."""
     visits = attribution.resolve_identity(pages, id_graph, identifiers, users.select("user_id", "created_at"))
-    visits = attribution.visits_in_window(visits.drop("created_at"), users, window_days,
-                                          own_site_like=own_site_like)
+    visits = attribution.visits_in_window(visits, None, window_days, own_site_like=own_site_like)
     visits = attribution.classify_visits(visits, campaign_dim, fix_join=fix_source_regex)
     touches = visits.select("user_id", "timestamp", "medium", "source", "path", "referrer", "campaign",
                             "content", "term", F.lit(0).cast("decimal(20,5)").alias("mgm_cost"))

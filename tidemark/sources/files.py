@@ -14,17 +14,29 @@ from tidemark.session import checkpoint_dir
 SINK_FORMATS = ("parquet", "orc", "delta", "jdbc", "table")
 
 
+_READERS: dict = {}
+
+
 def read_source(spark: SparkSession, location: str, name: str | None = None) -> DataFrame:
     """IO1: read a named source.
 
     ``location`` is either a folder holding ``<name>.parquet`` or, when
-    ``name`` is None, a catalog table name or a parquet path.
+    ``name`` is None, a catalog table name or a parquet path. The reader of
+    a parquet source is kept per session (a DataFrame is immutable), so its
+    file listing and footer schema are read once, not at every use.
     """
     if name is None:
         if spark.catalog.tableExists(location):
             return spark.table(location)
-        return spark.read.parquet(location)
-    return spark.read.parquet(f"{location.rstrip('/')}/{name}.parquet")
+        path = location
+    else:
+        path = f"{location.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _READERS.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _READERS[key] = df
+    return df
 
 
 class Tables:
