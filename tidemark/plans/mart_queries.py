@@ -784,3 +784,25 @@ def classify_pages(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("url").like("%#top"), F.lit(None)).otherwise(F.col("url")).alias("referrer"))
     out = attribution.classify_visits(visits)
     return out.select("page_id", "medium", "source", "campaign")
+
+
+# ------------------------------------------------------------ Q3 on marts
+@register("grain_checks", fixture_cte(*COUPON_FIXTURES) + COUPON_CTES + """
+SELECT 'banned_users' AS table_name, 'user_id' AS column_name, 'not_null' AS test,
+       CAST(count(*) FILTER (WHERE user_id IS NULL) AS BIGINT) AS failures FROM banned
+UNION ALL SELECT 'banned_users', 'user_id', 'unique', CAST(count(user_id) - count(DISTINCT user_id) AS BIGINT) FROM banned
+UNION ALL SELECT 'coupons_finished', 'coupon_id', 'not_null',
+       CAST(count(*) FILTER (WHERE coupon_id IS NULL) AS BIGINT) FROM cf
+UNION ALL SELECT 'coupons_finished', 'coupon_id', 'unique', CAST(count(coupon_id) - count(DISTINCT coupon_id) AS BIGINT) FROM cf
+""")
+def grain_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Q3 on the composites' grain, as the source schema tests state it: one
+    row per banned user, one row per finished coupon. The coupon grain is
+    broken by duplicate match-player keys in the inputs (T19) and the check
+    reports how many extra rows that makes."""
+    from tidemark.operators.checks import run_checks
+    fx = Fixtures(spark, sf)
+    return run_checks({"banned_users": _banned(fx), "coupons_finished": _coupons_finished(fx)}, {
+        "banned_users": {"not_null": ["user_id"], "unique": ["user_id"]},
+        "coupons_finished": {"not_null": ["coupon_id"], "unique": ["coupon_id"]},
+    })

@@ -34,7 +34,14 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "16g"))
-        .config("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        # one broadcast bound for the planner, AQE and broadcast_if_small
+        .config("spark.sql.autoBroadcastJoinThreshold", str(BROADCAST_LIMIT_BYTES))
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", str(BROADCAST_LIMIT_BYTES))
+        # AQE sizes reducers to ~128 MiB and splits partitions over 256 MiB
+        # that are 5x the median (hot keys); a cluster run starts from many
+        # shuffle partitions (TIDEMARK_SHUFFLE_PARTITIONS) and lets AQE coalesce.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(128 * 1024 * 1024))
+        .config("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", str(256 * 1024 * 1024))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
