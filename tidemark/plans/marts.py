@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import as_col, days_between, flag, local_date, money, month_start, to_local
 from tidemark.operators import aggs, attribution, joins, reshape, stage
 from tidemark.operators.joins import broadcast_if_small
+from tidemark.sources.files import stage_table
 
 # ====================================================================== M17
 # Gateway and status of the payout attempts that count.
@@ -382,8 +383,9 @@ def user_attribution(*, users: DataFrame, pages: DataFrame, id_graph: DataFrame,
     cost per lead (CPL) and per activation (CAC), and cohort value sums.
 
     The per-user attributed frame feeds six look-ups (CPL, CAC, both
-    untracked-cost anti joins, the final join); with ``persist`` it is kept
-    once (memory and disk) instead of being recomputed per use.
+    untracked-cost anti joins, the final join); with ``persist`` it is
+    written once as parquet under the shared checkpoint folder and re-read,
+    instead of being recomputed per use.
     ``return_parts`` returns the intermediate frames by name instead.
     """
     att = attributed_touches(users=users, pages=pages, id_graph=id_graph, identifiers=identifiers,
@@ -411,7 +413,9 @@ def user_attribution(*, users: DataFrame, pages: DataFrame, id_graph: DataFrame,
         attribution.bucket("first_coupon_gamemode").alias("first_coupon_gamemode"),
         F.coalesce("first_coupon_gamemode", F.lit("None")).alias("original_gamemode"))
     if persist:
-        act = act.persist()
+        # read six times below: written once to the shared folder, which also
+        # keeps every later plan small (analysis cost grows with plan size)
+        act = stage_table(act, "attribution_base")
 
     google, facebook = network_costs(google_reports, fb_insights, fb_ads, fb_campaigns)
     costs = {"adwords": google.cost, "facebook-ads": facebook.cost}
