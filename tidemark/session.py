@@ -33,6 +33,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Python call-site capture only enriches error messages but costs
+        # several JVM round trips per Column call while plans are built
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "16g"))
         # one broadcast bound for the planner, AQE and broadcast_if_small
         .config("spark.sql.autoBroadcastJoinThreshold", str(BROADCAST_LIMIT_BYTES))
