@@ -48,22 +48,22 @@ def pivot_sums(df: DataFrame, keys: Sequence, rules: Mapping[str, tuple], round_
     return df.groupBy(*keys).agg(*exprs)
 
 
-def pivot_by_type(df: DataFrame, keys: Sequence, type_col: str, value_col: str,
-                  rules: Mapping[str, tuple], derived: Mapping[str, tuple] | None = None,
-                  round_to: int | None = 2) -> DataFrame:
-    """A4/A6 for measures that are sums of one value column by movement type.
+def type_totals(df: DataFrame, keys: Sequence, type_col: str, value_col: str) -> DataFrame:
+    """Per (keys, type): exact sum of the value and of its absolute value —
+    the pre-aggregate that :func:`pivot_type_totals` pivots."""
+    return df.groupBy(*keys, type_col).agg(F.sum(value_col).alias("__tm_v"),
+                                           F.sum(F.abs(F.col(value_col))).alias("__tm_abs"))
+
+
+def pivot_type_totals(totals: DataFrame, keys: Sequence, type_col: str, rules: Mapping[str, tuple],
+                      derived: Mapping[str, tuple] | None = None, round_to: int | None = 2) -> DataFrame:
+    """A4/A6 over :func:`type_totals` rows (several rows per (keys, type) are
+    summed again, so totals from different inputs can be unioned first).
 
     ``rules`` maps an output name to ``(types, how)`` with ``how`` one of
     ``"value"``, ``"neg"`` or ``"abs"``; ``derived`` maps a name to
     ``(plus_types, minus_types)`` for differences of two such sums.
-
-    Rows are first summed per (keys, type) — one exact decimal sum and one
-    sum of absolute values per row instead of one conditional sum per
-    measure — and the pivot then runs over that small frame. The result is
-    the same exact decimal as summing the conditional values row by row.
     """
-    pre = df.groupBy(*keys, type_col).agg(F.sum(value_col).alias("__tm_v"),
-                                          F.sum(F.abs(F.col(value_col))).alias("__tm_abs"))
     t = F.col(type_col)
     pick = {"value": F.col("__tm_v"), "neg": -F.col("__tm_v"), "abs": F.col("__tm_abs")}
     exprs = []
@@ -74,7 +74,20 @@ def pivot_by_type(df: DataFrame, keys: Sequence, type_col: str, value_col: str,
                - F.sum(F.when(t.isin(*minus), F.col("__tm_v")).otherwise(F.lit(0))))
         exprs.append((agg, name))
     out = [(F.round(a, round_to) if round_to is not None else a).alias(n) for a, n in exprs]
-    return pre.groupBy(*keys).agg(*out)
+    return totals.groupBy(*keys).agg(*out)
+
+
+def pivot_by_type(df: DataFrame, keys: Sequence, type_col: str, value_col: str,
+                  rules: Mapping[str, tuple], derived: Mapping[str, tuple] | None = None,
+                  round_to: int | None = 2) -> DataFrame:
+    """A4/A6 for measures that are sums of one value column by movement type.
+
+    Rows are first summed per (keys, type) — one exact decimal sum and one
+    sum of absolute values per row instead of one conditional sum per
+    measure — and the pivot then runs over that small frame. The result is
+    the same exact decimal as summing the conditional values row by row.
+    """
+    return pivot_type_totals(type_totals(df, keys, type_col, value_col), keys, type_col, rules, derived, round_to)
 
 
 def cond_sum(cond: Column, value) -> Column:

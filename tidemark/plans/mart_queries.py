@@ -559,6 +559,9 @@ _FIN_MEASURES = ",\n    ".join(
 _FIN_MEASURES += (",\n    CAST(round(sum(CASE WHEN type = 'PAYIN' THEN amount ELSE 0 END) - "
                   "sum(CASE WHEN type = 'PAYOUT' THEN amount ELSE 0 END), 2) AS DECIMAL(38,2)) AS payin_payout_balance")
 _LCOLS = "reference_date, user_id, gamemode, coupon_id, transaction_id, bet_amount, amount, type"
+# Ledger amounts are DECIMAL(38,2): the type the source's UNION ALL of the six
+# feeds coerces them to (see marts.LEDGER_AMOUNT_TYPE); spelled out per feed so
+# the result does not depend on this engine's own union typing.
 FIN_CTES = COUPON_CTES + f""",
 gm_users AS (SELECT user_id, gamemode FROM cf GROUP BY 1, 2),
 lg AS (
@@ -569,20 +572,21 @@ lg AS (
 le AS (
   SELECT CAST(tf.created_at AS DATE) AS reference_date, tf.user_id, coalesce(lg.gamemode, 'LOL1V1') AS gamemode,
     CAST(NULL AS VARCHAR) AS coupon_id, tf.transaction_id, CAST(NULL AS DECIMAL(18,2)) AS bet_amount,
-    tf.absolut_amount AS amount, 'LEAGUE_ENTRANCE' AS type
+    CAST(tf.absolut_amount AS DECIMAL(38,2)) AS amount, 'LEAGUE_ENTRANCE' AS type
   FROM transactions_finished tf LEFT JOIN lg ON tf.league_id = lg.league_id
   WHERE tf.transaction_type IN ('LEAGUE_REGISTRATION', 'LEAGUE_TICKET') AND tf.debit_credit = 'CREDIT'
     AND tf.wallet_currency = 'BRL' AND CAST(tf.created_at AS DATE) >= DATE '{LEAGUE_SINCE}'),
 sub AS (
   SELECT CAST(tf.created_at AS DATE) AS reference_date, tf.user_id, CAST(NULL AS VARCHAR) AS gamemode,
     CAST(NULL AS VARCHAR) AS coupon_id, tf.transaction_id, CAST(NULL AS DECIMAL(18,2)) AS bet_amount,
-    tf.absolut_amount AS amount, 'SUBSCRIPTION_OLD_USER' AS type
+    CAST(tf.absolut_amount AS DECIMAL(38,2)) AS amount, 'SUBSCRIPTION_OLD_USER' AS type
   FROM transactions_finished tf LEFT JOIN users u ON tf.user_id = u.user_id
   WHERE tf.transaction_type = 'SUBSCRIPTION_OLD_USER' AND tf.debit_credit = 'CREDIT'
     AND u.created_at >= TIMESTAMP '{SUBSCRIPTION_USERS_SINCE} 00:00:00'),
 cr AS (
   SELECT CAST(ti.created_at AS DATE) AS reference_date, cf.user_id, cf.gamemode,
-    CAST(ti.coupon_id AS VARCHAR) AS coupon_id, ti.transaction_id, cf.bet_amount, ti.amount_rev AS amount,
+    CAST(ti.coupon_id AS VARCHAR) AS coupon_id, ti.transaction_id, cf.bet_amount,
+    CAST(ti.amount_rev AS DECIMAL(38,2)) AS amount,
     CASE WHEN ti.debit_credit = 'ARTIFICIAL' THEN 'RECOVERED_REVENUE'
          WHEN ti.debit_credit = 'ARTIFICIAL_UNBANNED' THEN 'ARTIFICIAL_UNBANNED'
          WHEN ti.debit_credit <> 'ARTIFICIAL' THEN ti.transaction_type END AS type
@@ -590,19 +594,20 @@ cr AS (
   WHERE ti.transaction_type IN ('COUPON', 'COUPON_REFUND') AND ti.wallet_currency = 'BRL'),
 bc AS (
   SELECT CAST(created_at AS DATE) AS reference_date, user_id, gamemode, CAST(coupon_id AS VARCHAR) AS coupon_id,
-    CAST(NULL AS BIGINT) AS transaction_id, bet_amount, balance_amount AS amount, 'BONUS_CONVERTED' AS type
+    CAST(NULL AS BIGINT) AS transaction_id, bet_amount, CAST(balance_amount AS DECIMAL(38,2)) AS amount,
+    'BONUS_CONVERTED' AS type
   FROM cf WHERE currency = 'BONUS_BRL' AND coupon_status = 'WON'),
 br AS (
   SELECT CAST(created_at AS DATE) AS reference_date, user_id, CAST(NULL AS VARCHAR) AS gamemode,
     CAST(NULL AS VARCHAR) AS coupon_id, transaction_id, CAST(NULL AS DECIMAL(18,2)) AS bet_amount,
-    absolut_amount AS amount, 'BONUS' AS type
+    CAST(absolut_amount AS DECIMAL(38,2)) AS amount, 'BONUS' AS type
   FROM transactions_finished
   WHERE wallet_currency = 'BONUS_BRL' AND debit_credit = 'DEBIT'
     AND transaction_type IN ('ROLLOVER', 'BONUS', 'LEAGUE_PRIZE', 'COUPON_REFUND', 'BACKOFFICE_BONUS')),
 pp AS (
   SELECT CAST(updated_at AS DATE) AS reference_date, user_id, CAST(NULL AS VARCHAR) AS gamemode,
     CAST(NULL AS VARCHAR) AS coupon_id, transaction_id, CAST(NULL AS DECIMAL(18,2)) AS bet_amount,
-    absolut_amount AS amount, transaction_type AS type
+    CAST(absolut_amount AS DECIMAL(38,2)) AS amount, transaction_type AS type
   FROM transactions_finished WHERE transaction_type IN ('PAYIN', 'PAYOUT')),
 sub_g AS (SELECT s.reference_date, s.user_id, coalesce(g.gamemode, 'LOL1V1') AS gamemode, s.coupon_id,
           s.transaction_id, s.bet_amount, s.amount, s.type FROM sub s LEFT JOIN gm_users g ON s.user_id = g.user_id),

@@ -184,11 +184,21 @@ FINANCIAL_MEASURES = (
 _LEDGER_COLS = ("reference_date", "user_id", "gamemode", "coupon_id", "transaction_id", "bet_amount", "amount", "type")
 
 
+# The source model unions the six feeds, and Spark's UNION ALL coerces the
+# feed amounts (DECIMAL(18,2), DECIMAL(38,4) revenue, DECIMAL(38,2) coupon
+# balances) to DECIMAL(38,2): every amount is rounded to cents (half up)
+# before it is summed. The cast makes that explicit and order-independent.
+LEDGER_AMOUNT_TYPE = "decimal(38,2)"
+
+
 def _ledger(df: DataFrame, **cols) -> DataFrame:
     exprs = []
     for name in _LEDGER_COLS:
         v = cols[name]
-        exprs.append((v if isinstance(v, Column) else F.col(v) if isinstance(v, str) else F.lit(v)).alias(name))
+        c = v if isinstance(v, Column) else F.col(v) if isinstance(v, str) else F.lit(v)
+        if name == "amount":
+            c = c.cast(LEDGER_AMOUNT_TYPE)
+        exprs.append(c.alias(name))
     return df.select(*exprs)
 
 
@@ -272,15 +282,23 @@ def financial_daily(tf: DataFrame, coupons: DataFrame, league_points: DataFrame,
     """
     feeds = typed_ledger(tf, coupons, league_points, coupon_items, challenges, users,
                          league_since=league_since, subscription_users_since=subscription_users_since)
+    # Feeds are summed per (day, game mode, type) — or per (day, user, type)
+    # for the feeds fanned out over a user's modes — before anything else:
+    # both the GENERAL and the per-mode pivots read these totals, and the
+    # fan-out join sees one row per user, day and type instead of every row.
     modes = coupons.select("user_id", "gamemode").distinct()
-    fanned = dict(feeds)
-    for name in ("subscription", "bonus_received", "payin_payout"):
-        fanned[name] = joins.fan_out(feeds[name], modes, "user_id", "gamemode", DEFAULT_GAMEMODE).select(*_LEDGER_COLS)
-    general_src = stage.stack_rows(*feeds.values())
-    mode_src = stage.stack_rows(*fanned.values())
+    own = [aggs.type_totals(feeds[n], ["reference_date", "gamemode"], "type", "amount")
+           for n in ("league_entrance", "coupons_revenue", "bonus_converted")]
+    per_user = [aggs.type_totals(feeds[n], ["reference_date", "user_id"], "type", "amount")
+                for n in ("subscription", "bonus_received", "payin_payout")]
+    own_t = stage.stack_rows(*own)
+    user_t = stage.stack_rows(*per_user)
+    general_t = stage.stack_rows(own_t.drop("gamemode"), user_t.drop("user_id"))
+    mode_t = stage.stack_rows(
+        own_t, joins.fan_out(user_t, modes, "user_id", "gamemode", DEFAULT_GAMEMODE).drop("user_id"))
     rules, derived = _financial_rules()
-    general = aggs.pivot_by_type(general_src, ["reference_date"], "type", "amount", rules, derived)
-    per_mode = aggs.pivot_by_type(mode_src, ["reference_date", "gamemode"], "type", "amount", rules, derived)
+    general = aggs.pivot_type_totals(general_t, ["reference_date"], "type", rules, derived)
+    per_mode = aggs.pivot_type_totals(mode_t, ["reference_date", "gamemode"], "type", rules, derived)
     unified = aggs.with_general(general, per_mode, "gamemode")
 
     mu = aggs.monthly_active(coupons, "created_at", "user_id").withColumn("gamemode", F.lit("GENERAL"))
