@@ -15,6 +15,8 @@ attempts (click).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.sources.files import read_source
@@ -202,23 +204,26 @@ def fixture_cte(*names: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({FIXTURES[n]})" for n in names)
 
 
+_TABLE_REF = re.compile(r"\b(" + "|".join(BASE_TABLES) + r")\b(?![.'])")
+
+
 class Fixtures:
-    """Spark side: each attribute is the fixture as a lazy DataFrame."""
+    """Spark side: each attribute is the fixture as a lazy DataFrame.
+
+    The base tables are bound into the SQL text as DataFrame arguments
+    (``spark.sql(text, orders=df)``), so no temporary view is registered in
+    the caller's session and two scale factors can be built side by side.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self._registered = False
-
-    def _register(self):
-        if not self._registered:
-            for t in BASE_TABLES:
-                read_source(self.spark, self.sf_dir, t).createOrReplaceTempView(t)
-            self._registered = True
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in FIXTURES:
             raise AttributeError(name)
-        self._register()
         sql = FIXTURES[name].replace('"to"', "`to`").replace('"from"', "`from`")
-        return self.spark.sql(sql)
+        used = sorted(set(_TABLE_REF.findall(sql)))
+        sql = _TABLE_REF.sub(lambda m: "{" + m.group(1) + "}", sql)
+        frames = {t: read_source(self.spark, self.sf_dir, t) for t in used}
+        return self.spark.sql(sql, **frames)
