@@ -249,10 +249,17 @@ def bucket(c, buckets=GAMEMODE_BUCKETS, null_label: str = GAMEMODE_NULL_LABEL,
 
 # --------------------------------------------------------------------- M8
 def campaign_daily_cost(reports: DataFrame, *, day: Column, campaign: Column, cost: Column,
-                        round_to: int | None = None) -> DataFrame:
+                        round_to: int | None = None, convert=None) -> DataFrame:
     """M8: cost per (day, campaign). ``reports`` already carries the
-    campaign of each row (ad -> campaign look-ups done by the caller)."""
+    campaign of each row (ad -> campaign look-ups done by the caller).
+
+    ``convert`` maps the summed cost to money (e.g. millionths to units); it
+    runs once per group instead of once per row, and an exact conversion of
+    the sum equals the sum of the converted rows.
+    """
     agg = F.sum(cost)
+    if convert is not None:
+        agg = convert(agg)
     if round_to is not None:
         agg = F.round(agg, round_to)
     return reports.groupBy(day.alias("_date"), campaign.alias("campaign")).agg(agg.alias("cost"))
@@ -260,7 +267,8 @@ def campaign_daily_cost(reports: DataFrame, *, day: Column, campaign: Column, co
 
 # --------------------------------------------------------------------- M9
 def untracked_cost(reports: DataFrame, att: DataFrame, *, report_day: Column, report_campaign: Column,
-                   cost: Column, att_day: str, source_label: str, round_to: int | None = None) -> DataFrame:
+                   cost: Column, att_day: str, source_label: str, round_to: int | None = None,
+                   convert=None) -> DataFrame:
     """M9: cost of report rows whose (day, campaign) has no attributed user
     of ``source_label`` on that day, summed by day. The reference's
     ``left join ... where att.user_id is null`` is an anti join."""
@@ -269,6 +277,8 @@ def untracked_cost(reports: DataFrame, att: DataFrame, *, report_day: Column, re
         F.col(att_day).alias("_date"), F.col("campaign"))
     lonely = without_match(r, users, ["_date", "campaign"])
     agg = F.sum("__tm_cost")
+    if convert is not None:
+        agg = convert(agg)
     if round_to is not None:
         agg = F.round(agg, round_to)
     return lonely.groupBy("_date").agg(agg.alias("cost"))

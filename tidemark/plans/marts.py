@@ -345,13 +345,23 @@ def first_coupon(coupon_items: DataFrame, coupons: DataFrame, challenges: DataFr
 
 
 class NetworkCost:
-    """Cost rows of one ad network and its (day, campaign) daily cost (M8)."""
+    """Cost rows of one ad network and its (day, campaign) daily cost (M8).
 
-    def __init__(self, rows: DataFrame, day: Column, campaign: Column, cost_expr: Column, round_to):
+    ``convert`` turns a summed raw cost into money; sums run on the raw
+    column (a long for millionths) and the conversion once per group.
+    """
+
+    def __init__(self, rows: DataFrame, day: Column, campaign: Column, cost_expr: Column, round_to,
+                 convert=None):
         self.rows, self.day, self.campaign, self.cost_expr = rows, day, campaign, cost_expr
-        self.round_to = round_to
+        self.round_to, self.convert = round_to, convert
         self.cost = attribution.campaign_daily_cost(rows, day=day, campaign=campaign, cost=cost_expr,
-                                                    round_to=round_to)
+                                                    round_to=round_to, convert=convert)
+
+
+def micros_to_money(c: Column) -> Column:
+    """Millionths (integer) to money, exactly: ``cost / 1000000``."""
+    return c.cast("decimal(38,0)") * F.lit(0.000001).cast("decimal(7,6)")
 
 
 def network_costs(google_reports: DataFrame, fb_insights: DataFrame, fb_ads: DataFrame,
@@ -359,8 +369,8 @@ def network_costs(google_reports: DataFrame, fb_insights: DataFrame, fb_ads: Dat
     """M8 for both networks: Google reports carry cost in millionths and the
     campaign id; Facebook insights reach their campaign through ad -> campaign
     look-ups (a missing campaign gives a null campaign)."""
-    g_cost = F.col("cost").cast("decimal(20,0)") * F.lit(0.000001).cast("decimal(7,6)")
-    google = NetworkCost(google_reports, F.to_date("date_stop"), F.col("campaign_id"), g_cost, 2)
+    google = NetworkCost(google_reports, F.to_date("date_stop"), F.col("campaign_id"), F.col("cost"), 2,
+                         convert=micros_to_money)
     ads = broadcast_if_small(fb_ads.select(F.col("id").alias("ad_id"), "campaign_id"))
     camps = broadcast_if_small(fb_campaigns.select(F.col("id").alias("campaign_id"), F.col("id").alias("__tm_cid")))
     fb_rows = fb_insights.join(ads, "ad_id", "left").join(camps, "campaign_id", "left")
@@ -443,7 +453,7 @@ def user_attribution(*, users: DataFrame, pages: DataFrame, id_graph: DataFrame,
         for label, net in (("adwords", google), ("facebook-ads", facebook)):
             untracked[label] = attribution.untracked_cost(
                 net.rows, act, report_day=net.day, report_campaign=net.campaign, cost=net.cost_expr,
-                att_day=day_col, source_label=label, round_to=net.round_to)
+                att_day=day_col, source_label=label, round_to=net.round_to, convert=net.convert)
         untracked_all[rate] = untracked
         full = attribution.cost_per_user(act, costs, untracked, day_col, rate)
         rates_full[rate] = full
