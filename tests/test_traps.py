@@ -140,7 +140,7 @@ def test_unify_latest_and_ranked(spark):
     old = spark.createDataFrame([(1, ts("2024-01-01 00:00:00")), (2, ts("2024-01-01 00:00:00"))], "id int, t timestamp")
     latest = rows(stage.unify_latest(new, old, ["id"], "t").select("id", "received_date"), "id")
     assert latest == [(1, "d"), (2, None)]
-    ranked = rows(stage.unify_ranked(new, old, ["id"], "t").select("id", "rn"), "id", "rn")
+    ranked = rows(stage.unify_ranked(new, old, ["id"], "t", skew_safe=False).select("id", "rn"), "id", "rn")
     assert ranked == [(1, 1), (1, 2), (2, 1)]
     safe = rows(stage.unify_ranked(new, old, ["id"], "t", skew_safe=True).select("id", "rn"), "id", "rn")
     assert safe == ranked
@@ -150,7 +150,7 @@ def test_skew_safe_rank_hot_key(spark):
     df = spark.range(0, 5000).select((F.when(F.col("id") < 4000, F.lit(1)).otherwise(F.col("id"))).alias("k"),
                                      F.col("id").alias("t"))
     a = stage.unify_ranked(df, df.limit(0), ["k"], "t", skew_safe=True)
-    b = stage.unify_ranked(df, df.limit(0), ["k"], "t")
+    b = stage.unify_ranked(df, df.limit(0), ["k"], "t", skew_safe=False)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 

@@ -8,10 +8,10 @@ Scale notes
   before the shuffle, so each map task ships at most one row per key. A key
   holding a third of the table therefore reaches its reducer as one row per
   input partition, not as a third of the table.
-* ``unify_ranked`` keeps every row, so it cannot pre-reduce; it ranks with a
-  window (one sort per key group) unless ``skew_safe=True``, which ranks by a
-  range-partitioned global sort and per-partition offsets, splitting a hot key
-  across as many tasks as its size needs.
+* ``unify_ranked`` keeps every row, so it cannot pre-reduce; by default it
+  ranks by a range-partitioned global sort and per-partition offsets,
+  splitting a hot key across as many tasks as its size needs
+  (``skew_safe=False`` ranks with one window sort per key group).
 """
 
 from __future__ import annotations
@@ -170,9 +170,13 @@ def _skew_safe_rank(df: DataFrame, keys: Sequence[str], order: OrderSpec, name:
 
 
 def unify_ranked(new: DataFrame, old: DataFrame, keys: Sequence[str], order_by: str,
-                 name: str = "rn", skew_safe: bool = False) -> DataFrame:
+                 name: str = "rn", skew_safe: bool = True) -> DataFrame:
     """Union of both exports with ``rn`` exposed but *not* filtered, so
-    duplicates stay and the caller decides (``rn = 1``)."""
+    duplicates stay and the caller decides (``rn = 1``).
+
+    Every row is kept, so nothing can be reduced before the shuffle; by
+    default the rank is computed skew-safe (a hot key is split over several
+    tasks). ``skew_safe=False`` uses one window sort per key group."""
     both = stack_rows(old, new)
     spec = [(order_by, "desc")]
     if skew_safe:

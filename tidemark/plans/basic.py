@@ -197,7 +197,7 @@ SELECT *, CAST(row_number() OVER (PARTITION BY event_id ORDER BY ts DESC) AS INT
 """)
 def unify_ranked(spark: SparkSession, sf: str) -> DataFrame:
     cur, old = _exports(spark, sf)
-    return stage.unify_ranked(cur, old, ["event_id"], "ts")
+    return stage.unify_ranked(cur, old, ["event_id"], "ts", skew_safe=False)
 
 
 @register("unify_ranked_skew_safe", _UNIFY_SQL + """
