@@ -270,3 +270,26 @@ def test_broadcast_only_when_small(spark, sf_small):
     assert joins.broadcast_if_small(unknown) is unknown
     big = spark.range(0, 10).crossJoin(spark.range(0, 10))
     assert joins.broadcast_if_small(big, limit=1) is big
+
+
+# A4/A5/A9/A10/P8 — generic helpers not used by a registered query.
+def test_generic_aggregate_helpers(spark):
+    df = spark.createDataFrame(
+        [(1, "PAYIN", Decimal("10.00")), (1, "PAYOUT", Decimal("4.00")), (2, "PAYIN", Decimal("1.005"))],
+        "k int, type string, amount decimal(18,3)")
+    t = F.col("type")
+    piv = dict((r[0], r[1:]) for r in aggs.pivot_sums(df, ["k"], {
+        "payin": (t == "PAYIN", "amount"),
+        "balance": aggs.cond_sum(t == "PAYIN", "amount") - aggs.cond_sum(t == "PAYOUT", "amount"),
+    }).collect())
+    assert piv[1] == (Decimal("10.00"), Decimal("6.00")) and piv[2][0] == Decimal("1.01")  # half up
+    by_type = dict((r[0], r[1:]) for r in aggs.pivot_by_type(df, ["k"], "type", "amount", {
+        "payin": (("PAYIN",), "value"), "payout": (("PAYOUT",), "neg")},
+        {"balance": (("PAYIN",), ("PAYOUT",))}).collect())
+    assert by_type[1] == (Decimal("10.00"), Decimal("-4.00"), Decimal("6.00"))
+    ws = dict((r[0], r[1]) for r in aggs.window_sums(df, ["k"], {"out": (t == "PAYOUT", "amount")}).collect())
+    assert ws == {1: Decimal("4.000"), 2: None}
+    m = df.groupBy("k").agg(aggs.mean_or_zero(F.when(t == "PAYOUT", F.col("amount"))).alias("m"))
+    assert {r[0]: float(r[1]) for r in m.collect()} == {1: 4.0, 2: 0.0}
+    c = stage.with_constants(df, {"gamemode": "GENERAL", "zero": 0})
+    assert c.select("gamemode", "zero").distinct().collect()[0][:] == ("GENERAL", 0)

@@ -18,12 +18,10 @@ run is reproducible (T18). Nothing here runs an action.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import as_col, days_between, flag, local_date, money, month_start, to_local
+from tidemark.functions import days_between, flag, local_date, month_start, to_local
 from tidemark.operators import aggs, attribution, joins, reshape, stage
 from tidemark.operators.joins import broadcast_if_small
 from tidemark.sources.files import stage_table
