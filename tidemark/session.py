@@ -14,13 +14,32 @@ from pyspark.sql import SparkSession
 
 # Largest side, in bytes, that an operator may broadcast after measuring it.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+# Target bytes per shuffle partition and per input split.
+PARTITION_BYTES = 256 * 1024 * 1024
+SPLIT_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions_for(input_bytes: int, cores: int = 8, partition_bytes: int = PARTITION_BYTES) -> int:
+    """Initial shuffle width for an input of ``input_bytes``: enough
+    partitions that each holds about ``partition_bytes`` (so a reducer's
+    hash table and sort buffer fit in executor memory), never fewer than the
+    cores. AQE then coalesces the small ones. 100 TB gives ~400k; sf0.1
+    gives the core count."""
+    return max(cores, -(-int(input_bytes) // partition_bytes))
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "tidemark") -> SparkSession:
-    """Create (or reuse) a session with the settings the marts rely on."""
+                  app_name: str = "tidemark", input_bytes: int | None = None) -> SparkSession:
+    """Create (or reuse) a session with the settings the marts rely on.
+
+    ``input_bytes`` (the size of the largest input) sizes the shuffle width
+    with :func:`shuffle_partitions_for`; otherwise ``shuffle_partitions`` or
+    ``TIDEMARK_SHUFFLE_PARTITIONS`` (default 8, local runs).
+    """
     cpus = os.environ.get("BENCH_CPUS", "8")
     master = master or f"local[{cpus}]"
+    if input_bytes is not None and shuffle_partitions is None:
+        shuffle_partitions = shuffle_partitions_for(input_bytes, int(cpus))
     parts = shuffle_partitions or int(os.environ.get("TIDEMARK_SHUFFLE_PARTITIONS", "8"))
     builder = (
         SparkSession.builder.master(master)
@@ -29,6 +48,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.shuffle.partitions", str(parts))
+        .config("spark.sql.files.maxPartitionBytes", str(SPLIT_BYTES))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
