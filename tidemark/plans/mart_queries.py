@@ -811,3 +811,43 @@ def grain_checks(spark: SparkSession, sf: str) -> DataFrame:
         "banned_users": {"not_null": ["user_id"], "unique": ["user_id"]},
         "coupons_finished": {"not_null": ["coupon_id"], "unique": ["coupon_id"]},
     })
+
+
+# ------------------------------------------------- materialised model chain
+@register("materialised_financial", fixture_cte(*FIN_FIXTURES) + FIN_CTES + "\nSELECT * FROM fin")
+def materialised_financial(spark: SparkSession, sf: str) -> DataFrame:
+    """IO2/IO10/IO12: banned users -> finished coupons -> daily financial,
+    each written (clustered) under the shared folder and read back by the
+    next model; returns the written daily financial table."""
+    import uuid
+
+    from tidemark.plans.build import build_financial_marts
+    from tidemark.session import checkpoint_dir
+
+    fx = Fixtures(spark, sf)
+    inputs = {n: getattr(fx, n) for n in (
+        "user_notes", "payouts", "gateway_transactions", "accounts", "coupons", "grouped_challenges",
+        "transactions", "transaction_items", "wallets", "super_tips", "coupon_items", "reputations",
+        "match_players", "players", "league_points", "challenges", "users")}
+    inputs["blocklist"] = fx.blocklist_events
+    inputs["transactions_finished"] = stage_table(fx.transactions_finished, "transactions_finished")
+    out = f"{checkpoint_dir(spark).rstrip('/')}/marts-{uuid.uuid4().hex}"
+    paths = build_financial_marts(spark, inputs, out, league_since=LEAGUE_SINCE,
+                                  subscription_users_since=SUBSCRIPTION_USERS_SINCE)
+    return spark.read.parquet(paths["financial_daily"])
+
+
+@register("materialised_attribution", ua_sql(_ACQ_FINAL, fixtures=UA_FIXTURES + ("ads_cost",), extra=_ACQ_EXTRA))
+def materialised_attribution(spark: SparkSession, sf: str) -> DataFrame:
+    """IO2/IO10/IO12: user attribution -> daily acquisition, each written
+    under the shared folder; returns the written daily acquisition table."""
+    import uuid
+
+    from tidemark.plans.build import build_attribution_marts
+    from tidemark.session import checkpoint_dir
+
+    fx = Fixtures(spark, sf)
+    out = f"{checkpoint_dir(spark).rstrip('/')}/marts-{uuid.uuid4().hex}"
+    paths = build_attribution_marts(spark, _ua_inputs(fx), out, AS_OF, date_spine(spark, SPINE_START, SPINE_END),
+                                    fx.ads_cost)
+    return spark.read.parquet(paths["acquisition_daily"])
