@@ -248,6 +248,20 @@ def bucket(c, buckets=GAMEMODE_BUCKETS, null_label: str = GAMEMODE_NULL_LABEL,
 
 
 # --------------------------------------------------------------------- M8
+def daily_raw_cost(reports: DataFrame, *, day: Column, campaign: Column, cost: Column) -> DataFrame:
+    """Raw cost summed per (day, campaign): the shared pre-aggregate of M8
+    and M9 (one scan and one partial aggregate serve all three uses)."""
+    return reports.groupBy(day.alias("_date"), campaign.alias("campaign")).agg(F.sum(cost).alias("__tm_raw"))
+
+
+def _finish(agg: Column, convert, round_to) -> Column:
+    if convert is not None:
+        agg = convert(agg)
+    if round_to is not None:
+        agg = F.round(agg, round_to)
+    return agg
+
+
 def campaign_daily_cost(reports: DataFrame, *, day: Column, campaign: Column, cost: Column,
                         round_to: int | None = None, convert=None) -> DataFrame:
     """M8: cost per (day, campaign). ``reports`` already carries the
@@ -257,12 +271,8 @@ def campaign_daily_cost(reports: DataFrame, *, day: Column, campaign: Column, co
     runs once per group instead of once per row, and an exact conversion of
     the sum equals the sum of the converted rows.
     """
-    agg = F.sum(cost)
-    if convert is not None:
-        agg = convert(agg)
-    if round_to is not None:
-        agg = F.round(agg, round_to)
-    return reports.groupBy(day.alias("_date"), campaign.alias("campaign")).agg(agg.alias("cost"))
+    raw = daily_raw_cost(reports, day=day, campaign=campaign, cost=cost)
+    return raw.select("_date", "campaign", _finish(F.col("__tm_raw"), convert, round_to).alias("cost"))
 
 
 # --------------------------------------------------------------------- M9
@@ -270,18 +280,18 @@ def untracked_cost(reports: DataFrame, att: DataFrame, *, report_day: Column, re
                    cost: Column, att_day: str, source_label: str, round_to: int | None = None,
                    convert=None) -> DataFrame:
     """M9: cost of report rows whose (day, campaign) has no attributed user
-    of ``source_label`` on that day, summed by day. The reference's
-    ``left join ... where att.user_id is null`` is an anti join."""
-    r = reports.select(report_day.alias("_date"), report_campaign.alias("campaign"), cost.alias("__tm_cost"))
+    of ``source_label`` on that day, summed by day.
+
+    The reference's ``left join ... where att.user_id is null`` is an anti
+    join; since whole (day, campaign) cells are kept or dropped, the rows are
+    summed per cell first and the anti join runs on those totals (null
+    campaigns never match and are kept, as row by row).
+    """
+    raw = daily_raw_cost(reports, day=report_day, campaign=report_campaign, cost=cost)
     users = att.where(F.col("source") == F.lit(source_label)).select(
         F.col(att_day).alias("_date"), F.col("campaign"))
-    lonely = without_match(r, users, ["_date", "campaign"])
-    agg = F.sum("__tm_cost")
-    if convert is not None:
-        agg = convert(agg)
-    if round_to is not None:
-        agg = F.round(agg, round_to)
-    return lonely.groupBy("_date").agg(agg.alias("cost"))
+    lonely = without_match(raw, users, ["_date", "campaign"])
+    return lonely.groupBy("_date").agg(_finish(F.sum("__tm_raw"), convert, round_to).alias("cost"))
 
 
 # --------------------------------------------------------------------- M10
