@@ -327,18 +327,25 @@ ATTRIBUTION_COLUMNS = (
 
 def first_coupon(coupon_items: DataFrame, coupons: DataFrame, challenges: DataFrame,
                  external_first: bool = True) -> DataFrame:
-    """First finished, non-free coupon of each user and its game mode
-    (T17: ``external_first`` picks the coalesce order)."""
-    ci = coupon_items.select("coupon_id", "challenge_id")
-    c = coupons.where(F.coalesce(F.col("coupon_status"), F.lit("")).isin(*COUPON_FINISHED_STATUSES)
-                      & (F.col("type") != F.lit("FREE"))).select("coupon_id", "user_id", "created_at")
+    """First finished, non-free coupon of each user (that has items) and its
+    game mode (T17: ``external_first`` picks the coalesce order).
+
+    The source orders (coupon time, coupon id, game mode nulls last) over
+    every item row; the game mode of the chosen coupon is therefore the
+    smallest non-null mode of its items. It is computed per coupon first
+    (a partial aggregate), so the per-user pick reads one row per coupon
+    instead of one per item.
+    """
     ch = challenges.select("challenge_id", "external_gamemode", "gamemode")
     mode = (F.coalesce("external_gamemode", "gamemode") if external_first
             else F.coalesce("gamemode", "external_gamemode"))
-    rows = ci.join(c, "coupon_id", "inner").join(ch, "challenge_id", "left").select(
-        "user_id", F.col("created_at").alias("first_coupon_at"), mode.alias("first_coupon_gamemode"), "coupon_id")
-    first = stage.distinct_on(rows, ["user_id"], [("first_coupon_at", "asc"), ("coupon_id", "asc"),
-                                                  ("first_coupon_gamemode", "asc")])
+    per_coupon = (coupon_items.select("coupon_id", "challenge_id").join(ch, "challenge_id", "left")
+                  .groupBy("coupon_id").agg(F.min(mode).alias("first_coupon_gamemode")))
+    c = coupons.where(F.coalesce(F.col("coupon_status"), F.lit("")).isin(*COUPON_FINISHED_STATUSES)
+                      & (F.col("type") != F.lit("FREE"))).select("coupon_id", "user_id", "created_at")
+    rows = c.join(per_coupon, "coupon_id", "inner").select(
+        "user_id", F.col("created_at").alias("first_coupon_at"), "first_coupon_gamemode", "coupon_id")
+    first = stage.distinct_on(rows, ["user_id"], [("first_coupon_at", "asc"), ("coupon_id", "asc")])
     return first.drop("coupon_id")
 
 
