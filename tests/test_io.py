@@ -71,3 +71,46 @@ def test_ordered_pg_nulls(spark):
     assert [r[0] for r in stage.ordered(df, [("x", "asc")], pg_nulls=True).collect()] == [1, 2, None]
     assert [r[0] for r in stage.ordered(df, [("x", "desc")], pg_nulls=True).collect()] == [None, 2, 1]
     assert [r[0] for r in stage.ordered(df, [("x", "desc")]).collect()] == [2, 1, None]
+
+
+def test_catalog_table_sink_view_and_read_source(spark, sf_small):
+    region = spark.read.parquet(f"{sf_small}/region.parquet")
+    name = f"tm_region_{uuid.uuid4().hex[:8]}"
+    files.materialize(region, name, format="table", cluster_by=["r_regionkey"])
+    assert files.read_source(spark, name).count() == region.count()          # catalog table
+    files.materialize(spark.table(name).where("r_regionkey > 0"), name, format="table")  # staged self-overwrite
+    assert spark.table(name).count() == region.count() - 1
+    view = files.create_view(spark, f"SELECT r_name FROM {name}", f"{name}_v")
+    assert view.columns == ["r_name"] and spark.table(f"{name}_v").count() == region.count() - 1
+    parts = files.split_extract(region, "r_name", ["ASIA", "EUROPE"])
+    assert {k: v.count() for k, v in parts.items()} == {"ASIA": 1, "EUROPE": 1}
+
+
+def test_type_map_is_exact():
+    expect = {"int2": "int", "int4": "int", "int8": "bigint", "bigint": "bigint", "float4": "float",
+              "real": "float", "float8": "double", "double precision": "double", "numeric": "decimal(38,18)",
+              "decimal": "decimal(38,18)", "bool": "boolean", "boolean": "boolean", "date": "date",
+              "timestamp": "timestamp", "timestamptz": "timestamp", "jsonb": "string", "json": "string",
+              "text": "string", "varchar": "string", "char": "string", "uuid": "string", "cidr": "string",
+              "inet": "string", "macaddr": "string", "interval": "string", "d": "string", "te": "string"}
+    assert {k: jdbc.spark_type_for(k).simpleString() for k in expect} == expect
+    schema = jdbc.schema_from_type_names([("a", "int8"), ("b", "numeric")])
+    assert jdbc.custom_schema_ddl(schema) == "a bigint, b decimal(38,18)"
+    assert all(f.nullable for f in schema.fields)
+
+
+def test_incremental_load_into_catalog_table(spark, sf_small):
+    ev = spark.read.parquet(f"{sf_small}/events.parquet").select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"))
+    url = _url()
+    ev.write.jdbc(url, "EV2", properties=DERBY)
+    target = f"tm_inc_{uuid.uuid4().hex[:8]}"
+    assert incremental.max_updated_at(spark, target, "ts") is None          # absent table
+    incremental.incremental_load(spark, url, "EV2", target, ts_col='"ts"', mark_col="ts",
+                                 initial_start="2024-01-01T00:00:00.00", num_days=40, properties=DERBY,
+                                 now=dt.datetime(2024, 2, 1))
+    assert spark.table(target).count() == ev.count()
+    again = incremental.incremental_load(spark, url, "EV2", target, ts_col='"ts"', mark_col="ts",
+                                         properties=DERBY, now=dt.datetime(2024, 2, 1))
+    assert spark.table(target).count() == ev.count()                        # nothing appended twice
+    assert all(lo > dt.datetime(2024, 1, 30) for lo, _ in again)
