@@ -59,8 +59,8 @@ def test_incremental_load_resumes_without_holes(spark, sf_small):
 
 def test_window_predicates_and_probe(spark, sf_small):
     preds = jdbc.window_predicates("ts", [(dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2))], "kind = 'a'")
-    assert preds == ["(kind = 'a') AND ts >= TIMESTAMP('2024-01-01 00:00:00.000000') "
-                     "AND ts < TIMESTAMP('2024-01-02 00:00:00.000000')"]
+    assert preds == ["(kind = 'a') AND ts >= '2024-01-01 00:00:00.000000' "
+                     "AND ts < '2024-01-02 00:00:00.000000'"]
     url = _url()
     spark.read.parquet(f"{sf_small}/region.parquet").write.jdbc(url, "R", properties=DERBY)
     assert [f.name for f in jdbc.probe_schema(spark, url, "R", DERBY).fields] == ["r_regionkey", "r_name"]

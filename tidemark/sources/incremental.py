@@ -71,7 +71,7 @@ def incremental_load(
     base_filter: str | None = None,
     now: datetime | None = None,
     schema=None,
-    literal: str = "TIMESTAMP('{}')",
+    literal: str = "'{}'",
     mark_col: str | None = None,
 ) -> list[tuple[datetime, datetime]]:
     """IO5: append the rows of ``source_table`` newer than the target's mark.
