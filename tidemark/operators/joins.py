@@ -1,10 +1,11 @@
 """Joins (J1-J18).
 
 Broadcasts are only placed behind a measured bound: :func:`broadcast_if_small`
-reads Catalyst's size estimate of the optimised plan (an upper bound for
-parquet scans, computed without running anything) and falls back to a
-shuffle join above :data:`tidemark.session.BROADCAST_LIMIT_BYTES`. AQE can
-still turn a shuffle join into a broadcast at run time from real sizes.
+reads Catalyst's size estimate of the analysed plan (file sizes for scans,
+computed without running anything), allows for decompression, and falls
+back to a shuffle join above :data:`tidemark.session.BROADCAST_LIMIT_BYTES`.
+AQE can still turn a shuffle join into a broadcast at run time from
+measured shuffle sizes.
 
 Range joins (look-back windows) are equi joins on ``(key, time bucket)`` with
 the exact range as residual condition: a key holding a third of all rows is
@@ -20,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import BROADCAST_LIMIT_BYTES
+from tidemark.session import BROADCAST_LIMIT_BYTES, FILE_EXPANSION
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -34,8 +35,14 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Mark ``df`` for broadcast only when its estimated size is within ``limit``."""
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
+    """Mark ``df`` for broadcast only when its size is bounded by ``limit``.
+
+    The plan estimate of a file scan is its compressed size, so it is
+    multiplied by :data:`FILE_EXPANSION` before the comparison; frames
+    without statistics (e.g. built from Python objects) report an unbounded
+    size and are never broadcast.
+    """
+    return F.broadcast(df) if estimated_bytes(df) * FILE_EXPANSION <= limit else df
 
 
 def _keys(keys) -> list[str]:

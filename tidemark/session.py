@@ -12,8 +12,13 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Largest side, in bytes, that an operator may broadcast after measuring it.
+# Largest side, in bytes (in memory), that may be broadcast.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+# Plan estimates of file scans are compressed file sizes; rows in memory are
+# taken to be up to this many times larger when checking a broadcast.
+FILE_EXPANSION = 4
+# Static (plan-time) broadcast threshold of the planner: Spark's default.
+PLANNER_BROADCAST_BYTES = 10 * 1024 * 1024
 # Target bytes per shuffle partition and per input split.
 PARTITION_BYTES = 256 * 1024 * 1024
 SPLIT_BYTES = 128 * 1024 * 1024
@@ -57,8 +62,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         # several JVM round trips per Column call while plans are built
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "16g"))
-        # one broadcast bound for the planner, AQE and broadcast_if_small
-        .config("spark.sql.autoBroadcastJoinThreshold", str(BROADCAST_LIMIT_BYTES))
+        # the planner's static estimate is a compressed file size: keep its
+        # threshold conservative; AQE decides again from measured shuffle
+        # sizes and may broadcast up to the in-memory bound
+        .config("spark.sql.autoBroadcastJoinThreshold", str(PLANNER_BROADCAST_BYTES))
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", str(BROADCAST_LIMIT_BYTES))
         # AQE sizes reducers to ~128 MiB and splits partitions over 256 MiB
         # that are 5x the median (hot keys); a cluster run starts from many
