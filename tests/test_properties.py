@@ -93,3 +93,15 @@ def test_pivot_by_type_matches_row_level_sums(spark, rows):
         w[1] += -d if t == "PAYOUT" else 0
         w[2] += abs(d) if t is not None else 0
     assert got == {k: tuple(x.quantize(Decimal("0.01")) for x in w) for k, w in want.items()}
+
+
+@SETTINGS
+@given(st.lists(st.tuples(hot_keys, st.integers(0, 100)), min_size=1, max_size=60),
+       st.lists(st.tuples(keys, st.integers(0, 9)), min_size=0, max_size=12), st.sampled_from([1, 3, 8]),
+       st.sampled_from(["inner", "left"]))
+def test_salted_join_matches_plain_join(spark, big_rows, small_rows, buckets, how):
+    big = spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(big_rows)], "k int, v int, id int")
+    small = spark.createDataFrame(small_rows, "k int, w int")
+    a = sorted(map(tuple, joins.salted_join(big, small, ["k"], buckets, how=how).select("id", "w").collect()), key=str)
+    b = sorted(map(tuple, big.join(small, "k", how).select("id", "w").collect()), key=str)
+    assert a == b

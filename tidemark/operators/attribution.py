@@ -89,18 +89,25 @@ COHORT_SUMS = (
 def resolve_identity(events: DataFrame, edges: DataFrame, identifiers: DataFrame,
                      users: DataFrame, *, event_key: str = "segment_id",
                      edge_ts: str = "timestamp", user_key: str = "user_id",
-                     identifier_type: str = "user_id") -> DataFrame:
+                     identifier_type: str = "user_id", salt_buckets: int | None = None) -> DataFrame:
     """M1: event -> newest canonical id of its segment id -> identifier of
     type ``user_id`` -> user row. One hop on the newest edge; no closure.
 
     ``events`` must not carry a ``user_id`` column of its own; the result has
-    the event columns plus the user columns.
+    the event columns plus the user columns. With ``salt_buckets`` the
+    event -> edge join is salted (:func:`joins.salted_join`) for segment ids
+    that carry a large share of the events; otherwise AQE splits skewed
+    partitions at run time.
     """
     graph = distinct_on(edges, [event_key], [(edge_ts, "desc"), ("canonical_segment_id", "asc")])
     graph = graph.select(event_key, "canonical_segment_id")
     ids = identifiers.where(F.col("type") == F.lit(identifier_type)).select(
         "canonical_segment_id", F.col("value").alias(user_key))
-    out = events.join(graph, on=event_key, how="inner")
+    if salt_buckets:
+        from tidemark.operators.joins import salted_join
+        out = salted_join(events, graph, [event_key], salt_buckets)
+    else:
+        out = events.join(graph, on=event_key, how="inner")
     out = out.join(ids, on="canonical_segment_id", how="inner")
     return out.join(users, on=user_key, how="inner").drop("canonical_segment_id")
 

@@ -86,6 +86,28 @@ def lookup_if(df: DataFrame, dim: DataFrame, pairs: Sequence[tuple[str, str]],
     return out
 
 
+def salted_join(big: DataFrame, small: DataFrame, keys, buckets: int, how: str = "inner",
+                salt_from: Sequence[str] | None = None) -> DataFrame:
+    """Equi join that spreads each key of ``big`` over ``buckets`` tasks.
+
+    For a key that may hold a third of ``big`` while ``small`` is too large
+    to broadcast: every ``small`` row is repeated once per bucket and every
+    ``big`` row goes to one bucket, so each pair still meets exactly once.
+    The bucket is a hash of ``salt_from`` (default: all columns of ``big``),
+    not a random number, so a retried task after a lost executor puts every
+    row in the same bucket again. ``how`` is "inner" or "left" (``big`` on
+    the left).
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("salted_join supports inner and left joins")
+    ks = _keys(keys)
+    cols = list(salt_from) if salt_from else big.columns
+    salted = big.withColumn("__tm_salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(buckets)))
+    copies = small.withColumn("__tm_salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                                F.lit(buckets - 1).cast("long"))))
+    return salted.join(copies, on=[*ks, "__tm_salt"], how=how).drop("__tm_salt")
+
+
 def without_match(df: DataFrame, other: DataFrame, keys) -> DataFrame:
     """Rows of ``df`` with no partner in ``other`` (``left_anti``).
 

@@ -285,6 +285,16 @@ def identity_resolution(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("page_id", "user_id", F.col("timestamp").alias("ts"))
 
 
+@register("identity_resolution_salted", ua_sql("SELECT page_id, user_id, ts FROM resolved", upto="resolved"))
+def identity_resolution_salted(spark: SparkSession, sf: str) -> DataFrame:
+    """M1 with the event -> edge join salted over 16 buckets (hot segment ids)."""
+    fx = Fixtures(spark, sf)
+    ins = _ua_inputs(fx)
+    out = attribution.resolve_identity(ins["pages"], ins["id_graph"], ins["identifiers"],
+                                       ins["users"].select("user_id"), salt_buckets=16)
+    return out.select("page_id", "user_id", F.col("timestamp").alias("ts"))
+
+
 @register("classify_visits", ua_sql(
     "SELECT page_id, user_id, medium, source, campaign, content, term FROM classified", upto="classified"))
 def classify_visits(spark: SparkSession, sf: str) -> DataFrame:
