@@ -57,6 +57,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # split a hot key's partition even when that costs an extra shuffle
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # Python call-site capture only enriches error messages but costs
         # several JVM round trips per Column call while plans are built
