@@ -114,3 +114,11 @@ def test_incremental_load_into_catalog_table(spark, sf_small):
                                          properties=DERBY, now=dt.datetime(2024, 2, 1))
     assert spark.table(target).count() == ev.count()                        # nothing appended twice
     assert all(lo > dt.datetime(2024, 1, 30) for lo, _ in again)
+
+
+def test_delta_sink_is_gated(spark, sf_small):
+    nation = spark.read.parquet(f"{sf_small}/nation.parquet")
+    if files._delta_available(spark):  # pragma: no cover - not in this image
+        pytest.skip("delta present")
+    with pytest.raises(RuntimeError, match="Delta Lake"):
+        files.materialize(nation, tempfile.mkdtemp(prefix="tm-delta-") + "/n", format="delta")

@@ -59,6 +59,15 @@ class Tables:
         return read_source(self.spark, self.directory, name)
 
 
+def _delta_available(spark: SparkSession) -> bool:
+    """True when the Delta Lake data source is on the session's classpath."""
+    try:
+        spark._jvm.java.lang.Class.forName("io.delta.sql.DeltaSparkSessionExtension")
+        return True
+    except Exception:
+        return False
+
+
 def _norm_path(p: str) -> str:
     for prefix in ("file://", "file:"):
         if p.startswith(prefix):
@@ -106,6 +115,9 @@ def materialize(
     """
     if format not in SINK_FORMATS:
         raise ValueError(f"unknown sink format {format!r}; expected one of {SINK_FORMATS}")
+    if format == "delta" and not _delta_available(df.sparkSession):
+        raise RuntimeError("the delta sink needs the Delta Lake package on the classpath; "
+                           "use format='parquet' or 'table' otherwise")
     out = df
     if cluster_by:
         cols = list(cluster_by)
