@@ -10,6 +10,7 @@ import datetime as dt
 import decimal
 import hashlib
 import math
+import os
 
 import duckdb
 
@@ -25,15 +26,18 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+EXACT = os.environ.get("TIDEMARK_EXACT", "1") == "1"  # exact floats and decimals by default
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return repr(v) if EXACT else round(v, 6)
     if isinstance(v, decimal.Decimal):
-        return round(float(v), 6)
+        return str(v.normalize()) if EXACT else round(float(v), 6)
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, dt.date):

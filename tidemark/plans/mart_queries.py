@@ -409,12 +409,12 @@ def user_attribution(spark: SparkSession, sf: str) -> DataFrame:
 _ACQ_SUMS = marts.ACQ_SUMS
 _ACQ_EXTRA = [
     ("daily", "SELECT created_at AS _date, medium_agg, source, campaign_agg, "
-              "sum(CAST(cpl_cost AS DECIMAL(38,10))) AS cost, count(*) AS new_users, sum(logged_in) AS logged_in, "
+              "sum(CAST(cpl_cost AS DECIMAL(38,6))) AS cost, count(*) AS new_users, sum(logged_in) AS logged_in, "
               "sum(deposited) AS deposited, sum(activated) AS activated_users, "
               + ", ".join(f"sum({c}) AS {c}" for c in _ACQ_SUMS[4:])
               + " FROM final WHERE ban_status = 'Not Banned' GROUP BY 1, 2, 3, 4"),
     ("infl", "SELECT reference_date AS _date, 'influencer' AS medium_agg, font AS source, font AS campaign_agg, "
-             "CAST(sum(cost) AS DECIMAL(38,10)) AS cost, "
+             "CAST(sum(cost) AS DECIMAL(38,6)) AS cost, "
              + ", ".join(f"0 AS {c}" for c in _ACQ_SUMS)
              + " FROM ads_cost WHERE font NOT IN ('adwords', 'amazon', 'others', 'adwords_lol', 'adwords_tft', "
                "'adwords_cs', 'facebook-ads') GROUP BY 1, 2, 3, 4"),

@@ -511,6 +511,7 @@ ACQ_SUMS = ("new_users", "logged_in", "deposited", "activated_users", "value_spe
             "total_engagement_30d", "net_value_30d", "value_spent_60d", "value_received_60d", "net_value_60d",
             "value_spent_90d", "value_received_90d", "net_value_90d")
 ACQ_ACTIVATIONS = ("lol", "valorant", "aram", "tft", "cs", "other")
+ACQ_COST_TYPE = "decimal(38,6)"
 
 
 def acquisition_daily(att: DataFrame, ads_cost: DataFrame, spine: DataFrame) -> DataFrame:
@@ -523,7 +524,9 @@ def acquisition_daily(att: DataFrame, ads_cost: DataFrame, spine: DataFrame) ->
     and null labels never match (T9).
     """
     reg = att.where(F.col("ban_status") == F.lit("Not Banned"))
-    reg_aggs = [F.sum(F.col("cpl_cost").cast("decimal(38,10)")).alias("cost"), F.count(F.lit(1)).alias("new_users"),
+    # per-user costs are doubles; summed as exact decimals to 6 places (the
+    # conversion of a double at 6 places does not depend on the engine)
+    reg_aggs = [F.sum(F.col("cpl_cost").cast(ACQ_COST_TYPE)).alias("cost"), F.count(F.lit(1)).alias("new_users"),
                 F.sum("logged_in").alias("logged_in"), F.sum("deposited").alias("deposited"),
                 F.sum("activated").alias("activated_users")]
     reg_aggs += [F.sum(c).alias(c) for c in ACQ_SUMS[4:]]
@@ -532,7 +535,7 @@ def acquisition_daily(att: DataFrame, ads_cost: DataFrame, spine: DataFrame) ->
     infl = infl.groupBy(F.col("reference_date").alias("_date"), F.lit("influencer").alias("medium_agg"),
                         F.col("font").alias("source"), F.col("font").alias("campaign_agg")).agg(
         F.sum("cost").alias("cost"))
-    infl = infl.select("_date", "medium_agg", "source", "campaign_agg", F.col("cost").cast("decimal(38,10)").alias("cost"),
+    infl = infl.select("_date", "medium_agg", "source", "campaign_agg", F.col("cost").cast(ACQ_COST_TYPE).alias("cost"),
                        *[F.lit(0).cast("long").alias(c) for c in ACQ_SUMS[:4]],
                        *[F.lit(0).cast(daily.schema[c].dataType).alias(c) for c in ACQ_SUMS[4:]])
     both = daily.select(*infl.columns).unionByName(infl)
