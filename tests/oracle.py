@@ -57,6 +57,29 @@ def digest(columns, rows) -> tuple[int, list[str], str]:
     return len(rows), names, h
 
 
+_SPARK_FAMILIES = (("decimal", "decimal"), ("bigint", "int"), ("int", "int"), ("smallint", "int"),
+                   ("double", "float"), ("float", "float"), ("string", "string"), ("timestamp", "timestamp"),
+                   ("date", "date"), ("boolean", "bool"), ("array", "list"), ("void", "null"))
+_DUCK_FAMILIES = (("DECIMAL", "decimal"), ("HUGEINT", "int"), ("BIGINT", "int"), ("INTEGER", "int"),
+                  ("SMALLINT", "int"), ("DOUBLE", "float"), ("FLOAT", "float"), ("VARCHAR", "string"),
+                  ("TIMESTAMP", "timestamp"), ("DATE", "date"), ("BOOLEAN", "bool"), ("NULL", "null"))
+
+
+def type_families(spark_schema, duck_rel) -> dict:
+    """Columns whose broad type family (int, float, decimal, string, ...)
+    differs between the Spark result and the DuckDB result."""
+    def fam(t, table):
+        if t.endswith("[]"):
+            return "list"
+        for prefix, f in table:
+            if t.startswith(prefix):
+                return f
+        return t
+    s = {f.name: fam(f.dataType.simpleString().lower(), _SPARK_FAMILIES) for f in spark_schema.fields}
+    d = {c: fam(str(t).upper(), _DUCK_FAMILIES) for c, t in zip(duck_rel.columns, duck_rel.types)}
+    return {c: (s.get(c), d.get(c)) for c in set(s) | set(d) if s.get(c) != d.get(c)}
+
+
 def compare(spark, sf_dir: str, fn, sql: str):
     df = fn(spark, sf_dir)
     s_rows = [tuple(r) for r in df.collect()]

@@ -14,7 +14,7 @@ import traceback
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from oracle import compare, explain_mismatch  # noqa: E402
+from oracle import compare, duck, explain_mismatch, type_families  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
@@ -34,8 +34,12 @@ def main():
                 report[name] = {"status": "rows-only", "rows": n}
                 print(f"{name:28s} rows-only {n}", flush=True)
                 continue
-            s, d, sf_full, d_full = compare(spark, sf, q[name], o[name])
+            built = q[name](spark, sf)
+            s, d, sf_full, d_full = compare(spark, sf, lambda *_: built, o[name])
             ok = s == d
+            fam = type_families(built.schema, duck(sf).sql(o[name]))
+            if fam:
+                print(f"   type families differ: {fam}")
             report[name] = {"status": "match" if ok else "MISMATCH", "spark": s[:2], "duck": d[:2]}
             print(f"{name:28s} {'match' if ok else 'MISMATCH'} rows={s[0]}/{d[0]} {time.time()-t0:.1f}s",
                   flush=True)
