@@ -22,16 +22,24 @@ from tidemark.llm.common import BROADCAST_ROWS, by_keys, cut, text_key, unused
 
 WINDOW = 13
 SHARE = 20  # contaminated from one word in so many
-WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+GAP = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def normalised_words(text: str) -> Column:
     """Words of the text with A-Z (and only A-Z) lower-cased."""
     t = F.coalesce(F.col(text), F.lit(""))
-    ascii_only = ~t.rlike("[^\\x00-\\x7F]")
+    ascii_only = F.octet_length(t) == F.length(t)
     lowered = F.when(ascii_only, F.lower(t)).otherwise(F.translate(t, _UPPER, _UPPER.lower()))
-    return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(lowered, GAP), "")
+
+
+def _window_hash(words: str, at: str, size: int) -> str:
+    """Hash of a window of ``size`` words that begins at index ``at`` (from
+    0): of its length and four of its words, the ends included. Equal windows
+    have equal hashes; the words of a hit are compared in full."""
+    picks = sorted({0, size // 3, 2 * size // 3, size - 1})
+    return f"xxhash64({size}, {', '.join(f'get({words}, {at} + {k})' for k in picks)})"
 
 
 def test_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
@@ -39,21 +47,28 @@ def test_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "te
     items = benchmark.select(F.col(item_id).cast("string").alias("item_id"), normalised_words(text).alias("w"))
     items = items.where(F.size("w") > 0).withColumn("len", F.least(F.size("w"), F.lit(WINDOW)))
     at = F.explode(F.sequence(F.lit(1), F.size("w") - F.col("len") + 1)).alias("at")
+    each = " ".join(f"WHEN {m} THEN {_window_hash('words', '0', m)}" for m in range(1, WINDOW + 1))
     return (items.select("item_id", "len", "w", at)
             .select("item_id", "len", F.expr("slice(w, at, len)").alias("words"))
-            .select("len", F.xxhash64("words").alias("hash"), "words", "item_id").distinct())
+            .select("len", F.expr(f"CASE len {each} END").alias("hash"), "words", "item_id").distinct())
 
 
 def _scanned(docs: DataFrame, lengths: list[int]) -> DataFrame:
-    """One row per document (at = 0) and one per window of each length."""
-    hashes = [
-        f"transform(if(n >= {m}, sequence(1, n - {m} + 1), array()), "
-        f"i -> named_struct('at', int(i), 'len', {m}, 'hash', xxhash64(slice(w, i, {m}))))"
-        for m in lengths
-    ]
-    first = "array(named_struct('at', 0, 'len', 0, 'hash', 0L))"
-    found = f"concat({', '.join([first, *hashes])})" if hashes else first
-    return docs.select("doc_id", "key", "n", "w", F.explode(F.expr(found)).alias("s"))
+    """One row per document (pos = 0, no hash), then one per window of each
+    length in turn."""
+    hashes = [f"transform(if(n >= {m}, sequence(0, n - {m}), array()), i -> {_window_hash('w', 'i', m)})"
+              for m in lengths]
+    found = f"concat({', '.join(['array(cast(null as bigint))', *hashes])})"
+    return docs.select("doc_id", "key", "n", "w", F.posexplode(F.expr(found)).alias("pos", "hash"))
+
+
+def _start(lengths: list[int]) -> str:
+    """First word (from 0) of the window at ``pos`` of length ``t_len``."""
+    before, cases = ["1"], []
+    for m in lengths:
+        cases.append(f"WHEN {m} THEN pos - ({' + '.join(before)})")
+        before.append(f"greatest(0, n - {m} + 1)")
+    return f"CASE t_len {' '.join(cases)} END" if cases else "cast(null as int)"
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text",
@@ -68,12 +83,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         side = F.broadcast(side)
     src = docs.select(F.col(id_col).alias("doc_id"), text_key(text).alias("key"), normalised_words(text).alias("w"))
     src = src.select("doc_id", "key", "w", F.size("w").alias("n"))
-    hits = _scanned(src, lengths).join(
-        side, (F.col("s.hash") == F.col("t_hash")) & (F.col("s.len") == F.col("t_len")), "left")
+    hits = _scanned(src, lengths).join(side, F.col("hash") == F.col("t_hash"), "left")
     # the row of the document itself stays; a hit must equal its window
-    hits = hits.where((F.col("s.at") == 0) | (F.expr("slice(w, s.at, s.len)") == F.col("t_words")))
-    is_doc = F.col("s.at") == 0
-    span = F.struct((F.col("s.at") - 1).alias("start"), (F.col("s.at") - 1 + F.col("s.len")).alias("end"))
+    is_doc = F.col("pos") == 0
+    at = F.expr(_start(lengths))
+    hits = hits.where(is_doc | ((at >= 0) & (F.slice("w", F.greatest(at, F.lit(0)) + 1, F.col("t_len")) == F.col("t_words"))))
+    span = F.struct(at.alias("start"), (at + F.col("t_len")).alias("end"))
     per_doc = hits.select("doc_id", "key", F.col("n").cast("long").alias("n_words"),
                           F.when(is_doc, F.lit(1)).alias("is_doc"), F.when(~is_doc, span).alias("span"),
                           F.when(~is_doc, F.col("item_id")).alias("item")).groupBy("doc_id", "key").agg(
@@ -122,9 +137,9 @@ def cut_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", tex
     side = hit.select(F.col(id_col).alias("hit_id_"), F.col(h).alias("hit_key_"), F.col(spans).alias("hit_spans_"))
     found = found.join(side, F.col(id_col).eqNullSafe(F.col("hit_id_")) & (F.col(h) == F.col("hit_key_")))
     # gaps[i] stands before word i; the text is gaps[0] words[0] gaps[1] ... gaps[n]
-    word = "[^\\\\x00-\\\\x2F\\\\x3A-\\\\x60\\\\x7B-\\\\x7F]+"
-    found = (found.withColumn("raw_", F.expr(f"regexp_extract_all(`{text}`, '{word}', 0)"))
-             .withColumn("gaps_", F.split(F.col(text), WORD, -1)))
+    word = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+    found = (found.withColumn("raw_", F.regexp_extract_all(F.col(text), F.lit(word), F.lit(0)))
+             .withColumn("gaps_", F.split(F.col(text), word, -1)))
     inside = "exists(hit_spans_, x -> i - 1 >= x.start and i - 1 < x.end)"
     parts = (f"transform(sequence(1, size(raw_)), i -> if({inside}, '', concat("
              "if(i > 1 and exists(hit_spans_, x -> i - 2 >= x.start and i - 2 < x.end), ' ', gaps_[i - 1]), raw_[i - 1])))")
