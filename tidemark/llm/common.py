@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -87,6 +89,15 @@ def _arrow_type(t: T.DataType) -> pa.DataType:
             "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_()}[t.simpleString()]
 
 
+def worker_cache(key: str, build: Callable):
+    """What ``build`` makes, once for each Python worker and key. The store is
+    a module of its own as shipped functions bring fresh globals to each task."""
+    store = sys.modules.setdefault("_tidemark_worker", types.ModuleType("_tidemark_worker")).__dict__
+    if key not in store:
+        store[key] = build()
+    return store[key]
+
+
 def field(name: str, kind: str) -> T.StructField:
     """A nullable field; ``array:kind`` is an array of that kind."""
     kinds = {"long": T.LongType(), "double": T.DoubleType(), "string": T.StringType(),

@@ -26,6 +26,7 @@ repeated rows get equal scores.
 from __future__ import annotations
 
 import heapq
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import add_columns, cut, field, text_bytes, text_key
+from tidemark.llm.common import add_columns, cut, field, text_bytes, text_key, worker_cache
 
 FREQUENT = 500_000
 CLASSES = 32  # word classes; one more holds the rare-word buckets
@@ -306,8 +307,10 @@ class Vocabulary:
         mass[WORDS:] = bucket_tokens
         self.mass = mass
 
+        self.key = uuid.uuid4().hex
+
     def index(self) -> dict[bytes, int]:
-        return {w: i for i, w in enumerate(self.words)}
+        return worker_cache(self.key, lambda: {w: i for i, w in enumerate(self.words)})
 
     def encode(self, words: list[bytes], index: dict[bytes, int]):
         """Model ids with the end; sums over the words: log10 counts and own
@@ -436,7 +439,7 @@ def lm_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text: str
     flat = net.flat.copy()
 
     def score(texts: list[bytes]) -> list:
-        index, model = _index(vocab), Network(flat)
+        index, model = vocab.index(), Network(flat)
         out = np.zeros((len(texts), 5))
         held, first, size = [], 0, 0
 
@@ -495,14 +498,3 @@ def lm_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text: str
         (F.col("known") + F.coalesce(F.expr("seen div copies"), F.lit(0))).alias("n_known"),
         F.lit(int(total)).cast("long").alias("train_tokens"),
         (F.col("base") + logs - F.col("n_tokens") * whole).alias("base_score"), (F.col("model") + logs).alias("score"))
-
-
-_INDEX: dict[int, dict[bytes, int]] = {}
-
-
-def _index(vocab: Vocabulary) -> dict[bytes, int]:
-    """The vocabulary's index, built once per task."""
-    if id(vocab) not in _INDEX:
-        _INDEX.clear()
-        _INDEX[id(vocab)] = vocab.index()
-    return _INDEX[id(vocab)]

@@ -20,7 +20,7 @@ import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ALNUM_TABLE, add_columns, field
+from tidemark.llm.common import ALNUM_TABLE, add_columns, field, worker_cache
 
 # The base phrases and their labels.
 BASE_PHRASES = {
@@ -57,8 +57,6 @@ _RANK = {"or": 1, "and": 2, "with": 3}
 _TAG = re.compile(r"SPDX-License-Identifier:[ \t]*([^\r\n]*)", re.I)
 _TOKEN = re.compile(r"[()]|[A-Za-z0-9.+-]+")
 
-_AC: list = []
-
 
 def _automaton() -> ahocorasick.Automaton:
     a = ahocorasick.Automaton()
@@ -135,15 +133,14 @@ def family(identifier: str) -> str:
 
 def scan(text: bytes) -> tuple[int, list[tuple[int, str]], set[str], float]:
     """n_words, base places (word index, label), the method's labels, score."""
-    if not _AC:
-        _AC.append(_automaton())
+    automaton = worker_cache("license", _automaton)
     words = text.translate(ALNUM_TABLE).split()
     flat = (b" " + b" ".join(words) + b" ").decode("utf-8", "replace")
     base: list[tuple[int, str]] = []
     own: set[str] = set()
     tagged = False
     at = index = 0  # spaces before `at`: the index of the word that starts after it
-    for last, (kind, label, size) in _AC[0].iter(flat):
+    for last, (kind, label, size) in automaton.iter(flat):
         if kind == "tag":
             tagged = True
         elif kind == "notice":

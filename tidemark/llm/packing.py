@@ -24,7 +24,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, text_bytes
+from tidemark.llm.common import cut, text_bytes, worker_cache
 
 CAPACITY = 2048
 END_ID = 0
@@ -32,8 +32,6 @@ GROUP_PIECES = 16_384
 MAX_ROUNDS = 4
 LONG_RUN = 400  # characters without a break that go to the second tokenizer
 
-_ENCODER: list = []
-
 
 class Encoder:
     """Ids of the byte-level BPE vocabulary.
@@ -63,12 +61,6 @@ class Encoder:
         return np.array(self.fast.encode_ordinary(value), "<u4")
 
 
-def _encoder(json_path: str, rank_path: str) -> Encoder:
-    if not _ENCODER:
-        _ENCODER.append(Encoder(json_path, rank_path))
-    return _ENCODER[0]
-
-
 def cut_points(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     """Pieces (start, length) of a document of ``n`` ids."""
     first = n % capacity or min(n, capacity)
@@ -83,7 +75,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text: str = "text", capacity
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoder(json_path, rank_path)
+        enc = worker_cache(f"{json_path} {rank_path}", lambda: Encoder(json_path, rank_path))
         for batch in batches:
             rows: list[list[int]] = [[], [], [], [], []]
             for i, b in enumerate(text_bytes(batch, "text")):

@@ -22,7 +22,7 @@ import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import add_columns, field
+from tidemark.llm.common import add_columns, field, unused, worker_cache
 
 KINDS = ("email", "ip", "card", "phone", "login", "iban", "ssn", "street")
 BASE = KINDS[:4]
@@ -53,9 +53,6 @@ def _automaton() -> ahocorasick.Automaton:
     return a
 
 
-_AC: list = []
-
-
 def _run(text: str, at: int, chars: frozenset) -> int:
     """End of the run of ``chars`` that begins at ``at``."""
     n = len(text)
@@ -171,12 +168,11 @@ def _street(text: str, start: int, end: int) -> tuple[int, int] | None:
 
 def find_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     """Spans of every kind, in order of their starts."""
-    if not _AC:
-        _AC.append(_automaton())
+    automaton = worker_cache("pii", _automaton)
     out: dict[str, list[tuple[int, int]]] = {}
     email_end = dots_end = card_end = 0
     own_end = dict.fromkeys(KINDS, 0)
-    for last, (cue, size) in _AC[0].iter(text):
+    for last, (cue, size) in automaton.iter(text):
         start = last + 1 - size
         if cue == "0":
             # the chain of a digit is parsed once, from its first digit
@@ -251,9 +247,7 @@ def mask(docs: DataFrame, text: str = "text") -> DataFrame:
             at = max(at, b)
         return "".join([*parts, value[at:]])
 
-    name = "masked_"
-    while name in docs.columns:
-        name += "_"
+    name = unused(docs, "masked")
     new = add_columns(docs, text, [field(name, "string")],
                       lambda texts: [[masked(b.decode("utf-8", "replace")) for b in texts]])
     cols = [F.when(F.col(text).isNotNull(), F.col(name)).alias(text) if c == text else F.col(c) for c in docs.columns]

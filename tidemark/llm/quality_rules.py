@@ -24,11 +24,12 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import add_columns, field, text_bytes, unused
 
 BUCKETS = 1 << 15
-THRESHOLD = -0.3
+THRESHOLD = -0.18
+SMOOTHING = 5.0
 MIN_WORDS = 10
 MAX_REPEAT_PCT = 20
-TRUST_MIN_WORDS = 20
 SYMBOLS = b"#*$%&|<>"
+_CAPITALS = bytes(range(65, 91))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -97,8 +98,11 @@ def ngram_buckets(codes: np.ndarray) -> np.ndarray:
     return (np.concatenate([uni, bi]) >> np.uint64(49)).astype(np.int64)
 
 
-def _trusted(words, n_symbols, n_dup_lines, n_repeat) -> bool:
-    return len(words) >= TRUST_MIN_WORDS and n_symbols == 0 and n_dup_lines == 0 and n_repeat == 0
+def trusted(text: bytes, n_words: int, n_symbols: int, n_dup_lines: int, n_repeat: int) -> bool:
+    """The strict form of the rules: few symbols, shouts, repeats and copies."""
+    return (n_words >= MIN_WORDS and 20 * n_symbols <= n_words and 20 * n_repeat <= n_words
+            and 4 * n_dup_lines <= text.count(b"\n") and 10 * text.count(b"!") <= n_words
+            and 4 * (len(text) - len(text.translate(None, _CAPITALS))) <= len(text))
 
 
 def ratio_table(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -113,8 +117,7 @@ def ratio_table(docs: DataFrame, text: str = "text") -> np.ndarray:
                 if words:
                     n = np.bincount(ngram_buckets(codes), minlength=BUCKETS) if len(words) > 2000 else None
                     at = None if n is not None else ngram_buckets(codes)
-                    trusted = _trusted(words, symbols, dup, repeat)
-                    for into in (raw, target) if trusted else (raw,):
+                    for into in (raw, target) if trusted(b, len(words), symbols, dup, repeat) else (raw,):
                         if n is not None:
                             into += n
                         else:
@@ -125,11 +128,11 @@ def ratio_table(docs: DataFrame, text: str = "text") -> np.ndarray:
 
     rows = (docs.select(F.col(text).alias("text")).mapInArrow(count, "bucket long, raw long, target long")
             .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas())
-    raw, target = np.ones(BUCKETS), np.ones(BUCKETS)
+    raw, target = np.full(BUCKETS, SMOOTHING), np.full(BUCKETS, SMOOTHING)
+    if not rows["target"].sum():
+        return np.zeros(BUCKETS)
     raw[rows["bucket"]] += rows["raw"]
     target[rows["bucket"]] += rows["target"]
-    if target.sum() == BUCKETS:
-        return np.zeros(BUCKETS)
     return np.log(target / target.sum()) - np.log(raw / raw.sum())
 
 
