@@ -36,10 +36,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import add_columns, cut, field, text_bytes, text_key, worker_cache
 
-FREQUENT = 500_000
+FREQUENT = 1_000_000
 CLASSES = 32  # word classes; one more holds the rare-word buckets
 CLASS_SIZE = 32
 WORDS = CLASSES * CLASS_SIZE  # the end token and the most frequent words
@@ -47,7 +48,7 @@ SIZE = WORDS + CLASS_SIZE
 EMBED = HIDDEN = 16
 LANES = 256
 WINDOW = 32
-CHUNK = 1_000_000  # tokens handled at once
+CHUNK = 2_000_000  # tokens handled at once
 WARM_DOCS = 1500
 WARM_RATE, RATE = 0.01, 0.002
 LIMIT = 3.0  # of an output weight
@@ -313,25 +314,23 @@ class Vocabulary:
         return worker_cache(self.key, lambda: {w: i for i, w in enumerate(self.words)})
 
     def encode(self, words: list[bytes], index: dict[bytes, int]):
-        """Model ids with the end; sums over the words: log10 counts and own
-        log10 shares of frequent words, bucket totals of the others; how many
-        words are frequent; the other words."""
-        get = index.get
-        at = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
+        """Model ids with the end; sums over the words: log10 counts of the
+        frequent words, and their own log10 shares less the bucket totals of
+        the others; how many words are frequent; the other words."""
+        at = np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words))
+        ids = np.zeros(len(words) + 1, np.int16)
         known = at >= 0
-        ids = np.zeros(len(words) + 1, np.int32)
-        if known.all():
-            ids[:-1] = self.model_id[at] if len(at) else 0
-            rare: list[bytes] = []
-            other = 0.0
-        else:
+        frequent = at[known]
+        ids[:-1][known] = self.model_id[frequent]
+        rare: list[bytes] = []
+        other = 0.0
+        if len(frequent) < len(words):
             rare = [words[i] for i in np.flatnonzero(~known).tolist()]
             buckets = np.fromiter(map(bucket_of, rare), np.int64, len(rare))
-            ids[:-1][known] = self.model_id[at[known]]
             ids[:-1][~known] = WORDS + buckets
             other = float(self.bucket_log[buckets].sum())
-        return (ids, float(self.log_count[at[known]].sum()), float(self.own_log[at[known]].sum()), other,
-                int(known.sum()), rare)
+        return (ids, float(self.log_count[frequent].sum()), float(self.own_log[frequent].sum()) - other,
+                len(frequent), rare)
 
 
 def token_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -376,27 +375,49 @@ def vocabulary(counts: DataFrame, total: int) -> Vocabulary:
     return Vocabulary(words, c, end[0] if end else 0, tokens, kinds)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], vocab: Vocabulary) -> Iterator[list[np.ndarray]]:
-    index, held, size = vocab.index(), [], 0
+def encoded(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """``docs`` (doc_id, learn, key, text) with the text replaced by its model
+    ids (16-bit, as bytes), the sums of ``Vocabulary.encode`` and its rare
+    words with their numbers."""
+
+    def encode(texts: list[bytes]) -> list[list]:
+        index = vocab.index()
+        out: list[list] = [[] for _ in range(7)]
+        for b in texts:
+            words = tokens_of(b)
+            ids, logs, own, known, rare = vocab.encode(words, index)
+            n = Counter(rare)
+            for col, v in zip(out, (ids.tobytes(), len(ids), known + (vocab.ends > 0), logs + vocab.end_log, own,
+                                    list(n), list(n.values())), strict=True):
+                col.append(v)
+        return out
+
+    fields = [field("ids", "binary"), field("n_tokens", "long"), field("known", "long"), field("base", "double"),
+              field("own", "double"), field("rare", "array:binary"), field("rare_n", "array:int")]
+    return add_columns(docs, "text", fields, encode, drop=("text",))
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    held, size = [], 0
     for batch in batches:
-        for b in text_bytes(batch, "text"):
-            held.append(vocab.encode(tokens_of(b), index)[0])
+        for b in batch.column(0).to_pylist():
+            held.append(np.frombuffer(b, np.int16))
             size += len(held[-1])
-            if size >= CHUNK // 4:
+            if size >= CHUNK:
                 yield held
                 held, size = [], 0
     if held:
         yield held
 
 
-def train(docs: DataFrame, vocab: Vocabulary, text: str = "text") -> Network:
-    """The network learned from all ``docs``."""
-    src = docs.select(F.col(text).alias("text"))
+def train(coded: DataFrame, vocab: Vocabulary) -> Network:
+    """The network learned from all rows of ``coded`` (ids)."""
+    src = coded.select("ids")
 
     def learn(net_flat: np.ndarray, rate: float, rounds: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             learner = Learner(Network(net_flat.copy()), rate)
-            kept = list(_chunks(batches, vocab)) if rounds > 1 else _chunks(batches, vocab)
+            kept = list(_chunks(batches)) if rounds > 1 else _chunks(batches)
             for _ in range(rounds):
                 for chunk in kept:
                     learner.learn(chunk)
@@ -416,11 +437,10 @@ def train(docs: DataFrame, vocab: Vocabulary, text: str = "text") -> Network:
         return flat
 
     flat = Network.fresh(vocab.mass).flat
-    n_docs = vocab.ends
-    if not n_docs:
+    if not vocab.ends:
         return Network(flat)
-    share = min(1.0, WARM_DOCS / n_docs)
-    few = (src.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(max(1, int(share * 1_000_000))))
+    share = max(1, int(1_000_000 * min(1.0, WARM_DOCS / vocab.ends)))
+    few = (src.where(F.pmod(F.xxhash64("ids"), F.lit(1_000_000)) < F.lit(share))
            .limit(2 * WARM_DOCS).coalesce(1))
     schema = "i int, x double, w double"
     flat = averaged(few.mapInArrow(learn(flat, WARM_RATE, 4), schema), flat)
@@ -428,6 +448,32 @@ def train(docs: DataFrame, vocab: Vocabulary, text: str = "text") -> Network:
     return Network(flat)
 
 
+def _model_scores(coded: DataFrame, net: Network) -> DataFrame:
+    """``coded`` without its ids and rare words, with ``score``: the log10
+    probability, but for the counts of rare words."""
+    flat = net.flat.copy()
+    keep = ["doc_id", "learn", "key", "n_tokens", "known", "base"]
+    schema = T.StructType([coded.schema[c] for c in keep] + [field("model", "double")])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Network(flat)
+        for batch in batches:
+            docs = [np.frombuffer(b, np.int16) for b in batch.column("ids").to_pylist()]
+            value = batch.column("own").to_numpy().copy()
+            at = 0
+            while at < len(docs):  # a chunk of documents at a time
+                stop, size = at, 0
+                while stop < len(docs) and size < CHUNK:
+                    size += len(docs[stop])
+                    stop += 1
+                value[at:stop] += log_probabilities(model, docs[at:stop]) / np.log(10)
+                at = stop
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(value)],
+                                             names=[*keep, "model"])
+
+    return coded.select(*keep, "ids", "own").mapInArrow(score, schema)
+
+
 def lm_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score. ``learn`` marks the learning documents."""
@@ -435,56 +481,11 @@ def lm_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text: str
     counts = cut(token_counts(src.where("learn")))
     total, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     vocab = vocabulary(counts, total)
-    net = train(src.where("learn"), vocab)
-    flat = net.flat.copy()
-
-    def score(texts: list[bytes]) -> list:
-        index, model = vocab.index(), Network(flat)
-        out = np.zeros((len(texts), 5))
-        held, first, size = [], 0, 0
-
-        def flush() -> None:
-            out[first:first + len(held), 4] = log_probabilities(model, held) / np.log(10)
-
-        for row, b in enumerate(texts):
-            words = tokens_of(b)
-            ids, base, own, other, known, _ = vocab.encode(words, index)
-            out[row, :4] = len(words) + 1, known + (vocab.ends > 0), base + vocab.end_log, own - other
-            held.append(ids)
-            size += len(ids)
-            if size >= CHUNK:
-                flush()
-                held, first, size = [], row + 1, 0
-        if held:
-            flush()
-        return [out[:, 0].astype(np.int64), out[:, 1].astype(np.int64), out[:, 2], out[:, 3] + out[:, 4]]
-
-    def rare_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = vocab.index()
-        for batch in batches:
-            ids, keys = batch.column(0), batch.column(1)
-            at: list[int] = []
-            words: list[bytes] = []
-            n: list[int] = []
-            lead: list[int] = []
-            for row, b in enumerate(text_bytes(batch, "text")):
-                rare = Counter(w for w in tokens_of(b) if w not in index)
-                at += [row] * len(rare)
-                words += rare
-                n += rare.values()
-                lead += [1] + [0] * (len(rare) - 1) if rare else []
-            take = pa.array(at, pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [ids.take(take), keys.take(take), pa.array(words, pa.binary()), pa.array(n, pa.int32()),
-                 pa.array(lead, pa.int32())], names=["r_id", "r_key", "word", "n", "lead"])
-
-    kind = src.schema["doc_id"].dataType.simpleString()
-    keyed = src.withColumn("key", text_key("text"))
-    heads = add_columns(keyed.select("doc_id", "learn", "key", "text"), "text",
-                        [field("n_tokens", "long"), field("known", "long"), field("base", "double"),
-                         field("model", "double")], score, drop=("text",))
-    rare = keyed.select("doc_id", "key", "text").mapInArrow(
-        rare_rows, f"r_id {kind}, r_key long, word binary, n int, lead int")
+    coded = cut(encoded(src.select("doc_id", "learn", text_key("text").alias("key"), "text"), vocab))
+    heads = _model_scores(coded, train(coded.where("learn"), vocab))
+    rare = coded.select("doc_id", "key", F.posexplode(F.arrays_zip("rare", "rare_n")).alias("at", "r")).select(
+        F.col("doc_id").alias("r_id"), F.col("key").alias("r_key"), F.col("r.rare").alias("word"),
+        F.col("r.rare_n").alias("n"), (F.col("at") == 0).cast("int").alias("lead"))
     c = F.coalesce("c", F.lit(0))
     # rows with the same id and text meet in one group: `copies` of them
     tails = (rare.join(counts, "word", "left").groupBy("r_id", "r_key")
