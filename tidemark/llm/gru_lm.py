@@ -46,7 +46,7 @@ CLASS_SIZE = 32
 WORDS = CLASSES * CLASS_SIZE  # the end token and the most frequent words
 SIZE = WORDS + CLASS_SIZE
 EMBED = HIDDEN = 16
-LANES = 256
+LANES = 384
 WINDOW = 32
 CHUNK = 2_000_000  # tokens handled at once
 WARM_DOCS = 1500
@@ -107,8 +107,8 @@ def lanes(docs: list[np.ndarray], width: int = LANES):
         own[lane].append(i)
         heapq.heappush(load, (n + len(docs[i]), lane))
     steps = max(n for n, _ in load)
-    inputs = np.zeros((steps, width), np.int32)
-    targets = np.full((steps, width), -1, np.int32)
+    inputs = np.zeros((steps, width), np.int16)
+    targets = np.full((steps, width), -1, np.int16)
     first = np.zeros((steps, width), bool)
     number = np.zeros((steps, width), np.int32)
     for lane, mine in enumerate(own):
@@ -443,7 +443,7 @@ def train(coded: DataFrame, vocab: Vocabulary) -> Network:
     few = (src.where(F.pmod(F.xxhash64("ids"), F.lit(1_000_000)) < F.lit(share))
            .limit(2 * WARM_DOCS).coalesce(1))
     schema = "i int, x double, w double"
-    flat = averaged(few.mapInArrow(learn(flat, WARM_RATE, 4), schema), flat)
+    flat = averaged(few.mapInArrow(learn(flat, WARM_RATE, 3), schema), flat)
     flat = averaged(src.mapInArrow(learn(flat, RATE, 1), schema), flat)
     return Network(flat)
 
