@@ -51,8 +51,12 @@ FORMATS = re.compile(
     r"|-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]*PRIVATE KEY-----")
 # Names that hold credentials, names that hold digests, mock values.
 _NAMES = r"password|passwd|pwd|secret|token|api[_-]?key|apikey|access[_-]?key|private[_-]?key|credential|auth"
-ASSIGNED = re.compile(rf"(?i)(?:{_NAMES})[A-Za-z0-9_-]{{0,20}}[\"']?[ \t]{{0,3}}(?::=|=>|=|:)[ \t]{{0,3}}[\"']?"
-                      r"([^\s\"'<>,;(){}\[\]]{6,})")
+# Every format holds one of these, and every assignment one of the signs.
+FORMAT_MARKS = ("AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_", "xox", "sk_live_", "AIza",
+                "glpat-", "eyJ", "-----BEGIN ")
+_SIGN = re.compile("[:=]")
+_NAMED = re.compile(rf"(?i)(?:{_NAMES})[A-Za-z0-9_-]{{0,20}}[\"']?[ \t]{{0,3}}$")
+_VALUE = re.compile(r"(?::=|=>|=|:)[ \t]{0,3}[\"']?([^\s\"'<>,;(){}\[\]]{6,})")
 TOKEN = re.compile(rf"[A-Za-z0-9_+/-]{{{MIN_TOKEN},}}={{0,2}}")
 _NAME = re.compile(rf"(?i)(?:{_NAMES})")
 _DIGEST = re.compile(r"(?i)sha-?\d*|md5|hash|digest|checksum|commit|uuid|revision|etag")
@@ -64,19 +68,28 @@ FEATURES = ("length", "transitions", "digits", "upper", "hex", "entropy", "cover
 
 def candidates(text: str) -> list[tuple[int, int, str, int]]:
     """Spans (start, end, kind, distant label); label -1 is unlabelled."""
-    found: list[tuple[int, int, str, int]] = [(m.start(), m.end(), "format", 1) for m in FORMATS.finditer(text)]
-    for m in ASSIGNED.finditer(text):
-        value = m[1].rstrip(".")
+    found: list[tuple[int, int, str, int]] = []
+    if any(mark in text for mark in FORMAT_MARKS):
+        found += [(m.start(), m.end(), "format", 1) for m in FORMATS.finditer(text)]
+    after = 0
+    for sign in _SIGN.finditer(text):
+        at = sign.start()
+        if at < after or not _NAMED.search(text[max(after, at - 48):at]):
+            continue
+        m = _VALUE.match(text, at)
+        value = m[1].rstrip(".") if m else ""
         if len(value) >= 6:
+            after = m.end()
             mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
             mock = _MOCK.search(value) is not None
             found.append((m.start(1), m.start(1) + len(value), "assigned",
                           0 if mock else 1 if mixed and len(value) >= 8 else -1))
-    for m in TOKEN.finditer(text):
-        value = m.group()
-        digest = _DIGEST.search(text[max(0, m.start() - 24):m.start()]) is not None
-        plain = value.isalpha() or value.strip("=+/-_").isdigit()
-        found.append((m.start(), m.end(), "token", 0 if plain or digest else -1))
+    if max(map(len, text.split()), default=0) >= MIN_TOKEN:
+        for m in TOKEN.finditer(text):
+            value = m.group()
+            digest = _DIGEST.search(text[max(0, m.start() - 24):m.start()]) is not None
+            plain = value.isalpha() or value.strip("=+/-_").isdigit()
+            found.append((m.start(), m.end(), "token", 0 if plain or digest else -1))
     found.sort(key=lambda c: (("format", "assigned", "token").index(c[2]), c[0]))
     if len(found) < 2:
         return found
@@ -211,13 +224,14 @@ def dictionary(docs: DataFrame, text: str = "text") -> frozenset[str]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(n: Counter) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())],
-                                              names=["word", "c"])
+            own = [(w.decode("ascii"), c) for w, c in n.items() if 3 <= len(w) <= 12 and w.isalpha() and w.islower()]
+            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in own], pa.string()),
+                                               pa.array([c for _, c in own], pa.int64())], names=["word", "c"])
 
         n: Counter = Counter()
         for batch in batches:
             for b in text_bytes(batch, "text"):
-                n.update(w.decode("ascii") for w in b.split() if 3 <= len(w) <= 12 and w.isalpha() and w.islower())
+                n.update(b.split())
                 if len(n) > 200_000:
                     yield rows(n)
                     n = Counter()
