@@ -263,15 +263,6 @@ def test_to_local(spark):
     assert df.select(to_local("t")).first()[0] == ts("2023-12-31 23:00:00")
 
 
-def test_broadcast_only_when_small(spark, sf_small):
-    small = spark.read.parquet(f"{sf_small}/nation.parquet")
-    assert joins.estimated_bytes(small) < 1 << 20
-    unknown = spark.createDataFrame([(1, "a")], "k int, v string")   # no statistics: never broadcast
-    assert joins.broadcast_if_small(unknown) is unknown
-    big = spark.range(0, 10).crossJoin(spark.range(0, 10))
-    assert joins.broadcast_if_small(big, limit=1) is big
-
-
 # A4/A5/A9/A10/P8 — generic helpers not used by a registered query.
 def test_generic_aggregate_helpers(spark):
     df = spark.createDataFrame(

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import as_col, days_between, regex_first
 from tidemark.operators.aggs import filtered_sum
-from tidemark.operators.joins import broadcast_if_small, without_match
+from tidemark.operators.joins import without_match
 from tidemark.operators.stage import distinct_on
 
 # Referrer domain lists used to classify visits.
@@ -125,7 +125,7 @@ def classify_visits(visits: DataFrame, campaign_dim: DataFrame | None = None, *,
     v = visits
     if campaign_dim is not None:
         dim = campaign_dim.select(F.col("source_name").alias("__tm_cname"), F.col("influencer").alias("__tm_infl"))
-        v = v.join(broadcast_if_small(dim), on=F.col("campaign_name") == F.col("__tm_cname"), how="left")
+        v = v.join(dim, on=F.col("campaign_name") == F.col("__tm_cname"), how="left")
         v = v.drop("__tm_cname")
         infl = F.col("__tm_infl")
     else:

@@ -1,11 +1,7 @@
 """Joins (J1-J18).
 
-Broadcasts are only placed behind a measured bound: :func:`broadcast_if_small`
-reads Catalyst's size estimate of the analysed plan (file sizes for scans,
-computed without running anything), allows for decompression, and falls
-back to a shuffle join above :data:`tidemark.session.BROADCAST_LIMIT_BYTES`.
-AQE can still turn a shuffle join into a broadcast at run time from
-measured shuffle sizes.
+No join is hinted: the planner broadcasts below its static threshold and AQE
+turns a shuffle join into a broadcast from measured shuffle sizes.
 
 Range joins (look-back windows) are equi joins on ``(key, time bucket)`` with
 the exact range as residual condition: a key holding a third of all rows is
@@ -17,45 +13,20 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import BROADCAST_LIMIT_BYTES, FILE_EXPANSION
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate for ``df`` from its analysed plan (no job is
-    run and no optimiser pass is triggered; file scans report file sizes, so
-    this is an upper bound)."""
-    try:
-        return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
-    except Exception:  # pragma: no cover - estimate unavailable
-        return 1 << 62
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Mark ``df`` for broadcast only when its size is bounded by ``limit``.
-
-    The plan estimate of a file scan is its compressed size, so it is
-    multiplied by :data:`FILE_EXPANSION` before the comparison; frames
-    without statistics (e.g. built from Python objects) report an unbounded
-    size and are never broadcast.
-    """
-    return F.broadcast(df) if estimated_bytes(df) * FILE_EXPANSION <= limit else df
-
 
 def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def lookup(df: DataFrame, dim: DataFrame, keys, how: str = "left",
-           broadcast_dim: bool = True) -> DataFrame:
+def lookup(df: DataFrame, dim: DataFrame, keys, how: str = "left") -> DataFrame:
     """Equi join on one or more key columns with the same name on
-    both sides (null keys never match). The dimension is broadcast when its
-    size is bounded."""
-    other = broadcast_if_small(dim) if broadcast_dim else dim
-    return df.join(other, on=_keys(keys), how=how)
+    both sides (null keys never match)."""
+    return df.join(dim, on=_keys(keys), how=how)
 
 
 def join_where(df: DataFrame, dim: DataFrame, keys, dim_filter: Column,
@@ -72,7 +43,7 @@ def lookup_if(df: DataFrame, dim: DataFrame, pairs: Sequence[tuple[str, str]],
     plus a condition on the *left* row. Left rows failing the condition are
     kept with nulls — moving it to ``WHERE`` would drop them."""
     left = df.alias("__l")
-    right = broadcast_if_small(dim).alias("__r")
+    right = dim.alias("__r")
     cond = None
     for lcol, rcol in pairs:
         c = F.col(f"__l.{lcol}") == F.col(f"__r.{rcol}")
@@ -125,9 +96,9 @@ def flag_match(df: DataFrame, other: DataFrame, keys, name: str) -> DataFrame:
     never multiplies rows.
     """
     ks = _keys(keys)
-    marks = other.select(*ks).where(F.coalesce(*[F.col(k).isNotNull() for k in ks])).distinct()
+    marks = other.select(*ks).where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in ks])).distinct()
     marks = marks.withColumn("__tm_hit", F.lit(True))
-    out = df.join(broadcast_if_small(marks), on=ks, how="left")
+    out = df.join(marks, on=ks, how="left")
     return out.withColumn(name, F.col("__tm_hit").isNotNull()).drop("__tm_hit")
 
 
@@ -140,7 +111,7 @@ def coalesced_lookup(df: DataFrame, dim: DataFrame, left_keys: Sequence, dim_key
     ``check_unique`` first.
     """
     name = name or value
-    d = broadcast_if_small(dim.select(dim_key, value))
+    d = dim.select(dim_key, value)
     out = df
     hits = []
     for i, lk in enumerate(left_keys):
@@ -167,13 +138,13 @@ def fallback_lookup(df: DataFrame, first: DataFrame, first_keys: Sequence[tuple]
     for i, (lk, _) in enumerate(first_keys):
         c = (F.col(lk) if isinstance(lk, str) else lk) == F.col(f"__tm_f{i}")
         cond = c if cond is None else cond & c
-    out = df.join(broadcast_if_small(f), on=cond, how="left").drop(*[f"__tm_f{i}" for i in range(len(first_keys))])
+    out = df.join(f, on=cond, how="left").drop(*[f"__tm_f{i}" for i in range(len(first_keys))])
     s = second.select(*[r for _, r in second_keys], F.col(value).alias("__tm_second"))
     s = s.toDF(*[f"__tm_s{i}" for i in range(len(second_keys))], "__tm_second")
     cond = F.col("__tm_first").isNull()
     for i, (lk, _) in enumerate(second_keys):
         cond = cond & ((F.col(lk) if isinstance(lk, str) else lk) == F.col(f"__tm_s{i}"))
-    out = out.join(broadcast_if_small(s), on=cond, how="left").drop(*[f"__tm_s{i}" for i in range(len(second_keys))])
+    out = out.join(s, on=cond, how="left").drop(*[f"__tm_s{i}" for i in range(len(second_keys))])
     return out.withColumn(name, F.coalesce("__tm_first", "__tm_second")).drop("__tm_first", "__tm_second")
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import as_col
+from tidemark.session import checkpoint_dir
 
 OrderSpec = Sequence  # of str | Column | (name, "asc"|"desc")
 
@@ -154,19 +155,25 @@ def _skew_safe_rank(df: DataFrame, keys: Sequence[str], order: OrderSpec, name:
     A range-partitioned global sort on (keys, order) splits a hot key over
     several partitions; each partition's per-key row counts (small: one row
     per key per partition) give the offset of its first row, and the rank is
-    that offset plus the position inside the partition.
+    that offset plus the position inside the partition. The sorted rows are
+    checkpointed in the shared folder, so the plan runs one sort (an action)
+    and both sides of the join read the same partition numbers.
     """
     ordering = [F.col(k).asc_nulls_first() for k in keys] + _order(order)
     pid, pos = "__tm_pid", "__tm_pos"
-    sorted_df = df.orderBy(*ordering).withColumn(pid, F.spark_partition_id())
+    checkpoint_dir(df.sparkSession)
+    # one sort, written once: positions and counts must see the same cuts
+    sorted_df = df.orderBy(*ordering).withColumn(pid, F.spark_partition_id()).checkpoint(eager=True)
     w_in = Window.partitionBy(pid, *keys).orderBy(*ordering)
     local = sorted_df.withColumn(pos, F.row_number().over(w_in))
     # counts come from the same positions, so both sides of the join agree
     counts = local.groupBy(pid, *keys).agg(F.max(pos).alias("__tm_n"))
     w_off = Window.partitionBy(*keys).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__tm_off", F.coalesce(F.sum("__tm_n").over(w_off), F.lit(0)))
-    joined = local.join(offsets.drop("__tm_n"), on=[pid, *keys], how="inner")
-    return joined.withColumn(name, (F.col("__tm_off") + F.col(pos)).cast("int")).drop(pid, pos, "__tm_off")
+    right = offsets.select(*[F.col(c).alias(f"__tm_r_{c}") for c in (pid, *keys)], "__tm_off")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__tm_r_{c}")) for c in (pid, *keys)])
+    joined = local.join(right, same, "inner")
+    return joined.select(*df.columns, (F.col("__tm_off") + F.col(pos)).cast("int").alias(name))
 
 
 def unify_ranked(new: DataFrame, old: DataFrame, keys: Sequence[str], order_by: str,

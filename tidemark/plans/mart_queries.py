@@ -1,10 +1,9 @@
 """Driver queries for the attribution operators and the composite marts.
 
 Spark side: fixtures (shared SQL, lazily over the parquet scans) fed to the
-library's operators and marts. Oracle side: the same fixtures, then the
-mart logic written out again in DuckDB SQL, close to the source models
-(CTE chains, ``DISTINCT ON`` as ``QUALIFY``, ``FILTER`` aggregates), with
-PostgreSQL null ordering spelled out.
+library's operators and marts. Oracle side: the same fixtures and the SQL of
+``mart_oracles``, which is written from the marts' meaning and shares no
+steps with them; PostgreSQL null ordering is spelled out.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import attribution
 from tidemark.plans import marts
+from tidemark.plans.mart_oracles import ORIGIN, acquisition_sql, money_sql, user_sql, visit_rules
 from tidemark.plans.fixtures import (
     AS_OF,
     LEAGUE_SINCE,
@@ -39,226 +39,6 @@ def register(name: str, sql: str | None):
     return deco
 
 
-SEARCH = attribution.SEARCH_DOMAINS
-SOCIAL = attribution.SOCIAL_DOMAINS
-
-# ---------------------------------------------------------------- oracle CTEs
-# Each entry: (name, SQL). The attribution chain in the order of the model.
-UA_FIXTURES = ("users", "pages", "id_graph", "identifiers", "campaign_dim", "referrals", "coupon_items",
-               "coupons", "challenges", "deposits", "fb_insights", "fb_ads", "fb_campaigns", "google_reports",
-               "accounts", "wallets", "wallet_transactions", "user_blocklist")
-
-UA_CTES = [
-    ("id_graph_latest", """
-  SELECT segment_id, canonical_segment_id FROM id_graph
-  QUALIFY row_number() OVER (PARTITION BY segment_id ORDER BY ts DESC NULLS FIRST,
-                             canonical_segment_id ASC NULLS LAST) = 1"""),
-    ("resolved", """
-  SELECT p.*, u.user_id FROM pages p
-  JOIN id_graph_latest g ON g.segment_id = p.segment_id
-  JOIN identifiers i ON i.canonical_segment_id = g.canonical_segment_id AND i.type = 'user_id'
-  JOIN users u ON u.user_id = i.value"""),
-    ("in_window", """
-  SELECT r.* FROM resolved r JOIN users u ON u.user_id = r.user_id
-  WHERE coalesce(r.referrer, '') NOT LIKE '%#####.%'
-    AND r.ts BETWEEN u.created_at - INTERVAL 30 DAY AND u.created_at"""),
-    ("classified", f"""
-  SELECT v.page_id, v.user_id, v.ts,
-    CASE WHEN v.campaign_source IN ('influencer', 'influencers') THEN 'influencer'
-         WHEN v.campaign_medium IS NOT NULL THEN v.campaign_medium
-         WHEN v.path LIKE '%blog%' THEN 'search-blog'
-         WHEN regexp_matches(v.referrer, '({SEARCH})') THEN 'search-brand'
-         WHEN regexp_matches(v.referrer, '({SOCIAL})') THEN 'social'
-         WHEN v.referrer IS NULL THEN 'direct'
-         ELSE 'referral' END AS medium,
-    CASE WHEN v.campaign_source IN ('influencer', 'influencers') THEN d.influencer
-         WHEN v.campaign_source IS NOT NULL THEN v.campaign_source
-         WHEN v.path LIKE '%blog%' THEN v.path
-         WHEN regexp_matches(v.referrer, '({SEARCH}{SOCIAL})') THEN regexp_extract(v.referrer, '({SEARCH}{SOCIAL})', 1)
-         WHEN v.referrer IS NULL THEN 'direct'
-         ELSE v.referrer END AS source,
-    v.path, v.referrer,
-    coalesce(v.campaign_name, CASE WHEN v.path LIKE '%blog%' THEN v.path END) AS campaign,
-    v.campaign_content AS content, v.campaign_term AS term, CAST(0 AS DECIMAL(20,5)) AS mgm_cost
-  FROM in_window v LEFT JOIN campaign_dim d ON v.campaign_name = d.source_name"""),
-    ("mgm", """
-  SELECT r.referred_id AS user_id, r.created_at AS ts, 'mgm' AS medium, ref.email AS source,
-    CAST(NULL AS VARCHAR) AS path, CAST(NULL AS VARCHAR) AS referrer, CAST(NULL AS VARCHAR) AS campaign,
-    CAST(NULL AS VARCHAR) AS content, CAST(NULL AS VARCHAR) AS term,
-    CAST(CASE WHEN r.status = 'FINISHED' THEN r.reward ELSE 0 END AS DECIMAL(20,5)) AS mgm_cost
-  FROM referrals r JOIN users ref ON ref.user_id = r.referrer_id
-  QUALIFY row_number() OVER (PARTITION BY r.referred_id
-                             ORDER BY r.created_at DESC NULLS FIRST, r.referral_id DESC NULLS FIRST) = 1"""),
-    ("touches", """
-  SELECT user_id, ts, medium, source, path, referrer, campaign, content, term, mgm_cost FROM classified
-  UNION ALL
-  SELECT user_id, ts, medium, source, path, referrer, campaign, content, term, mgm_cost FROM mgm"""),
-    ("prio", """
-  SELECT *, CASE WHEN medium IN ('mgm') THEN 1
-                 WHEN medium IN ('paid-media', 'site') THEN 2
-                 WHEN medium IN ('influencers', 'influencer', 'cpv') THEN 3
-                 WHEN medium NOT IN ('direct', 'search-brand', 'search-blog', 'referral') THEN 4
-                 WHEN medium IN ('search-brand', 'search-blog') THEN 5
-                 WHEN medium IN ('referral') THEN 6
-                 WHEN medium IN ('direct') THEN 7 END AS medium_priority
-  FROM touches"""),
-    ("att1", """
-  SELECT * FROM prio
-  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY medium_priority ASC NULLS LAST, ts DESC NULLS FIRST,
-      source ASC NULLS LAST, campaign ASC NULLS LAST, path ASC NULLS LAST, referrer ASC NULLS LAST,
-      content ASC NULLS LAST, term ASC NULLS LAST, mgm_cost ASC NULLS LAST) = 1"""),
-    ("att", """
-  SELECT user_id, medium, source, referrer, path AS page_path, campaign, content, term, mgm_cost,
-    CASE WHEN medium IN ('google-ads', 'paid-media', 'site', 'youtube') THEN 'paid-media'
-         WHEN medium IN ('influencer', 'cpv') THEN 'influencer' ELSE medium END AS medium_agg,
-    CASE WHEN medium IN ('influencer', 'mgm', 'social', 'search-brand', 'search-blog') THEN source
-         ELSE campaign END AS campaign_agg
-  FROM att1"""),
-    ("base", """
-  SELECT u.user_id,
-    CAST((u.created_at AT TIME ZONE 'UTC') AT TIME ZONE 'America/Sao_Paulo' AS DATE) AS created_at,
-    CASE WHEN date_diff('day', CAST(u.created_at AS DATE), CAST(u.first_login AS DATE)) <= 7 THEN 1 ELSE 0 END
-      AS logged_in,
-    coalesce(a.medium, 'None') AS medium, coalesce(a.medium_agg, 'None') AS medium_agg,
-    coalesce(a.source, 'None') AS source, coalesce(a.referrer, 'None') AS referrer,
-    coalesce(a.page_path, 'None') AS page_path, coalesce(a.campaign, 'None') AS campaign,
-    coalesce(a.campaign_agg, 'None') AS campaign_agg, coalesce(a.content, 'None') AS content,
-    coalesce(a.term, 'None') AS term, coalesce(a.mgm_cost, 0) AS mgm_cost
-  FROM users u LEFT JOIN att a ON u.user_id = a.user_id"""),
-    ("fca", """
-  SELECT c.user_id, c.created_at AS first_coupon_at,
-         coalesce(ch.external_gamemode, ch.gamemode) AS first_coupon_gamemode
-  FROM coupon_items ci
-  LEFT JOIN coupons c ON c.coupon_id = ci.coupon_id
-  LEFT JOIN challenges ch ON ch.challenge_id = ci.challenge_id
-  WHERE coalesce(c.coupon_status, '') IN ('WON', 'LOST', 'REFUND') AND c.type <> 'FREE'
-  QUALIFY row_number() OVER (PARTITION BY c.user_id ORDER BY c.created_at ASC NULLS LAST,
-      c.coupon_id ASC NULLS LAST, coalesce(ch.external_gamemode, ch.gamemode) ASC NULLS LAST) = 1"""),
-    ("fda", "SELECT user_id, min(reference_date) AS first_deposit_at FROM deposits GROUP BY 1"),
-    ("act", """
-  SELECT b.*,
-    CASE WHEN date_diff('day', b.created_at, CAST(fda.first_deposit_at AS DATE)) <= 7 THEN 1 ELSE 0 END AS deposited,
-    CASE WHEN date_diff('day', b.created_at, CAST(fca.first_coupon_at AS DATE)) <= 7 THEN 1 ELSE 0 END AS activated,
-    CAST(fca.first_coupon_at AS DATE) AS first_coupon_at,
-    CASE WHEN fca.first_coupon_gamemode IN ('LOLEXTERNAL5V5', 'LOL1V1', 'LOL2V2', 'LOLEXTERNALBLITZ') THEN 'LOL'
-         WHEN fca.first_coupon_gamemode IN ('VALEXTERNALRANKED') THEN 'VALORANT'
-         WHEN fca.first_coupon_gamemode IN ('LOLEXTERNALARAM') THEN 'ARAM'
-         WHEN fca.first_coupon_gamemode IN ('TFTEXTERNALRANKED') THEN 'TFT'
-         WHEN fca.first_coupon_gamemode IN ('CS2EXTERNALRANKED', 'CS2EXTERNALFACEIT') THEN 'CS2'
-         WHEN fca.first_coupon_gamemode IS NULL THEN 'None'
-         ELSE 'Outros' END AS first_coupon_gamemode,
-    coalesce(fca.first_coupon_gamemode, 'None') AS original_gamemode
-  FROM base b LEFT JOIN fca ON b.user_id = fca.user_id LEFT JOIN fda ON b.user_id = fda.user_id"""),
-    ("fb_rows", """
-  SELECT CAST(i.date_start AS DATE) AS _date, c.id AS campaign, i.spend AS cost
-  FROM fb_insights i LEFT JOIN fb_ads a ON a.id = i.ad_id LEFT JOIN fb_campaigns c ON c.id = a.campaign_id"""),
-    ("fb_cost", "SELECT _date, campaign, sum(cost) AS cost FROM fb_rows GROUP BY 1, 2"),
-    ("g_rows", """
-  SELECT CAST(date_trunc('day', date_stop) AS DATE) AS _date, campaign_id AS campaign,
-         CAST(cost AS DECIMAL(20,0)) * CAST(0.000001 AS DECIMAL(7,6)) AS cost
-  FROM google_reports"""),
-    ("g_cost", "SELECT _date, campaign, round(sum(cost), 2) AS cost FROM g_rows GROUP BY 1, 2"),
-]
-
-for _day, _tag in (("created_at", "cpl"), ("first_coupon_at", "cac")):
-    _extra = "" if _day == "created_at" else " AND a.first_coupon_at IS NOT NULL"
-    UA_CTES += [
-        (f"g_untracked_{_tag}", f"""
-  SELECT r._date, round(sum(r.cost), 2) AS cost FROM g_rows r
-  LEFT JOIN act a ON a.{_day} = r._date AND a.source = 'adwords' AND a.campaign = r.campaign
-  WHERE a.user_id IS NULL GROUP BY 1"""),
-        (f"fb_untracked_{_tag}", f"""
-  SELECT r._date, sum(r.cost) AS cost FROM fb_rows r
-  LEFT JOIN act a ON a.{_day} = r._date AND a.source = 'facebook-ads' AND a.campaign = r.campaign
-  WHERE a.user_id IS NULL GROUP BY 1"""),
-        (f"tracked_{_tag}", f"""
-  SELECT a.{_day}, a.medium_agg, a.source, a.campaign, count(DISTINCT a.user_id) AS users,
-    round(coalesce(CAST(avg(g.cost) AS DECIMAL(18,2)), 0) + coalesce(CAST(avg(f.cost) AS DECIMAL(18,2)), 0), 2)
-      AS campaign_cost
-  FROM act a
-  LEFT JOIN g_cost g ON a.source = 'adwords' AND g.campaign = a.campaign AND a.{_day} = g._date
-  LEFT JOIN fb_cost f ON a.source = 'facebook-ads' AND f.campaign = a.campaign AND a.{_day} = f._date
-  WHERE a.medium_agg = 'paid-media'{_extra}
-  GROUP BY 1, 2, 3, 4"""),
-        (f"{_tag}_users", f"SELECT {_day}, medium_agg, source, sum(users) AS users FROM tracked_{_tag} GROUP BY 1, 2, 3"),
-        (f"{_tag}_excess", f"""
-  SELECT c.{_day}, c.medium_agg, c.source,
-    CAST(coalesce(g.cost, 0) + coalesce(f.cost, 0) AS DOUBLE) / CAST(c.users AS DOUBLE) AS excess
-  FROM {_tag}_users c
-  LEFT JOIN g_untracked_{_tag} g ON g._date = c.{_day} AND c.medium_agg = 'paid-media' AND c.source = 'adwords'
-  LEFT JOIN fb_untracked_{_tag} f ON f._date = c.{_day} AND c.medium_agg = 'paid-media' AND c.source = 'facebook-ads'"""),
-        (f"{_tag}_rates", f"""
-  SELECT t.{_day}, t.medium_agg, t.source, t.campaign, CAST(t.users AS BIGINT) AS users, t.campaign_cost,
-    CAST(t.campaign_cost AS DOUBLE) / CAST(t.users AS DOUBLE) + coalesce(e.excess, 0) AS {_tag}
-  FROM tracked_{_tag} t
-  LEFT JOIN {_tag}_excess e ON e.{_day} = t.{_day} AND e.medium_agg = t.medium_agg AND e.source = t.source"""),
-    ]
-
-_SUM_RULES = [(n, t, d) for n, t, d in attribution.COHORT_SUMS]
-UA_CTES += [
-    ("ledger", """
-  SELECT u.user_id, CAST(t.created_at AS DATE) AS transaction_date,
-    CAST(date_diff('day', CAST(u.created_at AS DATE), CAST(t.created_at AS DATE)) AS INTEGER) AS days_since_user_creation,
-    CASE WHEN t.transaction_balance = 'CREDIT' AND w.currency = 'BRL' THEN 'PAYMENT'
-         WHEN t.transaction_balance = 'CREDIT' AND w.currency = 'BONUS_BRL' THEN 'BONUS_USE'
-         WHEN t.transaction_balance = 'DEBIT' AND w.currency = 'BRL' THEN 'GAIN' END AS type,
-    t.transaction_amount AS value
-  FROM users u
-  LEFT JOIN accounts ac ON u.user_id = ac.user_id
-  LEFT JOIN wallets w ON ac.account_id = w.account_id
-  LEFT JOIN wallet_transactions t ON w.wallet_id = t.wallet_id
-  WHERE t.transaction_type IN ('LEAGUE_TICKET', 'LEAGUE_REGISTRATION', 'COUPON', 'COUPON_REFUND', 'BUG_AMOUNT', 'MATCH')"""),
-    ("stats", "SELECT user_id, " + ",\n    ".join(
-        f"sum(value) FILTER (WHERE type IN ({', '.join(repr(x) for x in t)}) AND days_since_user_creation <= {d}) AS {n}"
-        for n, t, d in _SUM_RULES) + "\n  FROM ledger GROUP BY 1"),
-    ("bans", f"""
-  SELECT user_id, coalesce(date_diff('day', DATE '{AS_OF}', CAST(expiry AS DATE)) > 0, false) AS active_ban
-  FROM user_blocklist
-  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY created_at DESC NULLS FIRST, expiry DESC NULLS FIRST) = 1"""),
-    ("final", """
-  SELECT a.user_id, CASE WHEN b.active_ban IS TRUE THEN 'Banned' ELSE 'Not Banned' END AS ban_status,
-    a.created_at, a.logged_in, a.medium, a.medium_agg, a.source, a.referrer, a.page_path, a.campaign,
-    a.campaign_agg, a.content, a.term, a.deposited, a.activated, a.first_coupon_at, a.first_coupon_gamemode,
-    a.original_gamemode,
-    CASE WHEN a.first_coupon_gamemode = 'LOL' THEN 1 ELSE 0 END AS lol_activated,
-    CASE WHEN a.first_coupon_gamemode = 'ARAM' THEN 1 ELSE 0 END AS aram_activated,
-    CASE WHEN a.first_coupon_gamemode = 'TFT' THEN 1 ELSE 0 END AS tft_activated,
-    CASE WHEN a.first_coupon_gamemode = 'CS2' THEN 1 ELSE 0 END AS cs_activated,
-    CASE WHEN a.first_coupon_gamemode = 'VALORANT' THEN 1 ELSE 0 END AS valorant_activated,
-    CASE WHEN a.first_coupon_gamemode = 'Outros' THEN 1 ELSE 0 END AS other_activated,
-    CAST(a.mgm_cost AS DOUBLE) + coalesce(cpl.cpl, 0) AS cpl_cost,
-    CAST(a.mgm_cost AS DOUBLE) + coalesce(cac.cac, 0) AS cac_cost,
-    coalesce(s.value_spent_7d, 0) AS value_spent_7d, coalesce(s.value_received_7d, 0) AS value_received_7d,
-    coalesce(s.total_engagement_7d, 0) AS total_engagement_7d,
-    coalesce(s.value_spent_7d - s.value_received_7d, 0) AS net_value_7d,
-    coalesce(s.value_spent_30d, 0) AS value_spent_30d, coalesce(s.value_received_30d, 0) AS value_received_30d,
-    coalesce(s.total_engagement_30d, 0) AS total_engagement_30d,
-    coalesce(s.value_spent_30d - s.value_received_30d, 0) AS net_value_30d,
-    coalesce(s.value_spent_60d, 0) AS value_spent_60d, coalesce(s.value_received_60d, 0) AS value_received_60d,
-    coalesce(s.value_spent_60d - s.value_received_60d, 0) AS net_value_60d,
-    coalesce(s.value_spent_90d, 0) AS value_spent_90d, coalesce(s.value_received_90d, 0) AS value_received_90d,
-    coalesce(s.value_spent_90d - s.value_received_90d, 0) AS net_value_90d
-  FROM act a
-  LEFT JOIN stats s ON s.user_id = a.user_id
-  LEFT JOIN bans b ON a.user_id = b.user_id
-  LEFT JOIN cpl_rates cpl ON a.created_at = cpl.created_at AND a.medium_agg = cpl.medium_agg
-       AND a.source = cpl.source AND a.campaign = cpl.campaign
-  LEFT JOIN cac_rates cac ON a.first_coupon_at = cac.first_coupon_at AND a.medium_agg = cac.medium_agg
-       AND a.source = cac.source AND a.campaign = cac.campaign"""),
-]
-
-
-def ua_sql(final_select: str, fixtures=UA_FIXTURES, upto: str | None = None, extra=()) -> str:
-    ctes = []
-    for name, sql in UA_CTES:
-        ctes.append(f"{name} AS ({sql})")
-        if name == upto:
-            break
-    for name, sql in extra:
-        ctes.append(f"{name} AS ({sql})")
-    return fixture_cte(*fixtures) + ",\n" + ",\n".join(ctes) + "\n" + final_select
-
-
 def _ua_inputs(fx: Fixtures) -> dict:
     pages = fx.pages.withColumnRenamed("ts", "timestamp")
     id_graph = fx.id_graph.withColumnRenamed("ts", "timestamp")
@@ -276,7 +56,7 @@ def _user_attribution(spark: SparkSession, sf: str, persist: bool = True) -> Dat
 
 
 # ------------------------------------------------------------ M1-M13 pieces
-@register("identity_resolution", ua_sql("SELECT page_id, user_id, ts FROM resolved", upto="resolved"))
+@register("identity_resolution", user_sql("SELECT v.page_id, w.user_id, v.ts FROM pages v JOIN owner w USING (segment_id)"))
 def identity_resolution(spark: SparkSession, sf: str) -> DataFrame:
     fx = Fixtures(spark, sf)
     ins = _ua_inputs(fx)
@@ -285,7 +65,7 @@ def identity_resolution(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("page_id", "user_id", F.col("timestamp").alias("ts"))
 
 
-@register("identity_resolution_salted", ua_sql("SELECT page_id, user_id, ts FROM resolved", upto="resolved"))
+@register("identity_resolution_salted", user_sql("SELECT v.page_id, w.user_id, v.ts FROM pages v JOIN owner w USING (segment_id)"))
 def identity_resolution_salted(spark: SparkSession, sf: str) -> DataFrame:
     """M1 with the event -> edge join salted over 16 buckets (hot segment ids)."""
     fx = Fixtures(spark, sf)
@@ -295,8 +75,8 @@ def identity_resolution_salted(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("page_id", "user_id", F.col("timestamp").alias("ts"))
 
 
-@register("classify_visits", ua_sql(
-    "SELECT page_id, user_id, medium, source, campaign, content, term FROM classified", upto="classified"))
+@register("classify_visits", user_sql(
+    "SELECT page_id, user_id, medium, source, campaign, content, term FROM visit"))
 def classify_visits(spark: SparkSession, sf: str) -> DataFrame:
     fx = Fixtures(spark, sf)
     ins = _ua_inputs(fx)
@@ -307,8 +87,8 @@ def classify_visits(spark: SparkSession, sf: str) -> DataFrame:
     return v.select("page_id", "user_id", "medium", "source", "campaign", "content", "term")
 
 
-@register("referral_attribution", ua_sql(
-    "SELECT user_id, ts, medium, source, mgm_cost FROM mgm", upto="mgm"))
+@register("referral_attribution", user_sql(
+    "SELECT user_id, ts, 'mgm' AS medium, source, mgm_cost FROM invited"))
 def referral_attribution(spark: SparkSession, sf: str) -> DataFrame:
     fx = Fixtures(spark, sf)
     m = attribution.referral_touches(fx.referrals, fx.users, tiebreak=[("referral_id", "desc")])
@@ -316,8 +96,8 @@ def referral_attribution(spark: SparkSession, sf: str) -> DataFrame:
                     F.col("mgm_cost").cast("decimal(20,5)").alias("mgm_cost"))
 
 
-@register("priority_attribution", ua_sql(
-    "SELECT user_id, medium, medium_agg, source, campaign, campaign_agg, page_path, mgm_cost FROM att", upto="att"))
+@register("priority_attribution", user_sql(
+    "SELECT user_id, medium, medium_agg, source, campaign, campaign_agg, page_path, mgm_cost FROM credited"))
 def priority_attribution(spark: SparkSession, sf: str) -> DataFrame:
     att = marts.attributed_touches(**{k: v for k, v in _ua_inputs(Fixtures(spark, sf)).items()
                                       if k in ("users", "pages", "id_graph", "identifiers", "campaign_dim",
@@ -326,16 +106,14 @@ def priority_attribution(spark: SparkSession, sf: str) -> DataFrame:
                       "mgm_cost")
 
 
-@register("bucket_labels", ua_sql(
-    "SELECT user_id, first_coupon_gamemode, original_gamemode, first_coupon_at FROM act", upto="act"))
+@register("bucket_labels", user_sql(
+    "SELECT user_id, first_coupon_gamemode, original_gamemode, first_coupon_at FROM person"))
 def bucket_labels(spark: SparkSession, sf: str) -> DataFrame:
     ua = _user_attribution(spark, sf, persist=False)
     return ua.select("user_id", "first_coupon_gamemode", "original_gamemode", "first_coupon_at")
 
 
-@register("campaign_cost", ua_sql(
-    "SELECT _date, campaign, cost, 'adwords' AS network FROM g_cost "
-    "UNION ALL SELECT _date, campaign, cost, 'facebook-ads' AS network FROM fb_cost", upto="g_cost"))
+@register("campaign_cost", user_sql("SELECT day AS _date, campaign, cost, network FROM paid"))
 def campaign_cost(spark: SparkSession, sf: str) -> DataFrame:
     fx = Fixtures(spark, sf)
     g, fb = marts.network_costs(fx.google_reports, fx.fb_insights, fx.fb_ads, fx.fb_campaigns)
@@ -343,11 +121,7 @@ def campaign_cost(spark: SparkSession, sf: str) -> DataFrame:
             .unionByName(fb.cost.withColumn("network", F.lit("facebook-ads"))))
 
 
-_UNTRACKED_SQL = ua_sql("""
-SELECT _date, cost, 'adwords' AS network, 'cpl' AS basis FROM g_untracked_cpl
-UNION ALL SELECT _date, cost, 'facebook-ads', 'cpl' FROM fb_untracked_cpl
-UNION ALL SELECT _date, cost, 'adwords', 'cac' FROM g_untracked_cac
-UNION ALL SELECT _date, cost, 'facebook-ads', 'cac' FROM fb_untracked_cac""", upto="cac_rates")
+_UNTRACKED_SQL = user_sql("SELECT day AS _date, cost, network, basis FROM unspent")
 
 
 @register("untracked_cost", _UNTRACKED_SQL)
@@ -364,11 +138,8 @@ def untracked_cost(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
-@register("cost_with_excess", ua_sql("""
-SELECT created_at AS day, medium_agg, source, campaign, users, campaign_cost, cpl AS rate, 'cpl' AS basis FROM cpl_rates
-UNION ALL
-SELECT first_coupon_at, medium_agg, source, campaign, users, campaign_cost, cac, 'cac' FROM cac_rates""",
-                                     upto="cac_rates"))
+@register("cost_with_excess", user_sql(
+    "SELECT day, medium_agg, source, campaign, users, campaign_cost, rate, basis FROM rate"))
 def cost_with_excess(spark: SparkSession, sf: str) -> DataFrame:
     parts = marts.user_attribution(**_ua_inputs(Fixtures(spark, sf)), as_of=AS_OF, persist=False,
                                    return_parts=True)
@@ -381,63 +152,32 @@ def cost_with_excess(spark: SparkSession, sf: str) -> DataFrame:
     return cpl.union(cac)
 
 
-@register("engagement_ledger", ua_sql(
-    "SELECT user_id, transaction_date, days_since_user_creation, type, value FROM ledger", upto="ledger"))
+@register("engagement_ledger", user_sql(
+    "SELECT user_id, transaction_date, days_since_user_creation, type, value FROM engagement"))
 def engagement_ledger(spark: SparkSession, sf: str) -> DataFrame:
     fx = Fixtures(spark, sf)
     return attribution.engagement_ledger(fx.users, fx.accounts, fx.wallets, fx.wallet_transactions)
 
 
-@register("cohort_sums", ua_sql("SELECT * FROM stats", upto="stats"))
+@register("cohort_sums", user_sql("SELECT * FROM cohort"))
 def cohort_sums(spark: SparkSession, sf: str) -> DataFrame:
     fx = Fixtures(spark, sf)
     return attribution.cohort_sums(attribution.engagement_ledger(fx.users, fx.accounts, fx.wallets,
                                                                  fx.wallet_transactions))
 
 
-@register("ban_status", ua_sql("SELECT * FROM bans", upto="bans"))
+@register("ban_status", user_sql("SELECT * FROM ban"))
 def ban_status(spark: SparkSession, sf: str) -> DataFrame:
     return attribution.ban_status(Fixtures(spark, sf).user_blocklist, AS_OF)
 
 
 # --------------------------------------------------------------- M14 / M16
-@register("user_attribution", ua_sql("SELECT * FROM final"))
+@register("user_attribution", user_sql("SELECT * FROM attributed"))
 def user_attribution(spark: SparkSession, sf: str) -> DataFrame:
     return _user_attribution(spark, sf)
 
 
-_ACQ_SUMS = marts.ACQ_SUMS
-_ACQ_EXTRA = [
-    ("daily", "SELECT created_at AS _date, medium_agg, source, campaign_agg, "
-              "sum(CAST(cpl_cost AS DECIMAL(38,6))) AS cost, count(*) AS new_users, sum(logged_in) AS logged_in, "
-              "sum(deposited) AS deposited, sum(activated) AS activated_users, "
-              + ", ".join(f"sum({c}) AS {c}" for c in _ACQ_SUMS[4:])
-              + " FROM final WHERE ban_status = 'Not Banned' GROUP BY 1, 2, 3, 4"),
-    ("infl", "SELECT reference_date AS _date, 'influencer' AS medium_agg, font AS source, font AS campaign_agg, "
-             "CAST(sum(cost) AS DECIMAL(38,6)) AS cost, "
-             + ", ".join(f"0 AS {c}" for c in _ACQ_SUMS)
-             + " FROM ads_cost WHERE font NOT IN ('adwords', 'amazon', 'others', 'adwords_lol', 'adwords_tft', "
-               "'adwords_cs', 'facebook-ads') GROUP BY 1, 2, 3, 4"),
-    ("both_", "SELECT * FROM daily UNION ALL SELECT * FROM infl"),
-    ("spine", f"SELECT CAST(unnest(generate_series(DATE '{SPINE_START}', DATE '{SPINE_END}', INTERVAL 1 DAY)) AS DATE)"
-              " AS _date"),
-    ("rf", "SELECT s._date, b.medium_agg, b.source, b.campaign_agg, coalesce(sum(b.cost), 0) AS cost, "
-           + ", ".join(f"CAST(sum(b.{c}) AS BIGINT) AS {c}" for c in _ACQ_SUMS[:4]) + ", "
-           + ", ".join(f"sum(b.{c}) AS {c}" for c in _ACQ_SUMS[4:])
-           + " FROM spine s LEFT JOIN both_ b ON b._date = s._date GROUP BY 1, 2, 3, 4"),
-    ("af", "SELECT first_coupon_at AS _date, medium_agg, source, campaign_agg, count(*) AS activated_on_date, "
-           + ", ".join(f"CAST(sum({m}_activated) AS BIGINT) AS {m}_activated_on_date" for m in marts.ACQ_ACTIVATIONS)
-           + " FROM final GROUP BY 1, 2, 3, 4"),
-]
-_ACQ_FINAL = ("SELECT rf._date, rf.medium_agg, rf.source, rf.campaign_agg, rf.cost, rf.new_users, rf.logged_in, "
-              "rf.deposited, rf.activated_users, coalesce(af.activated_on_date, 0) AS activated_on_date, "
-              + ", ".join(f"coalesce(af.{m}_activated_on_date, 0) AS {m}_activated_on_date" for m in marts.ACQ_ACTIVATIONS)
-              + ", " + ", ".join(f"rf.{c}" for c in _ACQ_SUMS[4:])
-              + " FROM rf LEFT JOIN af ON af._date = rf._date AND af.medium_agg = rf.medium_agg "
-                "AND af.source = rf.source AND af.campaign_agg = rf.campaign_agg")
-
-
-@register("acquisition_daily", ua_sql(_ACQ_FINAL, fixtures=UA_FIXTURES + ("ads_cost",), extra=_ACQ_EXTRA))
+@register("acquisition_daily", acquisition_sql())
 def acquisition_daily(spark: SparkSession, sf: str) -> DataFrame:
     # the attribution mart is a table upstream and is read twice here
     att = stage_table(_user_attribution(spark, sf), "user_attribution")
@@ -446,114 +186,30 @@ def acquisition_daily(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------- M17
-BANNED_FIXTURES = ("blocklist_events", "user_notes", "payouts", "gateway_transactions", "accounts")
-BANNED_CTES = """,
-bl AS (
-  SELECT ub.user_blocklist_id AS block_id, ub.user_id, ub.created_at, ub.description, un.notes, un.flag,
-    un.cheat AS is_cheating, un.smurf AS is_smurfing, un.derank AS is_deranking, un.duo_boost AS is_duo_boosting,
-    un.slow_climb AS is_slow_climbing, un.gamemode, ub.active_ban, ub.expiry AS expire_at,
-    row_number() OVER (PARTITION BY ub.user_id ORDER BY ub.created_at DESC, ub.user_blocklist_id DESC) AS last_ban
-  FROM blocklist_events ub LEFT JOIN user_notes un ON ub.user_notes_id = un.user_notes_id
-  WHERE ub.active_ban IS TRUE),
-ap AS (
-  SELECT a.user_id, gt.created_at, gt.transaction_id, gt.amount FROM gateway_transactions gt
-  LEFT JOIN accounts a ON gt.account_id = a.account_id
-  WHERE gt.gateway_name = 'STARKBANK' AND gt.status <> 'PAID'),
-p14 AS (
-  SELECT bu.block_id, bu.user_id, count(DISTINCT fp.transaction_id) AS successful_payouts_in_2_weeks,
-    CAST(coalesce(sum(fp.absolut_amount), 0) AS DOUBLE) AS successful_payouts_amount
-  FROM bl bu LEFT JOIN payouts fp ON bu.user_id = fp.user_id
-    AND fp.created_at >= bu.created_at - INTERVAL 14 DAY AND fp.created_at <= bu.created_at
-  GROUP BY 1, 2),
-a3 AS (
-  SELECT bu.block_id, bu.user_id, count(DISTINCT ap.transaction_id) AS attempts_payouts_before_ban,
-    CAST(coalesce(sum(ap.amount), 0) AS DOUBLE) AS attempted_amount
-  FROM bl bu LEFT JOIN ap ON bu.user_id = ap.user_id
-    AND ap.created_at >= bu.created_at - INTERVAL 3 DAY AND ap.created_at <= bu.created_at
-  GROUP BY 1, 2),
-banned AS (
-  SELECT bu.block_id, bu.user_id, bu.created_at, bu.expire_at, bu.description, bu.notes, bu.flag, bu.is_cheating,
-    bu.is_smurfing, bu.is_deranking, bu.is_duo_boosting, bu.is_slow_climbing, bu.gamemode, bu.active_ban,
-    p14.successful_payouts_in_2_weeks, p14.successful_payouts_amount, a3.attempts_payouts_before_ban,
-    a3.attempted_amount
-  FROM bl bu
-  LEFT JOIN p14 ON bu.user_id = p14.user_id AND p14.block_id = bu.block_id
-  LEFT JOIN a3 ON bu.user_id = a3.user_id AND a3.block_id = bu.block_id
-  WHERE last_ban = 1)"""
-
-
 def _banned(fx: Fixtures) -> DataFrame:
     return marts.banned_users(fx.blocklist_events, fx.user_notes, fx.payouts, fx.gateway_transactions, fx.accounts)
 
 
-@register("banned_users", fixture_cte(*BANNED_FIXTURES) + BANNED_CTES + "\nSELECT * FROM banned")
+@register("banned_users", money_sql("SELECT * FROM banned"))
 def banned_users(spark: SparkSession, sf: str) -> DataFrame:
     return _banned(Fixtures(spark, sf))
 
 
 # ---------------------------------------------------------------- M18-M20
-COUPON_FIXTURES = BANNED_FIXTURES + ("coupons", "grouped_challenges", "transactions", "transaction_items",
-                                     "wallets", "super_tips", "coupon_items", "reputations", "match_players",
-                                     "players")
-COUPON_CTES = BANNED_CTES + """,
-cc AS (
-  SELECT t.coupon_id, coalesce(string_agg(w.currency, ', ' ORDER BY w.currency), '') AS currency
-  FROM transactions t
-  LEFT JOIN transaction_items ti ON t.transaction_id = ti.transaction_id
-  LEFT JOIN wallets w ON ti.wallet_id = w.wallet_id
-  LEFT JOIN accounts a ON w.account_id = a.account_id
-  WHERE a.type = 'PLAYER_ACCOUNT' AND t.type = 'COUPON' AND ti.status = 'CREDIT'
-  GROUP BY 1),
-cem AS (
-  SELECT coupon_id, external_match_id FROM coupon_items
-  QUALIFY row_number() OVER (PARTITION BY coupon_id ORDER BY created_at ASC, external_match_id ASC) = 1),
-mpu AS (
-  SELECT emp.*, ep.user_id, ep.external_gamemode FROM match_players emp
-  LEFT JOIN players ep ON emp.external_player_id = ep.external_player_id),
-cf AS (
-  SELECT c.coupon_id, c.user_id, c.created_at, gc.name AS challenge_name, round(c.odd, 2) AS odd,
-    c.type AS coupon_type, round(c.amount, 2) AS bet_amount,
-    round(CASE WHEN c.coupon_status = 'WON' THEN -(c.amount * (c.odd - 1)) ELSE c.amount END, 2) AS balance_amount,
-    round(CASE WHEN c.coupon_status = 'WON' THEN (c.amount * (c.odd - 1)) ELSE -c.amount END, 2) AS user_balance_amount,
-    CASE WHEN c.coupon_status = 'WON' AND cc.currency = 'BONUS_BRL' THEN 0 - (c.amount * (c.odd - 1))
-         WHEN c.coupon_status = 'LOST' AND cc.currency = 'BONUS_BRL' THEN 0
-         WHEN c.coupon_status = 'WON' AND cc.currency = 'BRL' THEN 0 - (c.amount * (c.odd - 1))
-         WHEN c.coupon_status = 'LOST' AND cc.currency = 'BRL' THEN c.amount
-         WHEN c.coupon_status = 'REFUND' THEN -(c.amount) END AS balance_amount_bonus,
-    CASE WHEN c.coupon_status = 'WON' AND cc.currency = 'BONUS_BRL' THEN (c.amount * (c.odd - 1))
-         WHEN c.coupon_status = 'LOST' AND cc.currency = 'BONUS_BRL' THEN 0
-         WHEN c.coupon_status = 'WON' AND cc.currency = 'BRL' THEN (c.amount * (c.odd - 1))
-         WHEN c.coupon_status = 'LOST' AND cc.currency = 'BRL' THEN -c.amount
-         WHEN c.coupon_status = 'REFUND' THEN -(c.amount) END AS user_balance_amount_bonus,
-    cc.currency, c.coupon_status, c.rollover_id, c.grouped_challenge_id,
-    coalesce(gc.gamemode, gc.external_gamemode) AS gamemode,
-    EXISTS (SELECT 1 FROM banned bn WHERE bn.user_id = c.user_id) AS is_banned,
-    EXISTS (SELECT 1 FROM super_tips st WHERE st.coupon_id = c.coupon_id) AS is_supertip,
-    cem.external_match_id, c.origin, rep.max_amount, rep.metadata AS reputation_metadata
-  FROM coupons c
-  LEFT JOIN grouped_challenges gc ON c.grouped_challenge_id = gc.grouped_challenge_id
-  LEFT JOIN cc ON c.coupon_id = cc.coupon_id
-  LEFT JOIN cem ON c.coupon_id = cem.coupon_id
-  LEFT JOIN mpu ON cem.external_match_id = mpu.external_match_id AND c.user_id = mpu.user_id
-       AND gc.external_gamemode = mpu.external_gamemode
-  LEFT JOIN reputations rep ON rep.external_match_player_id = mpu.external_match_player_id
-  WHERE c.coupon_status IN ('WON', 'LOST', 'REFUND'))"""
-
-
 def _coupons_finished(fx: Fixtures) -> DataFrame:
     return marts.coupons_finished(fx.coupons, fx.grouped_challenges, _banned(fx), fx.transactions,
                                   fx.transaction_items, fx.wallets, fx.accounts, fx.super_tips, fx.coupon_items,
                                   fx.reputations, fx.match_players, fx.players)
 
 
-@register("coupons_finished", fixture_cte(*COUPON_FIXTURES) + COUPON_CTES + "\nSELECT * FROM cf")
+@register("coupons_finished", money_sql("SELECT * FROM finished"))
 def coupons_finished(spark: SparkSession, sf: str) -> DataFrame:
     return _coupons_finished(Fixtures(spark, sf))
 
 
-@register("signed_settlement", fixture_cte(*COUPON_FIXTURES) + COUPON_CTES + """
+@register("signed_settlement", money_sql("""
 SELECT coupon_id, coupon_status, currency, balance_amount, user_balance_amount, balance_amount_bonus,
-       user_balance_amount_bonus FROM cf""")
+       user_balance_amount_bonus FROM finished"""))
 def signed_settlement(spark: SparkSession, sf: str) -> DataFrame:
     return _coupons_finished(Fixtures(spark, sf)).select(
         "coupon_id", "coupon_status", "currency", "balance_amount", "user_balance_amount", "balance_amount_bonus",
@@ -561,95 +217,6 @@ def signed_settlement(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- M21-M23
-FIN_FIXTURES = COUPON_FIXTURES + ("transactions_finished", "league_points", "challenges", "users")
-_FIN_MEASURES = ",\n    ".join(
-    f"CAST(round(sum(CASE WHEN type IN ({', '.join(repr(t) for t in types)}) THEN "
-    f"{'abs(amount)' if how == 'abs' else '-(amount)' if how == 'neg' else 'amount'} ELSE 0 END), 2) AS DECIMAL(38,2)) AS {name}"
-    for name, types, how in marts.FINANCIAL_MEASURES)
-_FIN_MEASURES += (",\n    CAST(round(sum(CASE WHEN type = 'PAYIN' THEN amount ELSE 0 END) - "
-                  "sum(CASE WHEN type = 'PAYOUT' THEN amount ELSE 0 END), 2) AS DECIMAL(38,2)) AS payin_payout_balance")
-_LCOLS = "reference_date, user_id, gamemode, coupon_id, transaction_id, bet_amount, amount, type"
-# Ledger amounts are DECIMAL(38,2): the type the source's UNION ALL of the six
-# feeds coerces them to (see marts.LEDGER_AMOUNT_TYPE); spelled out per feed so
-# the result does not depend on this engine's own union typing.
-FIN_CTES = COUPON_CTES + f""",
-gm_users AS (SELECT user_id, gamemode FROM cf GROUP BY 1, 2),
-lg AS (
-  SELECT lp.league_id, cc2.external_gamemode AS gamemode FROM league_points lp
-  LEFT JOIN coupon_items ci ON lp.external_match_id = ci.external_match_id
-  LEFT JOIN challenges cc2 ON ci.challenge_id = cc2.challenge_id
-  GROUP BY 1, 2),
-le AS (
-  SELECT CAST(tf.created_at AS DATE) AS reference_date, tf.user_id, coalesce(lg.gamemode, 'LOL1V1') AS gamemode,
-    CAST(NULL AS VARCHAR) AS coupon_id, tf.transaction_id, CAST(NULL AS DECIMAL(18,2)) AS bet_amount,
-    CAST(tf.absolut_amount AS DECIMAL(38,2)) AS amount, 'LEAGUE_ENTRANCE' AS type
-  FROM transactions_finished tf LEFT JOIN lg ON tf.league_id = lg.league_id
-  WHERE tf.transaction_type IN ('LEAGUE_REGISTRATION', 'LEAGUE_TICKET') AND tf.debit_credit = 'CREDIT'
-    AND tf.wallet_currency = 'BRL' AND CAST(tf.created_at AS DATE) >= DATE '{LEAGUE_SINCE}'),
-sub AS (
-  SELECT CAST(tf.created_at AS DATE) AS reference_date, tf.user_id, CAST(NULL AS VARCHAR) AS gamemode,
-    CAST(NULL AS VARCHAR) AS coupon_id, tf.transaction_id, CAST(NULL AS DECIMAL(18,2)) AS bet_amount,
-    CAST(tf.absolut_amount AS DECIMAL(38,2)) AS amount, 'SUBSCRIPTION_OLD_USER' AS type
-  FROM transactions_finished tf LEFT JOIN users u ON tf.user_id = u.user_id
-  WHERE tf.transaction_type = 'SUBSCRIPTION_OLD_USER' AND tf.debit_credit = 'CREDIT'
-    AND u.created_at >= TIMESTAMP '{SUBSCRIPTION_USERS_SINCE} 00:00:00'),
-cr AS (
-  SELECT CAST(ti.created_at AS DATE) AS reference_date, cf.user_id, cf.gamemode,
-    CAST(ti.coupon_id AS VARCHAR) AS coupon_id, ti.transaction_id, cf.bet_amount,
-    CAST(ti.amount_rev AS DECIMAL(38,2)) AS amount,
-    CASE WHEN ti.debit_credit = 'ARTIFICIAL' THEN 'RECOVERED_REVENUE'
-         WHEN ti.debit_credit = 'ARTIFICIAL_UNBANNED' THEN 'ARTIFICIAL_UNBANNED'
-         WHEN ti.debit_credit <> 'ARTIFICIAL' THEN ti.transaction_type END AS type
-  FROM transactions_finished ti LEFT JOIN cf ON ti.coupon_id = cf.coupon_id
-  WHERE ti.transaction_type IN ('COUPON', 'COUPON_REFUND') AND ti.wallet_currency = 'BRL'),
-bc AS (
-  SELECT CAST(created_at AS DATE) AS reference_date, user_id, gamemode, CAST(coupon_id AS VARCHAR) AS coupon_id,
-    CAST(NULL AS BIGINT) AS transaction_id, bet_amount, CAST(balance_amount AS DECIMAL(38,2)) AS amount,
-    'BONUS_CONVERTED' AS type
-  FROM cf WHERE currency = 'BONUS_BRL' AND coupon_status = 'WON'),
-br AS (
-  SELECT CAST(created_at AS DATE) AS reference_date, user_id, CAST(NULL AS VARCHAR) AS gamemode,
-    CAST(NULL AS VARCHAR) AS coupon_id, transaction_id, CAST(NULL AS DECIMAL(18,2)) AS bet_amount,
-    CAST(absolut_amount AS DECIMAL(38,2)) AS amount, 'BONUS' AS type
-  FROM transactions_finished
-  WHERE wallet_currency = 'BONUS_BRL' AND debit_credit = 'DEBIT'
-    AND transaction_type IN ('ROLLOVER', 'BONUS', 'LEAGUE_PRIZE', 'COUPON_REFUND', 'BACKOFFICE_BONUS')),
-pp AS (
-  SELECT CAST(updated_at AS DATE) AS reference_date, user_id, CAST(NULL AS VARCHAR) AS gamemode,
-    CAST(NULL AS VARCHAR) AS coupon_id, transaction_id, CAST(NULL AS DECIMAL(18,2)) AS bet_amount,
-    CAST(absolut_amount AS DECIMAL(38,2)) AS amount, transaction_type AS type
-  FROM transactions_finished WHERE transaction_type IN ('PAYIN', 'PAYOUT')),
-sub_g AS (SELECT s.reference_date, s.user_id, coalesce(g.gamemode, 'LOL1V1') AS gamemode, s.coupon_id,
-          s.transaction_id, s.bet_amount, s.amount, s.type FROM sub s LEFT JOIN gm_users g ON s.user_id = g.user_id),
-br_g AS (SELECT s.reference_date, s.user_id, coalesce(g.gamemode, 'LOL1V1') AS gamemode, s.coupon_id,
-          s.transaction_id, s.bet_amount, s.amount, s.type FROM br s LEFT JOIN gm_users g ON s.user_id = g.user_id),
-pp_g AS (SELECT s.reference_date, s.user_id, coalesce(g.gamemode, 'LOL1V1') AS gamemode, s.coupon_id,
-          s.transaction_id, s.bet_amount, s.amount, s.type FROM pp s LEFT JOIN gm_users g ON s.user_id = g.user_id),
-gen AS (SELECT {_LCOLS} FROM le UNION ALL SELECT {_LCOLS} FROM sub UNION ALL SELECT {_LCOLS} FROM cr
-        UNION ALL SELECT {_LCOLS} FROM bc UNION ALL SELECT {_LCOLS} FROM br UNION ALL SELECT {_LCOLS} FROM pp),
-per AS (SELECT {_LCOLS} FROM le UNION ALL SELECT {_LCOLS} FROM sub_g UNION ALL SELECT {_LCOLS} FROM cr
-        UNION ALL SELECT {_LCOLS} FROM bc UNION ALL SELECT {_LCOLS} FROM br_g UNION ALL SELECT {_LCOLS} FROM pp_g),
-gr AS (SELECT reference_date, 'GENERAL' AS gamemode,
-    {_FIN_MEASURES}
-  FROM gen GROUP BY 1, 2),
-mr AS (SELECT reference_date, gamemode,
-    {_FIN_MEASURES}
-  FROM per GROUP BY 1, 2),
-ur AS (SELECT * FROM gr UNION ALL SELECT * FROM mr),
-mu AS (SELECT CAST(date_trunc('month', created_at) AS DATE) AS created_at, 'GENERAL' AS gamemode,
-              count(DISTINCT user_id) AS monthly_users FROM cf GROUP BY 1, 2),
-mug AS (SELECT CAST(date_trunc('month', created_at) AS DATE) AS created_at, gamemode,
-               count(DISTINCT user_id) AS monthly_users FROM cf GROUP BY 1, 2),
-fin AS (
-  SELECT ur.reference_date, ur.gamemode, ur.league_entrance, ur.subscription_old_user, ur.coupons,
-    ur.recovered_revenue, ur.coupons_only, ur.unbanned_users, ur.coupons_refund, ur.bonus_converted,
-    ur.bonus_converted_abs, ur.bonus_received, ur.payin, ur.payout, ur.payout_abs, ur.payin_payout_balance,
-    CASE WHEN ur.gamemode = 'GENERAL' THEN mu.monthly_users ELSE mug.monthly_users END AS monthly_users
-  FROM ur
-  LEFT JOIN mug ON CAST(date_trunc('month', ur.reference_date) AS DATE) = mug.created_at AND ur.gamemode = mug.gamemode
-  LEFT JOIN mu ON CAST(date_trunc('month', ur.reference_date) AS DATE) = mu.created_at AND ur.gamemode = mu.gamemode)"""
-
-
 def _financial(spark: SparkSession, sf: str) -> DataFrame:
     """The coupon fact and the transaction ledger are tables upstream of the
     daily mart and each is read five or six times by it, so both are
@@ -662,13 +229,13 @@ def _financial(spark: SparkSession, sf: str) -> DataFrame:
                                  subscription_users_since=SUBSCRIPTION_USERS_SINCE)
 
 
-@register("financial_daily", fixture_cte(*FIN_FIXTURES) + FIN_CTES + "\nSELECT * FROM fin")
+@register("financial_daily", money_sql("SELECT * FROM daily"))
 def financial_daily(spark: SparkSession, sf: str) -> DataFrame:
     return _financial(spark, sf)
 
 
-@register("typed_ledger", fixture_cte(*FIN_FIXTURES) + FIN_CTES + """
-SELECT reference_date, user_id, gamemode, transaction_id, amount, type FROM gen""")
+@register("typed_ledger", money_sql(
+    "SELECT reference_date, user_id, gamemode, transaction_id, amount, type FROM booked"))
 def typed_ledger(spark: SparkSession, sf: str) -> DataFrame:
     fx = Fixtures(spark, sf)
     feeds = marts.typed_ledger(fx.transactions_finished, _coupons_finished(fx), fx.league_points, fx.coupon_items,
@@ -770,20 +337,9 @@ visits AS (
 
 
 @register("classify_pages", f"""WITH {_PAGE_VISITS}
-SELECT page_id,
-  CASE WHEN campaign_source IN ('influencer', 'influencers') THEN 'influencer'
-       WHEN campaign_medium IS NOT NULL THEN campaign_medium
-       WHEN path LIKE '%blog%' THEN 'search-blog'
-       WHEN regexp_matches(referrer, '({SEARCH})') THEN 'search-brand'
-       WHEN regexp_matches(referrer, '({SOCIAL})') THEN 'social'
-       WHEN referrer IS NULL THEN 'direct' ELSE 'referral' END AS medium,
-  CASE WHEN campaign_source IN ('influencer', 'influencers') THEN NULL
-       WHEN campaign_source IS NOT NULL THEN campaign_source
-       WHEN path LIKE '%blog%' THEN path
-       WHEN regexp_matches(referrer, '({SEARCH}{SOCIAL})') THEN regexp_extract(referrer, '({SEARCH}{SOCIAL})', 1)
-       WHEN referrer IS NULL THEN 'direct' ELSE referrer END AS source,
-  coalesce(campaign_name, CASE WHEN path LIKE '%blog%' THEN path END) AS campaign
-FROM visits""")
+SELECT v.page_id, m.medium, m.source,
+  coalesce(v.campaign_name, CASE WHEN contains(v.path, 'blog') THEN v.path END) AS campaign
+FROM visits v, {ORIGIN}, {visit_rules('CAST(NULL AS VARCHAR)')}""")
 def classify_pages(spark: SparkSession, sf: str) -> DataFrame:
     """M2/S9/T4 on the raw page table: every URL is parsed (path, campaign
     parameters) with regex and classified by the ordered rules."""
@@ -802,14 +358,13 @@ def classify_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ------------------------------------------------------------ Q3 on marts
-@register("grain_checks", fixture_cte(*COUPON_FIXTURES) + COUPON_CTES + """
-SELECT 'banned_users' AS table_name, 'user_id' AS column_name, 'not_null' AS test,
-       CAST(count(*) FILTER (WHERE user_id IS NULL) AS BIGINT) AS failures FROM banned
-UNION ALL SELECT 'banned_users', 'user_id', 'unique', CAST(count(user_id) - count(DISTINCT user_id) AS BIGINT) FROM banned
-UNION ALL SELECT 'coupons_finished', 'coupon_id', 'not_null',
-       CAST(count(*) FILTER (WHERE coupon_id IS NULL) AS BIGINT) FROM cf
-UNION ALL SELECT 'coupons_finished', 'coupon_id', 'unique', CAST(count(coupon_id) - count(DISTINCT coupon_id) AS BIGINT) FROM cf
-""")
+@register("grain_checks", money_sql("""
+SELECT table_name, column_name, test,
+  CAST(if(test = 'not_null', rows_ - filled, filled - kinds) AS BIGINT) AS failures
+FROM (SELECT 'banned_users' AS table_name, 'user_id' AS column_name, count(*) AS rows_, count(user_id) AS filled,
+        count(DISTINCT user_id) AS kinds FROM banned
+      UNION ALL SELECT 'coupons_finished', 'coupon_id', count(*), count(coupon_id), count(DISTINCT coupon_id)
+      FROM finished), (VALUES ('not_null'), ('unique')) t(test)"""))
 def grain_checks(spark: SparkSession, sf: str) -> DataFrame:
     """Q3 on the composites' grain, as the source schema tests state it: one
     row per banned user, one row per finished coupon. The coupon grain is
@@ -824,7 +379,7 @@ def grain_checks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ------------------------------------------------- materialised model chain
-@register("materialised_financial", fixture_cte(*FIN_FIXTURES) + FIN_CTES + "\nSELECT * FROM fin")
+@register("materialised_financial", money_sql("SELECT * FROM daily"))
 def materialised_financial(spark: SparkSession, sf: str) -> DataFrame:
     """IO2/IO10/IO12: banned users -> finished coupons -> daily financial,
     each written (clustered) under the shared folder and read back by the
@@ -847,7 +402,7 @@ def materialised_financial(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(paths["financial_daily"])
 
 
-@register("materialised_attribution", ua_sql(_ACQ_FINAL, fixtures=UA_FIXTURES + ("ads_cost",), extra=_ACQ_EXTRA))
+@register("materialised_attribution", acquisition_sql())
 def materialised_attribution(spark: SparkSession, sf: str) -> DataFrame:
     """IO2/IO10/IO12: user attribution -> daily acquisition, each written
     under the shared folder; returns the written daily acquisition table."""

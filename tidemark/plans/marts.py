@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import days_between, flag, local_date, month_start, to_local
 from tidemark.operators import aggs, attribution, joins, reshape, stage
-from tidemark.operators.joins import broadcast_if_small
 from tidemark.sources.files import stage_table
 
 # ====================================================================== M17
@@ -182,11 +181,9 @@ FINANCIAL_MEASURES = (
 _LEDGER_COLS = ("reference_date", "user_id", "gamemode", "coupon_id", "transaction_id", "bet_amount", "amount", "type")
 
 
-# The source model unions the six feeds, and Spark's UNION ALL coerces the
-# feed amounts (DECIMAL(18,2), DECIMAL(38,4) revenue, DECIMAL(38,2) coupon
-# balances) to DECIMAL(38,2): every amount is rounded to cents (half up)
-# before it is summed. The cast makes that explicit and order-independent.
-LEDGER_AMOUNT_TYPE = "decimal(38,2)"
+# Ledger amounts keep six places through the sums (revenue has four); the
+# measures are rounded to cents last.
+LEDGER_AMOUNT_TYPE = "decimal(38,6)"
 
 
 def _ledger(df: DataFrame, **cols) -> DataFrame:
@@ -376,8 +373,8 @@ def network_costs(google_reports: DataFrame, fb_insights: DataFrame, fb_ads: Dat
     look-ups (a missing campaign gives a null campaign)."""
     google = NetworkCost(google_reports, F.to_date("date_stop"), F.col("campaign_id"), F.col("cost"), 2,
                          convert=micros_to_money)
-    ads = broadcast_if_small(fb_ads.select(F.col("id").alias("ad_id"), "campaign_id"))
-    camps = broadcast_if_small(fb_campaigns.select(F.col("id").alias("campaign_id"), F.col("id").alias("__tm_cid")))
+    ads = fb_ads.select(F.col("id").alias("ad_id"), "campaign_id")
+    camps = fb_campaigns.select(F.col("id").alias("campaign_id"), F.col("id").alias("__tm_cid"))
     fb_rows = fb_insights.join(ads, "ad_id", "left").join(camps, "campaign_id", "left")
     facebook = NetworkCost(fb_rows, F.to_date("date_start"), F.col("__tm_cid"), F.col("spend"), None)
     return google, facebook

@@ -14,9 +14,6 @@ from pyspark.sql import SparkSession
 
 # Largest side, in bytes (in memory), that may be broadcast.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-# Plan estimates of file scans are compressed file sizes; rows in memory are
-# taken to be up to this many times larger when checking a broadcast.
-FILE_EXPANSION = 4
 # Static (plan-time) broadcast threshold of the planner: Spark's default.
 PLANNER_BROADCAST_BYTES = 10 * 1024 * 1024
 # Target bytes per shuffle partition and per input split.
@@ -38,21 +35,23 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     """Create (or reuse) a session with the settings the marts rely on.
 
     ``input_bytes`` (the size of the largest input) sizes the shuffle width
-    with :func:`shuffle_partitions_for`; otherwise ``shuffle_partitions`` or
-    ``TIDEMARK_SHUFFLE_PARTITIONS`` (default 8, local runs).
+    with :func:`shuffle_partitions_for`, unless ``shuffle_partitions`` or
+    ``TIDEMARK_SHUFFLE_PARTITIONS`` says otherwise. What is not given (the
+    master too) is left to the cluster's own settings.
     """
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    master = master or f"local[{cpus}]"
-    if input_bytes is not None and shuffle_partitions is None:
-        shuffle_partitions = shuffle_partitions_for(input_bytes, int(cpus))
-    parts = shuffle_partitions or int(os.environ.get("TIDEMARK_SHUFFLE_PARTITIONS", "8"))
+    parts = shuffle_partitions or os.environ.get("TIDEMARK_SHUFFLE_PARTITIONS")
+    if parts is None and input_bytes is not None:
+        parts = shuffle_partitions_for(input_bytes)
+    builder = SparkSession.builder
+    if master:
+        builder = builder.master(master)
+    if parts:
+        builder = builder.config("spark.sql.shuffle.partitions", str(parts))
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
+        builder.appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.files.maxPartitionBytes", str(SPLIT_BYTES))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -85,13 +84,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/...)
-    and is read from the session unchanged. A local scratch folder is only
-    created when nothing is configured, as in tests.
+    and is read from the session unchanged; without it a cluster run raises.
+    A local scratch folder is only made for a local master, as in tests.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not spark.sparkContext.getCheckpointDir():

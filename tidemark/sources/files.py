@@ -14,29 +14,20 @@ from tidemark.session import checkpoint_dir
 SINK_FORMATS = ("parquet", "orc", "delta", "jdbc", "table")
 
 
-_READERS: dict = {}
-
-
 def read_source(spark: SparkSession, location: str, name: str | None = None) -> DataFrame:
     """IO1: read a named source.
 
     ``location`` is either a folder holding ``<name>.parquet`` or, when
-    ``name`` is None, a catalog table name or a parquet path. The reader of
-    a parquet source is kept per session (a DataFrame is immutable), so its
-    file listing and footer schema are read once, not at every use.
+    ``name`` is None, a parquet path (it holds a ``/``) or a catalog table.
+    Every call lists the files anew, so an overwritten source reads right.
     """
-    if name is None:
-        if spark.catalog.tableExists(location):
-            return spark.table(location)
-        path = location
-    else:
-        path = f"{location.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    df = _READERS.get(key)
-    if df is None:
-        df = spark.read.parquet(path)
-        _READERS[key] = df
-    return df
+    if name is not None:
+        return spark.read.parquet(f"{location.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(location) if _is_path(location) else spark.table(location)
+
+
+def _is_path(target: str) -> bool:
+    return "/" in target or target.startswith("file:")
 
 
 class Tables:
@@ -78,15 +69,35 @@ def _norm_path(p: str) -> str:
 def _reads_target(df: DataFrame, target: str) -> bool:
     """True when ``df`` reads the path or catalog table being overwritten.
 
-    Paths: compare with the frame's input files (file listing metadata, no
-    job). Tables: look for the table identifier in the analysed plan.
+    The scans' root paths are compared (not their file lists, which grow
+    with the table); a catalog table stands for its location.
     """
-    if "/" in target or target.startswith("file:"):
-        root = _norm_path(target) + "/"
-        return any(_norm_path(f).startswith(root) for f in df.inputFiles())
-    plan = df._jdf.queryExecution().analyzed().toString()
-    name = target.split(".")[-1].strip("`")
-    return f".{name}" in plan or f" {name}" in plan
+    spark = df.sparkSession
+    if _is_path(target):
+        root = _norm_path(target)
+    elif spark.catalog.tableExists(target):
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {target}").where("col_name = 'Location'").select("data_type")
+        location = rows.first()
+        if location is None:
+            return False
+        root = _norm_path(location[0])
+    else:
+        return False
+    roots = (_norm_path(p) for p in _scan_roots(df))
+    return any(p == root or p.startswith(root + "/") or root.startswith(p + "/") for p in roots)
+
+
+def _scan_roots(df: DataFrame) -> list[str]:
+    """Root paths of the file scans in the plan."""
+    found, leaves = [], df._jdf.queryExecution().analyzed().collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation":
+            relation = leaf.relation()
+            if relation.getClass().getSimpleName() == "HadoopFsRelation":
+                paths = relation.location().rootPaths()
+                found += [paths.apply(k).toString() for k in range(paths.size())]
+    return found
 
 
 def materialize(
@@ -118,15 +129,15 @@ def materialize(
     if format == "delta" and not _delta_available(df.sparkSession):
         raise RuntimeError("the delta sink needs the Delta Lake package on the classpath; "
                            "use format='parquet' or 'table' otherwise")
-    out = df
-    if cluster_by:
+    def laid_out(frame: DataFrame) -> DataFrame:
+        if not cluster_by:
+            return frame
         cols = list(cluster_by)
-        if files_per_partition:
-            out = out.repartitionByRange(files_per_partition, *cols)
-        else:
-            out = out.repartitionByRange(*cols)
-        out = out.sortWithinPartitions(*cols)
+        ranged = (frame.repartitionByRange(files_per_partition, *cols) if files_per_partition
+                  else frame.repartitionByRange(*cols))
+        return ranged.sortWithinPartitions(*cols)
 
+    out = laid_out(df)
     if format == "jdbc":
         if not jdbc_url:
             raise ValueError("jdbc sink needs jdbc_url")
@@ -135,8 +146,8 @@ def materialize(
 
     if mode == "overwrite" and _reads_target(df, target):
         staging = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/staging-{uuid.uuid4().hex}"
-        out.write.mode("overwrite").parquet(staging)
-        out = df.sparkSession.read.parquet(staging)
+        df.write.mode("overwrite").parquet(staging)
+        out = laid_out(df.sparkSession.read.parquet(staging))
 
     writer = out.write.mode(mode)
     if partition_by:
@@ -144,7 +155,7 @@ def materialize(
     if format == "table":
         writer.saveAsTable(target)
     elif format in ("parquet", "orc", "delta"):
-        if "/" in target or target.startswith("file:"):
+        if _is_path(target):
             writer.format(format).save(target)
         else:
             writer.format(format).saveAsTable(target)

@@ -5,15 +5,15 @@ the newest ``updated_at`` already in the target, loads at most ``num_days``
 and never past ``now``, in windows of ``interval_hours``; rows are appended
 (no merge), so repeated ids are resolved at read time by ``latest_per_key``.
 
-Behaviour fixed: all windows of one run are read by one Spark job (one task
-per window) and appended in a single commit. A failing window fails the run
-and nothing is appended, so the next run starts from the same mark and no
-hole is left behind.
+Behaviour fixed: windows are committed in order, ``connections`` of them per
+Spark job (one task and one connection each). Where a job fails, its windows
+are committed one by one up to the failing one, which ends the run: the good
+windows before it stay, the next run starts after them, no hole is left.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -73,12 +73,14 @@ def incremental_load(
     schema=None,
     literal: str = "'{}'",
     mark_col: str | None = None,
+    connections: int = 8,
 ) -> list[tuple[datetime, datetime]]:
     """IO5: append the rows of ``source_table`` newer than the target's mark.
 
     Returns the windows that were loaded (empty when there is nothing new).
     ``now`` is an argument so a run is reproducible; it defaults to the
-    wall clock. ``ts_col`` is the column as the source database spells it
+    wall clock in UTC, the session's zone. At most ``connections`` windows
+    are read at a time. ``ts_col`` is the column as the source database spells it
     (quoted if needed); ``mark_col`` is its name in the target (default the
     same).
     """
@@ -88,15 +90,25 @@ def incremental_load(
     else:
         text = initial_start or INITIAL_START
         start = text if isinstance(text, datetime) else datetime.strptime(text, "%Y-%m-%dT%H:%M:%S.%f")
-    end = min(start + timedelta(days=num_days), now or datetime.now())
+    end = min(start + timedelta(days=num_days), now or datetime.now(timezone.utc).replace(tzinfo=None))
     windows = plan_windows(start, end, interval_hours)
-    if not windows:
-        return []
-    df = read_jdbc_windows(spark, url, source_table, ts_col, windows, properties,
-                           base_filter=base_filter, schema=schema, literal=literal)
-    writer = df.write.mode("append")
-    if _is_path(target):
-        writer.parquet(target)
-    else:
-        writer.saveAsTable(target)
+
+    def commit(part: list[tuple[datetime, datetime]]) -> None:
+        df = read_jdbc_windows(spark, url, source_table, ts_col, part, properties,
+                               base_filter=base_filter, schema=schema, literal=literal)
+        writer = df.write.mode("append")
+        if _is_path(target):
+            writer.parquet(target)
+        else:
+            writer.saveAsTable(target)
+
+    for i in range(0, len(windows), max(1, connections)):
+        part = windows[i:i + max(1, connections)]
+        try:
+            commit(part)
+        except Exception:
+            if len(part) == 1:
+                raise
+            for window in part:
+                commit([window])
     return windows
