@@ -115,3 +115,12 @@ def test_no_forced_hint_outside_the_checked_operators():
     for path in (ROOT / "tidemark").rglob("*.py"):
         if "llm" not in path.parts:
             assert not re.search(r"F\.broadcast\(|\.hint\(|localCheckpoint", path.read_text()), path
+
+
+def test_ordered_rows_are_in_order(spark, sf_small):
+    from tidemark.plans.basic import ordered_rows
+
+    rows = [tuple(r) for r in ordered_rows(spark, sf_small).collect()]
+    want = sorted(rows, key=lambda r: (r[1], r[0]))
+    want.sort(key=lambda r: r[2] or "~", reverse=True)  # descending, nulls first
+    assert rows == want

@@ -29,6 +29,7 @@ from tidemark.functions import (
     to_local,
     week_start,
 )
+from tidemark.functions import predicates
 from tidemark.operators import aggs, checks, joins, reshape, stage
 from tidemark.sources.files import Tables
 
@@ -657,3 +658,44 @@ def coalesced_lookup(spark: SparkSession, sf: str) -> DataFrame:
         "k2": F.col("user_id") + 100})
     out = joins.coalesced_lookup(ev, t.customer, ["k1", "k2"], "c_custkey", "c_name", name="name")
     return out.select("event_id", "name", replace_text("name", "#", " ").alias("label"))
+
+
+# P12 / A10 / O1
+@register("null_filters", """
+WITH o AS (SELECT o_orderkey, nullif(o_orderpriority, '1-URGENT') AS priority,
+             CASE WHEN o_orderstatus <> 'P' THEN o_totalprice > 100000 END AS large FROM orders)
+SELECT t.kept, o_orderkey FROM o, (VALUES ('null'), ('not_null'), ('true')) t(kept)
+WHERE (t.kept = 'null' AND priority IS NULL) OR (t.kept = 'not_null' AND priority IS NOT NULL)
+  OR (t.kept = 'true' AND large IS TRUE)
+""")
+def null_filters(spark: SparkSession, sf: str) -> DataFrame:
+    o = Tables(spark, sf).orders.select(
+        "o_orderkey", F.nullif("o_orderpriority", F.lit("1-URGENT")).alias("priority"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice") > 100000).alias("large"))
+    frames = [(predicates.keep_null(o, "priority"), "null"), (predicates.keep_not_null(o, "priority"), "not_null"),
+              (predicates.keep_true(o, "large"), "true")]
+    return stage.stack_rows(*[stage.with_constants(df, {"kept": kept}).select("kept", "o_orderkey")
+                              for df, kept in frames])
+
+
+@register("mean_cost", """
+SELECT CAST(l_shipdate AS DATE) AS day,
+  CAST(CASE WHEN sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) = 0 THEN 0
+    ELSE sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS BIGINT) END)
+         / sum(CASE WHEN l_returnflag = 'R' THEN 1 END) END AS DOUBLE) AS cost
+FROM lineitem GROUP BY 1
+""")
+def mean_cost(spark: SparkSession, sf: str) -> DataFrame:
+    li = Tables(spark, sf).lineitem
+    cost = F.when(F.col("l_returnflag") == "R", F.col("l_quantity").cast("long"))
+    return aggs.grouped(li, {"day": F.to_date("l_shipdate")}, {"cost": aggs.mean_or_zero(cost)})
+
+
+@register("ordered_rows", """
+SELECT o_orderkey, o_custkey, nullif(o_orderpriority, '5-LOW') AS priority FROM orders
+""")
+def ordered_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """O1/O3: the sink's order; the oracle compares the rows, a test their order."""
+    o = Tables(spark, sf).orders.select("o_orderkey", "o_custkey",
+                                        F.nullif("o_orderpriority", F.lit("5-LOW")).alias("priority"))
+    return stage.ordered(o, [("priority", "desc"), ("o_custkey", "asc"), ("o_orderkey", "asc")], pg_nulls=True)

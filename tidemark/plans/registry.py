@@ -11,8 +11,8 @@ for _module in (basic,):
     REGISTRY.update(_module.REGISTRY)
     ORACLE.update(_module.ORACLE)
 
-from tidemark.plans import io_queries, mart_queries  # noqa: E402
+from tidemark.plans import io_queries, mart_queries, staging  # noqa: E402
 
-for _module in (mart_queries, io_queries):
+for _module in (mart_queries, io_queries, staging):
     REGISTRY.update(_module.REGISTRY)
     ORACLE.update(_module.ORACLE)
