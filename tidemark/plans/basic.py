@@ -276,21 +276,15 @@ def join_on_constant_side(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("lookback_agg", """
-WITH bans AS (SELECT event_id AS block_id, user_id, ts FROM events WHERE event_type = 'error'),
-pay AS (SELECT event_id AS transaction_id, user_id, ts AS paid_at, CAST(value AS DECIMAL(18,2)) AS amount
-        FROM events WHERE event_type = 'purchase'),
-w14 AS (
-  SELECT b.block_id, count(DISTINCT p.transaction_id) AS payouts_14d,
-         CAST(coalesce(sum(p.amount), 0) AS DECIMAL(18,2)) AS amount_14d
-  FROM bans b LEFT JOIN pay p ON p.user_id = b.user_id AND p.paid_at >= b.ts - INTERVAL 14 DAY AND p.paid_at <= b.ts
-  GROUP BY b.block_id),
-w3 AS (
-  SELECT b.block_id, count(DISTINCT p.transaction_id) AS payouts_3d,
-         CAST(coalesce(sum(p.amount), 0) AS DECIMAL(18,2)) AS amount_3d
-  FROM bans b LEFT JOIN pay p ON p.user_id = b.user_id AND p.paid_at >= b.ts - INTERVAL 3 DAY AND p.paid_at <= b.ts
-  GROUP BY b.block_id)
-SELECT b.block_id, b.user_id, b.ts, w14.payouts_14d, w14.amount_14d, w3.payouts_3d, w3.amount_3d
-FROM bans b JOIN w14 USING (block_id) JOIN w3 USING (block_id)
+SELECT b.event_id AS block_id, b.user_id, b.ts,
+  count(DISTINCT p.event_id) AS payouts_14d,
+  CAST(coalesce(sum(p.amount), 0) AS DECIMAL(18,2)) AS amount_14d,
+  count(DISTINCT p.event_id) FILTER (WHERE p.ts >= b.ts - INTERVAL 3 DAY) AS payouts_3d,
+  CAST(coalesce(sum(p.amount) FILTER (WHERE p.ts >= b.ts - INTERVAL 3 DAY), 0) AS DECIMAL(18,2)) AS amount_3d
+FROM events b LEFT JOIN (SELECT event_id, user_id, ts, CAST(value AS DECIMAL(18,2)) AS amount FROM events
+                         WHERE event_type = 'purchase') p
+  ON p.user_id = b.user_id AND p.ts BETWEEN b.ts - INTERVAL 14 DAY AND b.ts
+WHERE b.event_type = 'error' GROUP BY ALL
 """)
 def lookback_agg(spark: SparkSession, sf: str) -> DataFrame:
     ev = Tables(spark, sf).events
@@ -368,16 +362,13 @@ def spine_fill(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("weekly_fallback", """
-WITH bounds AS (SELECT min(CAST(o_orderdate AS DATE)) AS lo, max(CAST(o_orderdate AS DATE)) AS hi FROM orders),
-spine AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS _date FROM bounds),
-rates AS (SELECT CAST(o_orderdate AS DATE) AS reference_date, CAST(min(o_totalprice) AS DECIMAL(18,2)) AS exchange
-          FROM orders GROUP BY 1),
-weekly AS (SELECT CAST(date_trunc('week', reference_date) AS DATE) AS wk, avg(exchange) AS exchange FROM rates GROUP BY 1)
-SELECT s._date AS reference_date,
-       CAST(round(coalesce(r.exchange, w.exchange), 4) AS DECIMAL(18,4)) AS exchange
-FROM spine s
-LEFT JOIN rates r ON r.reference_date = s._date
-LEFT JOIN weekly w ON CAST(date_trunc('week', s._date) AS DATE) = w.wk AND r.exchange IS NULL
+WITH rate AS (SELECT CAST(o_orderdate AS DATE) AS day, CAST(min(o_totalprice) AS DECIMAL(18,2)) AS exchange
+              FROM orders GROUP BY day)
+SELECT CAST(d.day AS DATE) AS reference_date,
+  CAST(round(if(rate.day IS NULL, (SELECT avg(w.exchange) FROM rate w
+    WHERE yearweek(w.day) = yearweek(d.day)), rate.exchange), 4) AS DECIMAL(18,4)) AS exchange
+FROM (SELECT unnest(range(min(day), max(day) + 1, INTERVAL 1 DAY)) AS day FROM rate) d
+LEFT JOIN rate ON rate.day = d.day
 """)
 def weekly_fallback(spark: SparkSession, sf: str) -> DataFrame:
     o = Tables(spark, sf).orders
@@ -389,20 +380,14 @@ def weekly_fallback(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("monthly_active", """
-WITH ev AS (SELECT CAST(ts AS DATE) AS reference_date, event_type, user_id FROM events),
-daily AS (
-  SELECT reference_date, 'GENERAL' AS event_type, count(*) AS n_events FROM ev GROUP BY 1
-  UNION ALL
-  SELECT reference_date, event_type, count(*) AS n_events FROM ev GROUP BY 1, 2),
-mu AS (SELECT CAST(date_trunc('month', reference_date) AS DATE) AS month, 'GENERAL' AS event_type,
-              count(DISTINCT user_id) AS monthly_users FROM ev GROUP BY 1),
-mug AS (SELECT CAST(date_trunc('month', reference_date) AS DATE) AS month, event_type,
-               count(DISTINCT user_id) AS monthly_users FROM ev GROUP BY 1, 2)
-SELECT d.reference_date, d.event_type, d.n_events,
-       CASE WHEN d.event_type = 'GENERAL' THEN mu.monthly_users ELSE mug.monthly_users END AS monthly_users
-FROM daily d
-LEFT JOIN mug ON mug.month = CAST(date_trunc('month', d.reference_date) AS DATE) AND mug.event_type = d.event_type
-LEFT JOIN mu ON mu.month = CAST(date_trunc('month', d.reference_date) AS DATE) AND mu.event_type = d.event_type
+WITH counted AS (
+  SELECT CAST(ts AS DATE) AS reference_date, if(grouping(event_type) = 1, 'GENERAL', event_type) AS event_type,
+    count(*) AS n_events
+  FROM events GROUP BY GROUPING SETS ((CAST(ts AS DATE)), (CAST(ts AS DATE), event_type)))
+SELECT c.*, (SELECT count(DISTINCT e.user_id) FROM events e
+             WHERE year(e.ts) = year(c.reference_date) AND month(e.ts) = month(c.reference_date)
+               AND c.event_type IN ('GENERAL', e.event_type)) AS monthly_users
+FROM counted c
 """)
 def monthly_active(spark: SparkSession, sf: str) -> DataFrame:
     ev = Tables(spark, sf).events.select(F.to_date("ts").alias("reference_date"), "event_type", "user_id")
@@ -443,24 +428,20 @@ def grouped_aggs(spark: SparkSession, sf: str) -> DataFrame:
 
 # Ledger typing of the daily pivot: order status -> movement type.
 _PIVOT_TYPES = "CASE o_orderstatus WHEN 'F' THEN 'PAYIN' WHEN 'O' THEN 'PAYOUT' ELSE 'COUPON' END"
-_PIVOT_MEASURES = """
-  round(sum(CASE WHEN type = 'COUPON' THEN amount ELSE 0 END), 2) AS coupons,
-  round(sum(CASE WHEN type = 'PAYIN' THEN amount ELSE 0 END), 2) AS payin,
-  round(sum(CASE WHEN type = 'PAYOUT' THEN amount ELSE 0 END), 2) AS payout_abs,
-  round(sum(CASE WHEN type = 'PAYOUT' THEN -(amount) ELSE 0 END), 2) AS payout,
-  round(sum(CASE WHEN type = 'PAYOUT' THEN abs(amount) ELSE 0 END), 2) AS payout_abs2,
-  round(sum(CASE WHEN type = 'PAYIN' THEN amount ELSE 0 END) - sum(CASE WHEN type = 'PAYOUT' THEN amount ELSE 0 END), 2)
-    AS payin_payout_balance"""
-
-
 @register("conditional_pivot_sums", f"""
-WITH ledger AS (
-  SELECT CAST(o.o_orderdate AS DATE) AS reference_date, c.c_mktsegment AS segment,
-         {_PIVOT_TYPES} AS type, CAST(o.o_totalprice AS DECIMAL(18,2)) AS amount
-  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey)
-SELECT reference_date, 'GENERAL' AS segment, {_PIVOT_MEASURES} FROM ledger GROUP BY 1, 2
-UNION ALL
-SELECT reference_date, segment, {_PIVOT_MEASURES} FROM ledger GROUP BY 1, 2
+WITH cell AS (
+  SELECT CAST(o_orderdate AS DATE) AS reference_date,
+    if(grouping(c_mktsegment) = 1, 'GENERAL', c_mktsegment) AS segment, {_PIVOT_TYPES} AS type,
+    sum(CAST(o_totalprice AS DECIMAL(18,2))) AS amount
+  FROM customer JOIN orders ON o_custkey = c_custkey
+  GROUP BY GROUPING SETS ((CAST(o_orderdate AS DATE), {_PIVOT_TYPES}),
+                          (CAST(o_orderdate AS DATE), c_mktsegment, {_PIVOT_TYPES}))),
+wide AS (PIVOT cell ON type IN ('COUPON', 'PAYIN', 'PAYOUT') USING coalesce(sum(amount), 0)
+         GROUP BY reference_date, segment)
+SELECT reference_date, segment, round("COUPON", 2) AS coupons, round("PAYIN", 2) AS payin,
+  round("PAYOUT", 2) AS payout_abs, round(-"PAYOUT", 2) AS payout, round("PAYOUT", 2) AS payout_abs2,
+  round("PAYIN" - "PAYOUT", 2) AS payin_payout_balance
+FROM wide
 """)
 def conditional_pivot_sums(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)

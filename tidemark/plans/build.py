@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans import marts
-from tidemark.sources.files import materialize
+from tidemark.sources.files import materialize, stage_table
 
 # Clustering keys of the materialised marts.
 COUPONS_CLUSTER_BY = ("gamemode", "coupon_id", "user_id", "external_match_id")
@@ -49,7 +49,7 @@ def build_attribution_marts(spark: SparkSession, inputs: dict, out_dir: str, as_
     written attribution table)."""
     out = out_dir.rstrip("/")
     paths = {}
-    att = marts.user_attribution(**inputs, as_of=as_of)
+    att = marts.user_attribution(**inputs, as_of=as_of, staged=lambda act: stage_table(act, "attribution_base"))
     paths["user_attribution"] = materialize(att, f"{out}/user_attribution", cluster_by=("created_at",))
     acq = marts.acquisition_daily(spark.read.parquet(paths["user_attribution"]), ads_cost, spine)
     paths["acquisition_daily"] = materialize(acq, f"{out}/acquisition_daily", cluster_by=("_date",))

@@ -183,11 +183,11 @@ USER_RELATIONS["attributed"] = f"""
 _COUNTS, _VALUES = marts.ACQ_SUMS[1:4], marts.ACQ_SUMS[4:]
 _ACQ = f"""
 WITH fact AS (
-  SELECT created_at AS _date, medium_agg, source, campaign_agg, CAST(cpl_cost AS DECIMAL(38,6)) AS cost,
+  SELECT created_at AS _date, medium_agg, source, campaign_agg, CAST(cpl_cost AS DECIMAL(38,9)) AS cost,
     1 AS new_users, logged_in, deposited, activated AS activated_users, {', '.join(_VALUES)}
   FROM attributed WHERE ban_status = 'Not Banned'
   UNION ALL
-  SELECT CAST(reference_date AS DATE), 'influencer', font, font, CAST(cost AS DECIMAL(38,6)), 0, 0, 0, 0,
+  SELECT CAST(reference_date AS DATE), 'influencer', font, font, CAST(cost AS DECIMAL(38,9)), 0, 0, 0, 0,
     {', '.join('0' for _ in _VALUES)}
   FROM ads_cost WHERE NOT list_contains(['adwords', 'amazon', 'others', 'adwords_lol', 'adwords_tft', 'adwords_cs',
                                          'facebook-ads'], font)),

@@ -50,9 +50,14 @@ def _ua_inputs(fx: Fixtures) -> dict:
                 blocklist=fx.user_blocklist)
 
 
+def _staged(act: DataFrame) -> DataFrame:
+    """The attributed users are read six times: written once, re-read."""
+    return stage_table(act, "attribution_base")
+
+
 def _user_attribution(spark: SparkSession, sf: str, persist: bool = True) -> DataFrame:
     fx = Fixtures(spark, sf)
-    return marts.user_attribution(**_ua_inputs(fx), as_of=AS_OF, persist=persist)
+    return marts.user_attribution(**_ua_inputs(fx), as_of=AS_OF, staged=_staged if persist else None)
 
 
 # ------------------------------------------------------------ M1-M13 pieces
@@ -126,7 +131,7 @@ _UNTRACKED_SQL = user_sql("SELECT day AS _date, cost, network, basis FROM unspen
 
 @register("untracked_cost", _UNTRACKED_SQL)
 def untracked_cost(spark: SparkSession, sf: str) -> DataFrame:
-    parts = marts.user_attribution(**_ua_inputs(Fixtures(spark, sf)), as_of=AS_OF, persist=False,
+    parts = marts.user_attribution(**_ua_inputs(Fixtures(spark, sf)), as_of=AS_OF,
                                    return_parts=True)
     frames = []
     for basis in ("cpl", "cac"):
@@ -141,7 +146,7 @@ def untracked_cost(spark: SparkSession, sf: str) -> DataFrame:
 @register("cost_with_excess", user_sql(
     "SELECT day, medium_agg, source, campaign, users, campaign_cost, rate, basis FROM rate"))
 def cost_with_excess(spark: SparkSession, sf: str) -> DataFrame:
-    parts = marts.user_attribution(**_ua_inputs(Fixtures(spark, sf)), as_of=AS_OF, persist=False,
+    parts = marts.user_attribution(**_ua_inputs(Fixtures(spark, sf)), as_of=AS_OF,
                                    return_parts=True)
     cpl = parts["rates_full"]["cpl"].select(F.col("created_at").alias("day"), "medium_agg", "source", "campaign",
                                             "users", "campaign_cost", F.col("cpl").alias("rate"),

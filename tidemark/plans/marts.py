@@ -18,12 +18,13 @@ run is reproducible (T18). Nothing here runs an action.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import days_between, flag, local_date, month_start, to_local
 from tidemark.operators import aggs, attribution, joins, reshape, stage
-from tidemark.sources.files import stage_table
 
 # ====================================================================== M17
 # Gateway and status of the payout attempts that count.
@@ -85,7 +86,8 @@ def coupon_currency(transactions: DataFrame, transaction_items: DataFrame, walle
     ti = transaction_items.where(F.col("status") == F.lit("CREDIT")).select("transaction_id", "wallet_id")
     w = wallets.select("wallet_id", "account_id", "currency")
     a = accounts.where(F.col("type") == F.lit("PLAYER_ACCOUNT")).select("account_id")
-    credits = t.join(ti, "transaction_id").join(w, "wallet_id").join(a, "account_id")
+    # the small dimensions first: house wallets never meet the items
+    credits = ti.join(w.join(a, "account_id").select("wallet_id", "currency"), "wallet_id").join(t, "transaction_id")
     return aggs.concat_values(credits, ["coupon_id"], "currency")
 
 
@@ -408,14 +410,14 @@ def user_attribution(*, users: DataFrame, pages: DataFrame, id_graph: DataFrame,
                      wallet_transactions: DataFrame, blocklist: DataFrame, as_of,
                      window_days: int = 30, own_site_like: str | None = OWN_SITE_REFERRER,
                      excluded_users=EXCLUDED_USERS, fix_source_regex: bool = False,
-                     persist: bool = True, return_parts: bool = False):
+                     staged: Callable[[DataFrame], DataFrame] | None = None, return_parts: bool = False):
     """One row per user with the attributed channel, cohort flags,
     cost per lead (CPL) and per activation (CAC), and cohort value sums.
 
     The per-user attributed frame feeds six look-ups (CPL, CAC, both
-    untracked-cost anti joins, the final join); with ``persist`` it is
-    written once as parquet under the shared checkpoint folder and re-read,
-    instead of being recomputed per use.
+    untracked-cost anti joins, the final join); ``staged`` (if given) is
+    the caller's step that writes it once and returns the re-read table, which
+    the caller owns. Without it the frame is recomputed per use.
     ``return_parts`` returns the intermediate frames by name instead.
     """
     att = attributed_touches(users=users, pages=pages, id_graph=id_graph, identifiers=identifiers,
@@ -442,10 +444,8 @@ def user_attribution(*, users: DataFrame, pages: DataFrame, id_graph: DataFrame,
         F.to_date("first_coupon_at").alias("first_coupon_at"),
         attribution.bucket("first_coupon_gamemode").alias("first_coupon_gamemode"),
         F.coalesce("first_coupon_gamemode", F.lit("None")).alias("original_gamemode"))
-    if persist:
-        # read six times below: written once to the shared folder, which also
-        # keeps every later plan small (analysis cost grows with plan size)
-        act = stage_table(act, "attribution_base")
+    if staged is not None:
+        act = staged(act)
 
     google, facebook = network_costs(google_reports, fb_insights, fb_ads, fb_campaigns)
     costs = {"adwords": google.cost, "facebook-ads": facebook.cost}
@@ -508,7 +508,7 @@ ACQ_SUMS = ("new_users", "logged_in", "deposited", "activated_users", "value_spe
             "total_engagement_30d", "net_value_30d", "value_spent_60d", "value_received_60d", "net_value_60d",
             "value_spent_90d", "value_received_90d", "net_value_90d")
 ACQ_ACTIVATIONS = ("lol", "valorant", "aram", "tft", "cs", "other")
-ACQ_COST_TYPE = "decimal(38,6)"
+ACQ_COST_TYPE = "decimal(38,9)"
 
 
 def acquisition_daily(att: DataFrame, ads_cost: DataFrame, spine: DataFrame) -> DataFrame:
@@ -521,8 +521,8 @@ def acquisition_daily(att: DataFrame, ads_cost: DataFrame, spine: DataFrame) ->
     and null labels never match (T9).
     """
     reg = att.where(F.col("ban_status") == F.lit("Not Banned"))
-    # per-user costs are doubles; summed as exact decimals to 6 places (the
-    # conversion of a double at 6 places does not depend on the engine)
+    # per-user costs are doubles; summed as decimals to 9 places, past a cost's
+    # own precision, so the sum does not depend on the rows' order
     reg_aggs = [F.sum(F.col("cpl_cost").cast(ACQ_COST_TYPE)).alias("cost"), F.count(F.lit(1)).alias("new_users"),
                 F.sum("logged_in").alias("logged_in"), F.sum("deposited").alias("deposited"),
                 F.sum("activated").alias("activated_users")]
