@@ -508,7 +508,7 @@ ACQ_SUMS = ("new_users", "logged_in", "deposited", "activated_users", "value_spe
             "total_engagement_30d", "net_value_30d", "value_spent_60d", "value_received_60d", "net_value_60d",
             "value_spent_90d", "value_received_90d", "net_value_90d")
 ACQ_ACTIVATIONS = ("lol", "valorant", "aram", "tft", "cs", "other")
-ACQ_COST_TYPE = "decimal(38,9)"
+ACQ_COST_TYPE = "decimal(38,6)"
 
 
 def acquisition_daily(att: DataFrame, ads_cost: DataFrame, spine: DataFrame) -> DataFrame:
@@ -521,8 +521,8 @@ def acquisition_daily(att: DataFrame, ads_cost: DataFrame, spine: DataFrame) ->
     and null labels never match (T9).
     """
     reg = att.where(F.col("ban_status") == F.lit("Not Banned"))
-    # per-user costs are doubles; summed as decimals to 9 places, past a cost's
-    # own precision, so the sum does not depend on the rows' order
+    # per-user costs are doubles; summed as decimals to 6 places (at 9 places the
+    # conversion of a double of some millions already differs between engines)
     reg_aggs = [F.sum(F.col("cpl_cost").cast(ACQ_COST_TYPE)).alias("cost"), F.count(F.lit(1)).alias("new_users"),
                 F.sum("logged_in").alias("logged_in"), F.sum("deposited").alias("deposited"),
                 F.sum("activated").alias("activated_users")]
