@@ -124,3 +124,10 @@ def test_ordered_rows_are_in_order(spark, sf_small):
     want = sorted(rows, key=lambda r: (r[1], r[0]))
     want.sort(key=lambda r: r[2] or "~", reverse=True)  # descending, nulls first
     assert rows == want
+
+
+def test_unmapped_external_type_warns():
+    from tidemark.sources.jdbc import spark_type_for
+
+    with pytest.warns(UserWarning, match="hstore"):
+        assert spark_type_for("hstore") == T.StringType()

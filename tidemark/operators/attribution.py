@@ -24,10 +24,7 @@ from tidemark.operators.stage import distinct_on
 
 # Referrer domain lists used to classify visits.
 SEARCH_DOMAINS = r"google\.com|google\.android|bing\.com|yahoo\.com|brave\.com|duckduckgo\.com"
-SOCIAL_DOMAINS = (
-    r"youtube\.com|linkedin\.com|lnkd\.in|instagram\.com|facebook\.com|twitch\.tv"
-    r"|steamcommunity\.com|//t\.co|tiktok\.com"
-)
+SOCIAL_DOMAINS = r"youtube\.com|linkedin\.com|lnkd\.in|instagram\.com|facebook\.com|twitch\.tv|steamcommunity\.com|//t\.co|tiktok\.com"
 # Campaign-source labels that mark an influencer visit.
 INFLUENCER_SOURCES = ("influencer", "influencers")
 
