@@ -6,7 +6,8 @@ every document is hashed, looked up in the broadcast set of test windows, and
 a hit is verified word by word before it counts.
 
 The test windows are counted before they are broadcast; a benchmark of more
-than ``BROADCAST_ROWS`` windows is joined by shuffle with the same result.
+than ``BROADCAST_ROWS`` windows is joined by shuffle with the same result: only
+places and hashes travel, then the words of the places found.
 
 Defined results: null or empty texts have no words and are never
 contaminated; null or empty items have no window; items with the same id are
@@ -71,6 +72,42 @@ def _start(lengths: list[int]) -> str:
     return f"CASE t_len {' '.join(cases)} END" if cases else "cast(null as int)"
 
 
+def _span(at: Column) -> Column:
+    return F.struct(at.alias("start"), (at + F.col("t_len")).alias("end"))
+
+
+def _by_broadcast(src: DataFrame, side: DataFrame, lengths: list[int]) -> DataFrame:
+    """A row per document (is_doc) and one per verified hit (span, item)."""
+    hits = _scanned(src, lengths).join(F.broadcast(side), F.col("hash") == F.col("t_hash"), "left")
+    # the row of the document itself stays; a hit must equal its window
+    is_doc = F.col("pos") == 0
+    at = F.expr(_start(lengths))
+    same = F.slice("w", F.greatest(at, F.lit(0)) + 1, F.col("t_len")) == F.col("t_words")
+    return hits.where(is_doc | ((at >= 0) & same)).select(
+        "doc_id", "key", F.col("n").cast("long").alias("n_words"), F.when(is_doc, F.lit(1)).alias("is_doc"),
+        F.when(~is_doc, _span(at)).alias("span"), F.when(~is_doc, F.col("item_id")).alias("item"))
+
+
+def _by_shuffle(src: DataFrame, side: DataFrame, lengths: list[int]) -> DataFrame:
+    """The rows of ``_by_broadcast`` for test windows of any number.
+
+    Windows travel as places and hashes, never with their document's words;
+    the words of a place are cut out only where its hash is a test window's.
+    """
+    known = side.select("t_len", "t_hash").distinct()
+    slim = _scanned(src, lengths).where(F.col("hash").isNotNull()).select("doc_id", "key", "n", "pos", "hash")
+    places = (slim.join(known, F.col("hash") == F.col("t_hash"))
+              .select(F.col("doc_id").alias("p_id"), F.col("key").alias("p_key"), F.expr(_start(lengths)).alias("at"),
+                      F.col("t_len").alias("p_len"), F.col("t_hash").alias("p_hash")).where("at >= 0").distinct())
+    words = (src.join(places, F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("key") == F.col("p_key")))
+             .select("doc_id", "key", "at", "p_len", "p_hash", F.expr("slice(w, at + 1, p_len)").alias("p_words")))
+    hits = words.join(side, (F.col("p_hash") == F.col("t_hash")) & (F.col("p_len") == F.col("t_len"))
+                      & (F.col("p_words") == F.col("t_words")))
+    return src.select("doc_id", "key", F.col("n").cast("long").alias("n_words"), F.lit(1).alias("is_doc")).unionByName(
+        hits.select("doc_id", "key", _span(F.col("at")).alias("span"), F.col("item_id").alias("item")),
+        allowMissingColumns=True)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text",
                   item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per document: doc_id, key (its text's hash), n_words, n_hit,
@@ -79,19 +116,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     lengths = sorted(r[0] for r in tests.select("len").distinct().collect())  # at most 13 rows
     side = tests.select(F.col("len").alias("t_len"), F.col("hash").alias("t_hash"),
                         F.col("words").alias("t_words"), "item_id")
-    if tests.count() <= BROADCAST_ROWS:
-        side = F.broadcast(side)
     src = docs.select(F.col(id_col).alias("doc_id"), text_key(text).alias("key"), normalised_words(text).alias("w"))
     src = src.select("doc_id", "key", "w", F.size("w").alias("n"))
-    hits = _scanned(src, lengths).join(side, F.col("hash") == F.col("t_hash"), "left")
-    # the row of the document itself stays; a hit must equal its window
-    is_doc = F.col("pos") == 0
-    at = F.expr(_start(lengths))
-    hits = hits.where(is_doc | ((at >= 0) & (F.slice("w", F.greatest(at, F.lit(0)) + 1, F.col("t_len")) == F.col("t_words"))))
-    span = F.struct(at.alias("start"), (at + F.col("t_len")).alias("end"))
-    per_doc = hits.select("doc_id", "key", F.col("n").cast("long").alias("n_words"),
-                          F.when(is_doc, F.lit(1)).alias("is_doc"), F.when(~is_doc, span).alias("span"),
-                          F.when(~is_doc, F.col("item_id")).alias("item")).groupBy("doc_id", "key").agg(
+    found = _by_broadcast if tests.count() <= BROADCAST_ROWS else _by_shuffle
+    per_doc = found(src, side, lengths).groupBy("doc_id", "key").agg(
         F.max("n_words").alias("n_words"), F.sum("is_doc").alias("copies"),
         F.array_sort(F.collect_set("span")).alias("hits"), F.array_sort(F.collect_set("item")).alias("items"))
     covered = """aggregate(spans, named_struct('total', 0L, 'end', 0), (a, x) -> named_struct(
