@@ -142,7 +142,7 @@ def describe(text: str, start: int, end: int, dictionary: frozenset[str]) -> lis
     """The features of a candidate."""
     v = text[start:end]
     n = len(v)
-    kinds = [_kind(c) for c in v[:4096]]
+    kinds = [_kind(c) for c in v]
     counts = np.array(list(Counter(v).values()), float) / n
     before = text[max(0, start - 32):start]
     near = before.rsplit("\n", 1)[-1]
@@ -152,7 +152,7 @@ def describe(text: str, start: int, end: int, dictionary: frozenset[str]) -> lis
         min(n, 200), sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / max(1, len(kinds) - 1),
         sum(c.isdigit() for c in v) / n, sum(c.isupper() for c in v) / n,
         sum(c in "0123456789abcdefABCDEF" for c in v) / n, float(-(counts * np.log2(counts)).sum()),
-        coverage(v[:4096], dictionary), max(map(len, runs), default=0) / n, v.count("/") / n, v.count(".") / n,
+        coverage(v, dictionary), max(map(len, runs), default=0) / n, v.count("/") / n, v.count(".") / n,
         float(_NAME.search(near) is not None), float(_DIGEST.search(near) is not None),
         float(near.rstrip(" \"'").endswith(("=", ":", "=>"))), float(before.endswith(("\"", "'"))),
         float(_MOCK.search(v) is not None), len(set(v)) / min(n, 64),
