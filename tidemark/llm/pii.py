@@ -90,6 +90,12 @@ def _email(text: str, at: int, floor: int) -> tuple[int, int] | None:
     return (start, end) if labels > 1 else None
 
 
+def _is_octet(digits: str) -> bool:
+    """Whether a number of any length is at most 255."""
+    value = digits.lstrip("0")
+    return len(value) <= 3 and int(value or "0") <= 255
+
+
 def _dotted(text: str, at: int) -> tuple[list[tuple[int, int]], int]:
     """Runs of digits joined by single dots from ``at``; the chain's end."""
     parts, end = [], at
@@ -180,7 +186,7 @@ def find_spans(text: str) -> dict[str, list[tuple[int, int]]]:
                 parts, dots_end = _dotted(text, start)
                 for i in range(0, len(parts) - 3, 4):
                     quad = parts[i:i + 4]
-                    if all(b - a < 4000 and int(text[a:b]) <= 255 for a, b in quad):
+                    if all(_is_octet(text[a:b]) for a, b in quad):
                         out.setdefault("ip", []).append((quad[0][0], quad[3][1]))
             if start >= card_end:
                 card_end = _spaced(text, start)
