@@ -54,7 +54,10 @@ def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def words_of(text: bytes) -> list[str]:
-    return _WORD.findall(text.decode("utf-8", "replace").lower())
+    """Runs of letters (and of signs that count as such, like raised figures);
+    none if there is no letter at all."""
+    words = _WORD.findall(text.decode("utf-8", "replace").lower())
+    return words if any(c.isalpha() for w in words for c in w) else []
 
 
 class Model:
