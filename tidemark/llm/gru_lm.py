@@ -411,8 +411,8 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
 
 
 def train(coded: DataFrame, vocab: Vocabulary) -> Network:
-    """The network learned from all rows of ``coded`` (ids)."""
-    src = coded.select("ids")
+    """The network learned from all rows of ``coded`` (doc_id, ids)."""
+    src = coded.select("ids", "doc_id")
 
     def learn(net_flat: np.ndarray, rate: float, rounds: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -440,8 +440,10 @@ def train(coded: DataFrame, vocab: Vocabulary) -> Network:
     if not vocab.ends:
         return Network(flat)
     share = max(1, int(1_000_000 * min(1.0, WARM_DOCS / vocab.ends)))
-    few = (src.where(F.pmod(F.xxhash64("ids"), F.lit(1_000_000)) < F.lit(share))
-           .limit(2 * WARM_DOCS).coalesce(1))
+    # by id and ids, so that copies are chosen like any other; in a fixed order
+    at = F.xxhash64("doc_id", "ids")
+    few = (src.where(F.pmod(at, F.lit(1_000_000)) < F.lit(share)).orderBy(at, "doc_id", "ids").limit(2 * WARM_DOCS)
+           .coalesce(1))
     schema = "i int, x double, w double"
     flat = averaged(few.mapInArrow(learn(flat, WARM_RATE, 3), schema), flat)
     flat = averaged(src.mapInArrow(learn(flat, RATE, 1), schema), flat)
