@@ -58,6 +58,9 @@ def test_language_odd_rows(spark, odd, none):
     assert len(rows) == 11
     assert all((r["lang_pred"], r["score"]) == ("und", 0.0) for r in rows if r["doc_id"] in (2, 3, 4, 6))
     assert language_id.language_id(none, F.lit(True)).count() == 0
+    figures = odd.where("doc_id = 8").withColumn("text", F.lit("\u00b2 \u00bd 3"))
+    rows = language_id.language_id(odd.unionByName(figures), F.col("doc_id") != 8).collect()
+    assert sorted(r["lang_pred"] for r in rows if r["doc_id"] == 8)[-1] == "und"
     unlearned = language_id.language_id(odd, F.lit(False))
     assert unlearned.where("lang_pred = 'und' and held_out").count() == 11
 

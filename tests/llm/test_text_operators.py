@@ -26,7 +26,7 @@ def ascii_lower(text: str) -> str:
 def base_spans(text: str) -> dict:
     digits = lambda s: re.sub(r"[^0-9]", "", s)
     out = {"email": [m.span() for m in EMAIL.finditer(text)],
-           "ip": [m.span() for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))],
+           "ip": [m.span() for m in IP.finditer(text) if all(int((p.lstrip("0") or "0")[:4]) <= 255 for p in m[0].split("."))],
            "card": [m.span() for m in CARD.finditer(text)
                     if 13 <= len(digits(m[0])) <= 19 and luhn(digits(m[0]))],
            "phone": [m.span() for m in PHONE.finditer(text) if 9 <= len(digits(m[0])) <= 15]}
@@ -42,6 +42,7 @@ TRICKY = [
     "a@b.c@d.ef x@y..z a.@b-.c. @x.y é@b.cd", "1.2.3.4.5.6.7.8 999.1.1.1 1.2.3 .1.2.3.4. 01.002.0.255",
     "4111 1111 1111 1111 4111-1111-1111-1112 41111111111111111111 4111  1111", "+1 (800) 555-1234 +12 +1() +1.2.3.4.5.6.7.8.9 +4912345678901234567",
     "++1 234 567 890- a+b@c.de 4111111111111111.1.1.1", "x@y.z" * 5, "1-2 3-4 5-6 7-8 9-0 1-2 3-4 5-6",
+    "0" * 5000 + ".1.2.00300 " + "0" * 5000 + "7.1.2.255 " + "1" * 5000 + ".1.2.3",
 ]
 
 
