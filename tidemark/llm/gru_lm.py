@@ -124,29 +124,42 @@ def lanes(docs: list[np.ndarray], width: int = LANES):
     return inputs, targets, first, number
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 + 0.5 * np.tanh(0.5 * x)
+# Gates are 0.5 + 0.5 tanh(x / 2): the half goes into the weights of both gates.
+_HALF = np.repeat(np.array([0.5, 0.5, 1.0], np.float32), HIDDEN)
 
 
 def _states(net: Network, table: np.ndarray, inputs, first, h, keep: bool):
-    """Hidden states over a window; with ``keep`` also what backward needs:
-    the states before each step, update, reset, candidate, its recurrence."""
+    """Hidden states over a window; with ``keep`` also what backward needs of
+    all steps: the state before, both gates, the candidate, the recurrence."""
     steps, width = inputs.shape
+    held = steps if keep else 1
     out = np.empty((steps, width, HIDDEN), np.float32)
-    saved = np.empty((5, *out.shape), np.float32) if keep else None
-    x = table[inputs]
+    before = np.empty_like(out) if keep else None
+    recur = np.empty((held, width, 3 * HIDDEN), np.float32)
+    gates = np.empty((held, width, 2 * HIDDEN), np.float32)
+    candidate = np.empty((held, width, HIDDEN), np.float32)
+    x, wh = (table * _HALF)[inputs], net.wh * _HALF
     fresh = first.any(axis=1).tolist()
     for t in range(steps):
         if fresh[t]:
             h = np.where(first[t][:, None], np.float32(0), h)
-        u = h @ net.wh
-        g = _sigmoid(x[t, :, :2 * HIDDEN] + u[:, :2 * HIDDEN])
-        z, r, uc = g[:, :HIDDEN], g[:, HIDDEN:], u[:, 2 * HIDDEN:]
-        c = np.tanh(x[t, :, 2 * HIDDEN:] + r * uc)
+        at = 0
         if keep:
-            for into, value in zip(saved, (h, z, r, c, uc), strict=True):
-                into[t] = value
-        h = np.add(c, z * (h - c), out=out[t])
+            before[t], at = h, t
+        u, g, c, new = recur[at], gates[at], candidate[at], out[t]
+        np.matmul(h, wh, out=u)
+        np.add(x[t, :, :2 * HIDDEN], u[:, :2 * HIDDEN], out=g)
+        np.tanh(g, out=g)
+        g *= np.float32(0.5)
+        g += np.float32(0.5)
+        np.multiply(g[:, HIDDEN:], u[:, 2 * HIDDEN:], out=c)
+        c += x[t, :, 2 * HIDDEN:]
+        np.tanh(c, out=c)
+        np.subtract(h, c, out=new)
+        new *= g[:, :HIDDEN]
+        new += c
+        h = new
+    saved = (before, gates[:, :, :HIDDEN], gates[:, :, HIDDEN:], candidate, recur[:, :, 2 * HIDDEN:]) if keep else None
     return out, h.copy(), saved
 
 
@@ -158,12 +171,13 @@ def _output(net: Network, h: np.ndarray, target: np.ndarray, grad: Network | Non
     own, goal = h[order], target[order]
     cls = goal // CLASS_SIZE
     rows = np.arange(len(goal))
+    ones = np.ones(CLASSES + 1, np.float32)  # sums of short rows are faster as products
     # |h| < 1 and weights within LIMIT keep every exponent in range
     e = own @ net.oc
     e += net.bc
     value = e[rows, cls]
     np.exp(e, out=e)
-    total = e.sum(axis=1)
+    total = e @ ones
     value = value - np.log(total)
     back = None
     if grad is not None:
@@ -183,7 +197,7 @@ def _output(net: Network, h: np.ndarray, target: np.ndarray, grad: Network | Non
         e += net.bw[block]
         value[at] += e[i, mine]
         np.exp(e, out=e)
-        total = e.sum(axis=1)
+        total = e @ ones[:CLASS_SIZE]
         value[at] -= np.log(total)
         if grad is not None:
             e /= total[:, None]
@@ -248,23 +262,24 @@ class Learner:
         prev, z, r, c, uc = saved
         # what a unit of dh gives before the gates, all steps at once
         cand = (1 - z) * (1 - c * c)
-        into_x = np.stack([(prev - c) * z * (1 - z), cand * uc * r * (1 - r), cand], axis=2)
-        into_u = into_x.copy()
-        into_u[:, :, 2] *= r
+        unit = np.empty((*z.shape[:2], 3, HIDDEN), np.float32)
+        np.multiply((prev - c) * z, 1 - z, out=unit[:, :, 0])
+        np.multiply(cand, r, out=unit[:, :, 2])
+        np.multiply(unit[:, :, 2] * uc, 1 - r, out=unit[:, :, 1])
         dh = np.zeros_like(h)
         all_dh = np.empty_like(states)
         fresh = first.any(axis=1).tolist()
         wide = (len(h), 3 * HIDDEN)
         for t in range(len(inputs) - 1, -1, -1):
             dh = np.add(dh, down[t], out=all_dh[t])
-            dh = dh * z[t] + (dh[:, None, :] * into_u[t]).reshape(wide) @ net.wh.T
+            dh = dh * z[t] + (dh[:, None, :] * unit[t]).reshape(wide) @ net.wh.T
             if fresh[t]:
                 dh[first[t]] = 0
-        into_u *= all_dh[:, :, None, :]
-        into_x *= all_dh[:, :, None, :]
-        grad.wh += prev.reshape(-1, HIDDEN).T @ into_u.reshape(-1, 3 * HIDDEN)
-        dx = into_x
-        flat = dx.reshape(-1, 3 * HIDDEN)
+        unit *= all_dh[:, :, None, :]
+        flat = unit.reshape(-1, 3 * HIDDEN)
+        grad.wh += prev.reshape(-1, HIDDEN).T @ flat
+        # the input enters the candidate without the reset gate
+        np.multiply(cand, all_dh, out=unit[:, :, 2])
         grad.b += flat.sum(axis=0)
         ids = inputs.ravel()
         grad.wx += net.embed[ids].T @ flat
