@@ -61,7 +61,7 @@ SELECT l_orderkey AS coupon_id, l_orderkey * 10 + l_linenumber AS external_match
 FROM lineitem""",
     "league_points": """
 SELECT DISTINCT l_partkey AS league_id, l_orderkey * 10 + l_linenumber AS external_match_id
-FROM lineitem WHERE l_quantity > 40""",
+FROM lineitem""",
     "transactions_finished": """
 SELECT l.l_shipdate AS created_at, l.l_shipdate + INTERVAL 1 DAY AS updated_at, o.o_custkey AS user_id,
   l.l_partkey AS league_id, l.l_orderkey AS coupon_id, l.l_orderkey * 10 + l.l_linenumber AS transaction_id,
@@ -104,7 +104,7 @@ FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey""",
     "reputations": """
 SELECT l_orderkey * 10 + l_linenumber AS external_match_player_id,
   CAST(l_extendedprice AS DECIMAL(18,2)) AS max_amount, l_returnflag AS metadata
-FROM lineitem WHERE l_quantity < 5""",
+FROM lineitem""",
     "blocklist_events": """
 SELECT event_id AS user_blocklist_id, user_id, ts AS created_at, props AS description, value >= 50 AS active_ban,
   ts + CASE WHEN value < 150 THEN INTERVAL 30 DAY ELSE INTERVAL 3650 DAY END AS expiry, event_id AS user_notes_id
@@ -150,10 +150,12 @@ SELECT DISTINCT CONCAT('c', CAST(o_custkey AS STRING), '-', o_orderstatus) AS ca
     "campaign_dim": """
 SELECT DISTINCT o_orderstatus AS source_name, CONCAT('infl-', o_orderstatus) AS influencer FROM orders""",
     "referrals": """
-SELECT o_orderkey AS referral_id, o_custkey AS referred_id, o_custkey + 1 AS referrer_id, o_orderdate AS created_at,
+SELECT o_orderkey AS referral_id,
+  CASE WHEN o_orderpriority = '5-LOW' AND o_totalprice > 300000 THEN o_custkey END AS referred_id,
+  o_custkey + 1 AS referrer_id, o_orderdate AS created_at,
   CASE WHEN o_orderstatus = 'F' THEN 'FINISHED' ELSE 'PENDING' END AS status,
   CAST(o_totalprice AS DECIMAL(18,2)) * 0.001 AS reward
-FROM orders WHERE o_orderpriority = '5-LOW' AND o_totalprice > 300000""",
+FROM orders""",
     "deposits": """
 SELECT o_custkey AS user_id, CAST(o_orderdate AS DATE) AS reference_date FROM orders WHERE o_orderstatus = 'F'""",
     "fb_insights": """
@@ -176,13 +178,14 @@ SELECT o.o_custkey * 2 + CASE WHEN l.l_discount >= 0.08 THEN 1 ELSE 0 END AS wal
 FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey""",
     "user_blocklist": """
 SELECT o_custkey AS user_id, o_orderdate AS created_at,
-  o_orderdate + CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN INTERVAL 400 DAY ELSE INTERVAL 4000 DAY END AS expiry
-FROM orders WHERE o_orderstatus = 'P' AND o_totalprice > 400000""",
+  o_orderdate + CASE WHEN o_orderstatus <> 'P' OR o_totalprice <= 400000 THEN INTERVAL 1 DAY
+       WHEN o_orderpriority = '1-URGENT' THEN INTERVAL 400 DAY ELSE INTERVAL 4000 DAY END AS expiry
+FROM orders""",
     "ads_cost": """
 SELECT CAST(l_shipdate AS DATE) AS reference_date,
   CASE WHEN l_linestatus = 'O' THEN 'adwords' ELSE CONCAT('infl_', l_returnflag) END AS font,
   CAST(l_extendedprice AS DECIMAL(18,2)) AS cost
-FROM lineitem WHERE l_quantity < 3""",
+FROM lineitem""",
     "messages": """
 SELECT ts AS date_sent, CONCAT('whatsapp:', CAST(user_id AS STRING)) AS "to",
   CONCAT('whatsapp:', CAST(user_id + 1000 AS STRING)) AS "from", props AS body,

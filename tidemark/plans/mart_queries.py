@@ -224,11 +224,12 @@ def signed_settlement(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- M21-M23
 def _financial(spark: SparkSession, sf: str) -> DataFrame:
     """The coupon fact and the transaction ledger are tables upstream of the
-    daily mart and each is read five or six times by it, so both are
-    written once to the shared folder and re-read."""
+    daily mart, so both are written once to the shared folder and re-read.
+    Every feed takes its own transaction types: the ledger is written by
+    type and each part of it is read by its feed alone."""
     fx = Fixtures(spark, sf)
     cf = stage_table(_coupons_finished(fx), "coupons_finished")
-    tf = stage_table(fx.transactions_finished, "transactions_finished")
+    tf = stage_table(fx.transactions_finished, "transactions_finished", ["transaction_type"])
     return marts.financial_daily(tf, cf, fx.league_points, fx.coupon_items, fx.challenges,
                                  fx.users, league_since=LEAGUE_SINCE,
                                  subscription_users_since=SUBSCRIPTION_USERS_SINCE)
@@ -400,7 +401,8 @@ def materialised_financial(spark: SparkSession, sf: str) -> DataFrame:
         "transactions", "transaction_items", "wallets", "super_tips", "coupon_items", "reputations",
         "match_players", "players", "league_points", "challenges", "users")}
     inputs["blocklist"] = fx.blocklist_events
-    inputs["transactions_finished"] = stage_table(fx.transactions_finished, "transactions_finished")
+    inputs["transactions_finished"] = stage_table(fx.transactions_finished, "transactions_finished",
+                                                  ["transaction_type"])
     out = f"{checkpoint_dir(spark).rstrip('/')}/marts-{uuid.uuid4().hex}"
     paths = build_financial_marts(spark, inputs, out, league_since=LEAGUE_SINCE,
                                   subscription_users_since=SUBSCRIPTION_USERS_SINCE)

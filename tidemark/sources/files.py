@@ -162,18 +162,19 @@ def materialize(
     return target
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
+def stage_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and
     return the re-read table.
 
     Used where a model is a table in the pipelines and is read several
     times downstream: lineage is cut (a lost executor re-reads files instead
     of recomputing the upstream joins) and later reads get column pruning
-    and filter push-down.
+    and filter push-down. ``partition_by`` names columns of few values that
+    every later read filters on, so each read opens only its own folders.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return spark.read.parquet(path)
 
 
