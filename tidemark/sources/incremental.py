@@ -74,6 +74,7 @@ def incremental_load(
     literal: str = "'{}'",
     mark_col: str | None = None,
     connections: int = 8,
+    not_before: datetime | None = None,
 ) -> list[tuple[datetime, datetime]]:
     """IO5: append the rows of ``source_table`` newer than the target's mark.
 
@@ -82,7 +83,8 @@ def incremental_load(
     wall clock in UTC, the session's zone. At most ``connections`` windows
     are read at a time. ``ts_col`` is the column as the source database spells it
     (quoted if needed); ``mark_col`` is its name in the target (default the
-    same).
+    same). ``not_before`` moves the start on where earlier windows were read
+    and found empty: the mark does not tell of them.
     """
     mark = max_updated_at(spark, target, mark_col or ts_col)
     if mark is not None:
@@ -90,6 +92,8 @@ def incremental_load(
     else:
         text = initial_start or INITIAL_START
         start = text if isinstance(text, datetime) else datetime.strptime(text, "%Y-%m-%dT%H:%M:%S.%f")
+    if not_before is not None:
+        start = max(start, not_before)
     end = min(start + timedelta(days=num_days), now or datetime.now(timezone.utc).replace(tzinfo=None))
     windows = plan_windows(start, end, interval_hours)
 
