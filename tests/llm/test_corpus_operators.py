@@ -310,6 +310,14 @@ def test_lm_carries_state_and_gradients(monkeypatch):
         assert grad[i] == pytest.approx(-(up - down) / 0.02, rel=0.05, abs=1e-3)
 
 
+def test_lm_training_is_not_cut():
+    """Four warm rounds; 1536 texts of one window in 256 lanes are six updates."""
+    learner = gru_lm.Learner(gru_lm.Network.fresh(tiny_vocabulary().mass), gru_lm.RATE)
+    learner.learn([np.full(gru_lm.WINDOW, i % 50, np.int16) for i in range(1536)])
+    assert learner.steps == 6 and learner.tokens == 1536 * gru_lm.WINDOW
+    assert gru_lm.WARM_ROUNDS == 4
+
+
 def test_lm_odd_rows(odd, none):
     rows = gru_lm.lm_scores(odd, id_remainder(5) != 1).collect()
     assert len(rows) == 11 and all(r["n_tokens"] == 1 for r in rows if r["doc_id"] in (2, 3, 4))

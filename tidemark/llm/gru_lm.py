@@ -46,10 +46,11 @@ CLASS_SIZE = 32
 WORDS = CLASSES * CLASS_SIZE  # the end token and the most frequent words
 SIZE = WORDS + CLASS_SIZE
 EMBED = HIDDEN = 16
-LANES = 384
+LANES = 256
 WINDOW = 32
 CHUNK = 2_000_000  # tokens handled at once
 WARM_DOCS = 1500
+WARM_ROUNDS = 4
 WARM_RATE, RATE = 0.01, 0.002
 LIMIT = 3.0  # of an output weight
 END = b"\n"  # not a word: words hold no white space
@@ -460,7 +461,7 @@ def train(coded: DataFrame, vocab: Vocabulary) -> Network:
     few = (src.where(F.pmod(at, F.lit(1_000_000)) < F.lit(share)).orderBy(at, "doc_id", "ids").limit(2 * WARM_DOCS)
            .coalesce(1))
     schema = "i int, x double, w double"
-    flat = averaged(few.mapInArrow(learn(flat, WARM_RATE, 3), schema), flat)
+    flat = averaged(few.mapInArrow(learn(flat, WARM_RATE, WARM_ROUNDS), schema), flat)
     flat = averaged(src.mapInArrow(learn(flat, RATE, 1), schema), flat)
     return Network(flat)
 
