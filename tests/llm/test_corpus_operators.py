@@ -6,6 +6,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -318,6 +319,20 @@ def test_lm_training_is_not_cut():
     assert gru_lm.WARM_ROUNDS == 4
 
 
+def test_lm_memory_goes_by_tokens():
+    """A long text beside 255 short ones: dense lanes would be 92 MB and more."""
+    docs = [np.full(40_000, 3, np.int16), *[np.full(2, 5, np.int16)] * 255]
+    net = gru_lm.Network.fresh(tiny_vocabulary().mass)
+    tracemalloc.start()
+    try:
+        scores = gru_lm.log_probabilities(net, docs)
+        gru_lm.Learner(net, 0.0).learn(docs)
+        assert tracemalloc.get_traced_memory()[1] < 30e6
+    finally:
+        tracemalloc.stop()
+    assert np.isfinite(scores).all() and np.ptp(scores[1:]) < 1e-4
+
+
 def test_lm_odd_rows(odd, none):
     rows = gru_lm.lm_scores(odd, id_remainder(5) != 1).collect()
     assert len(rows) == 11 and all(r["n_tokens"] == 1 for r in rows if r["doc_id"] in (2, 3, 4))

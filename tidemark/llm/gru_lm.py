@@ -96,33 +96,38 @@ class Network:
 
 
 def lanes(docs: list[np.ndarray], width: int = LANES):
-    """Documents laid end to end in at most ``width`` lanes of similar length.
-    Arrays (steps, lanes): inputs, targets (-1 for none), first-step marks and
-    document numbers."""
-    width = max(1, min(width, len(docs)))
+    """Documents laid end to end in at most ``width`` lanes of similar length,
+    a window at a time, so that memory goes by the tokens and not by the longest
+    lane. Yields arrays (steps, live lanes): inputs, targets (-1 for none),
+    first-step marks, document numbers; and which of the lanes of the window
+    before (at first: of all) are live."""
+    if not docs:
+        return
+    width = min(width, len(docs))
     load = [(0, i) for i in range(width)]
-    order = sorted(range(len(docs)), key=lambda i: -len(docs[i]))
     own: list[list[int]] = [[] for _ in range(width)]
-    for i in order:
+    for i in sorted(range(len(docs)), key=lambda i: -len(docs[i])):
         n, lane = heapq.heappop(load)
         own[lane].append(i)
         heapq.heappush(load, (n + len(docs[i]), lane))
-    steps = max(n for n, _ in load)
-    inputs = np.zeros((steps, width), np.int16)
-    targets = np.full((steps, width), -1, np.int16)
-    first = np.zeros((steps, width), bool)
-    number = np.zeros((steps, width), np.int32)
-    for lane, mine in enumerate(own):
-        at = 0
-        for i in mine:
-            d = docs[i]
-            stop = at + len(d)
-            targets[at:stop, lane] = d
-            inputs[at + 1:stop, lane] = d[:-1]
-            first[at, lane] = True
-            number[at:stop, lane] = i
-            at = stop
-    return inputs, targets, first, number
+    left = np.array([n for _, n in sorted((lane, n) for n, lane in load)])  # tokens of each lane
+    begin = np.cumsum(left) - left
+    in_turn = [i for mine in own for i in mine]
+    sizes = np.array([len(docs[i]) for i in in_turn])
+    goal = np.concatenate([docs[i] for i in in_turn]).astype(np.int16, copy=False)
+    fresh = np.zeros(len(goal), bool)
+    fresh[np.cumsum(sizes) - sizes] = True
+    given = np.roll(goal, 1)
+    given[fresh] = 0
+    which = np.repeat(np.array(in_turn, np.int32), sizes)
+    longest = int(left.max())
+    for s in range(0, longest, WINDOW):
+        live = left > s
+        left, begin = left[live], begin[live]
+        step = np.arange(s, min(s + WINDOW, longest))[:, None]
+        here = step < left
+        at = np.minimum(step, left - 1) + begin
+        yield np.where(here, given[at], 0), np.where(here, goal[at], -1), here & fresh[at], which[at], live
 
 
 # Gates are 0.5 + 0.5 tanh(x / 2): the half goes into the weights of both gates.
@@ -217,20 +222,16 @@ def _output(net: Network, h: np.ndarray, target: np.ndarray, grad: Network | Non
 
 def log_probabilities(net: Network, docs: list[np.ndarray]) -> np.ndarray:
     """Natural-log probability of each document, state carried throughout."""
-    inputs, targets, first, number = lanes(docs)
     total = np.zeros(len(docs))
-    h = np.zeros((inputs.shape[1], HIDDEN), np.float32)
+    h = np.zeros((min(LANES, len(docs)), HIDDEN), np.float32)
     table = net.embed @ net.wx + net.b
-    for s in range(0, len(inputs), WINDOW):
-        w = slice(s, s + WINDOW)
-        live = targets[w].max(axis=0) >= 0
+    for inputs, targets, first, number, live in lanes(docs):
         if not live.all():  # lanes that have ended
-            h, inputs, targets = h[live], inputs[:, live], targets[:, live]
-            first, number = first[:, live], number[:, live]
-        states, h, _ = _states(net, table, inputs[w], first[w], h, False)
-        here = targets[w] >= 0
-        value, _ = _output(net, states[here], targets[w][here])
-        total += np.bincount(number[w][here], value, len(docs))
+            h = h[live]
+        states, h, _ = _states(net, table, inputs, first, h, False)
+        here = targets >= 0
+        value, _ = _output(net, states[here], targets[here])
+        total += np.bincount(number[here], value, len(docs))
     return total
 
 
@@ -242,14 +243,11 @@ class Learner:
         self.m, self.v = np.zeros_like(net.flat), np.zeros_like(net.flat)
 
     def learn(self, docs: list[np.ndarray]) -> None:
-        inputs, targets, first, _ = lanes(docs)
-        h = np.zeros((inputs.shape[1], HIDDEN), np.float32)
-        for s in range(0, len(inputs), WINDOW):
-            w = slice(s, s + WINDOW)
-            live = targets[w].max(axis=0) >= 0
+        h = np.zeros((min(LANES, len(docs)), HIDDEN), np.float32)
+        for inputs, targets, first, _, live in lanes(docs):
             if not live.all():
-                h, inputs, targets, first = h[live], inputs[:, live], targets[:, live], first[:, live]
-            h = self._window(inputs[w], targets[w], first[w], h)
+                h = h[live]
+            h = self._window(inputs, targets, first, h)
 
     def _window(self, inputs, targets, first, h):
         net, grad = self.net, Network()
