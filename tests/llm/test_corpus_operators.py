@@ -254,6 +254,17 @@ def test_simhash_hot_group(spark, monkeypatch):
     assert simhash.keep_one(df).where("doc_id < 3000").count() == 1
 
 
+def test_language_shares_depend_on_the_text_alone():
+    """Closely mixed texts beside others that settle sooner or later."""
+    rng = np.random.default_rng(3)
+    lengths = np.array([40, 3, 200, 1, 15, 90, 7, 60])
+    scores = -rng.random((int(lengths.sum()), 4)) * np.repeat(rng.choice([0.1, 1.0, 30.0], len(lengths)), lengths)[:, None]
+    starts = np.cumsum(lengths) - lengths
+    together = language_id.mixture(scores, lengths)
+    for i, (s, n) in enumerate(zip(starts, lengths)):
+        assert (language_id.mixture(scores[s:s + n], lengths[i:i + 1])[0] == together[i]).all()
+
+
 # language model
 
 def test_lm_counts_and_base(spark, sf_small):

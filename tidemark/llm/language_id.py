@@ -117,16 +117,20 @@ def _learn(docs: DataFrame, lang: str, text: str) -> Model:
 
 def _em(p: np.ndarray, starts: np.ndarray, doc: np.ndarray, n: np.ndarray, share: np.ndarray) -> np.ndarray:
     """Shares per document from word likelihoods ``p`` (scaled per word)."""
-    live = np.arange(len(starts))
+    live, out = np.arange(len(starts)), share.copy()
     for _ in range(MAX_STEPS):
         r = p * share[doc]
         r /= r.sum(axis=1, keepdims=True)
         new = np.add.reduceat(r, starts, axis=0) / n[:, None]
-        moved = np.abs(new - share).max(axis=1)
-        share = new
-        if not (moved[live] > TOLERANCE).any():
+        moves = np.abs(new - share).max(axis=1) > TOLERANCE
+        out[live] = share = new
+        if not moves.any():
             break
-    return share
+        if not moves.all():  # a document that has settled stays as it is, whatever its batch
+            p, live, share, n = p[moves[doc]], live[moves], share[moves], n[moves]
+            lengths = np.diff(np.append(starts, len(doc)))[moves]
+            starts, doc = np.cumsum(lengths) - lengths, np.repeat(np.arange(len(live)), lengths)
+    return out
 
 
 def _loglik(p, top, starts, doc, share) -> np.ndarray:
