@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from tidemark.llm.common import id_remainder, table
+from tidemark.llm.conversation_repair import damaged, repair_report
 from tidemark.llm.decontaminate import contamination_report
+from tidemark.llm.feistel_shards import sharding_report
 from tidemark.llm.gru_lm import lm_scores
+from tidemark.llm.hard_negatives import hard_negatives, shifted
 from tidemark.llm.language_id import language_id
 from tidemark.llm.license_scan import license_scan
 from tidemark.llm.packing import packing
@@ -55,8 +58,21 @@ def op10_packing(spark, sf_dir):
     return packing(table(spark, sf_dir, "documents"))
 
 
+def op11_sharding(spark, sf_dir):
+    return sharding_report(table(spark, sf_dir, "documents"))
+
+
+def op12_conversations(spark, sf_dir):
+    return repair_report(damaged(table(spark, sf_dir, "conversations")), copies="copies")
+
+
+def op13_hard_negatives(spark, sf_dir):
+    return hard_negatives(shifted(table(spark, sf_dir, "embeddings")))
+
+
 REGISTRY = {f.__name__: f for f in (op1_pii, op2_language, op3_quality, op4_secrets, op5_decontamination, op6_simhash,
-                                    op7_rules, op8_licenses, op9_lm, op10_packing)}
+                                    op7_rules, op8_licenses, op9_lm, op10_packing, op11_sharding, op12_conversations,
+                                    op13_hard_negatives)}
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
@@ -79,4 +95,22 @@ SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN covered USING (row_id) LEFT JOIN named USING (row_id)""",
+    "op13_hard_negatives": """
+WITH v AS (SELECT row_number() OVER () AS row_id, vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.row_id AS anchor_row, a.vec_id AS anchor_id, o.vec_id, a.label = o.label AS same,
+    CAST(list_inner_product(a.e, o.e) AS BIGINT) AS score
+  FROM v AS a JOIN v AS o ON a.vec_id % 100 = 0 AND a.row_id <> o.row_id),
+pos AS (SELECT anchor_row, anchor_id, vec_id AS positive_id, score AS positive_score,
+    row_number() OVER (PARTITION BY anchor_row ORDER BY score DESC, vec_id) AS k
+  FROM scored WHERE same QUALIFY k <= 5)
+SELECT pos.anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY pos.anchor_row, k ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM pos JOIN scored ON pos.anchor_row = scored.anchor_row AND NOT same
+  AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5""",
 }
