@@ -98,9 +98,9 @@ FROM doc LEFT JOIN covered USING (row_id) LEFT JOIN named USING (row_id)""",
     "op13_hard_negatives": """
 WITH v AS (SELECT row_number() OVER () AS row_id, vec_id,
     CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-    list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e
+    [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 scored AS (SELECT a.row_id AS anchor_row, a.vec_id AS anchor_id, o.vec_id, a.label = o.label AS same,
     CAST(list_inner_product(a.e, o.e) AS BIGINT) AS score
   FROM v AS a JOIN v AS o ON a.vec_id % 100 = 0 AND a.row_id <> o.row_id),
