@@ -18,6 +18,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.committed import is_committed, mark_of
 from tidemark.sources.jdbc import plan_windows, read_jdbc_windows
 
 # Defaults of the incremental loader.
@@ -40,11 +41,15 @@ def _is_path(target: str) -> bool:
 def max_updated_at(spark: SparkSession, target: str, ts_col: str = "updated_at"):
     """IO6: newest ``ts_col`` in the target; None when absent or empty.
 
-    One distributed ``max`` aggregate; only a single value reaches the driver.
+    A target with commit records (:mod:`tidemark.sources.committed`) tells it
+    without a scan; any other takes one distributed ``max`` aggregate over the
+    column. Only a single value reaches the driver.
     """
     if _is_path(target):
         if not _path_exists(spark, target):
             return None
+        if is_committed(spark, target):
+            return mark_of(spark, target)
         df = spark.read.parquet(target)
     else:
         if not spark.catalog.tableExists(target):
