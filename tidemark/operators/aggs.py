@@ -146,6 +146,29 @@ def monthly_active(df: DataFrame, date_col: str, user_col: str, segment: str | N
     return df.groupBy(*keys).agg(F.countDistinct(user_col).alias(name))
 
 
+def user_bitmaps(df: DataFrame, keys: Sequence, user_col: str) -> DataFrame:
+    """A3/A13 as mergeable state: exact sets of whole-number user ids, one
+    bitmap per (keys, bucket of ids), at most 4 KB each.
+
+    A day's bitmaps are built from that day's rows alone and merged later
+    (:func:`merge_bitmaps`, :func:`bitmap_users`), so a new day touches no
+    other. Null users are in no set; a group of only null users has no row.
+    """
+    user = F.col(user_col).cast("long")
+    return df.where(user.isNotNull()).groupBy(*keys, F.bitmap_bucket_number(user).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(user)).alias("users"))
+
+
+def merge_bitmaps(bitmaps: DataFrame, keys: Sequence) -> DataFrame:
+    """Union of the sets of :func:`user_bitmaps` over coarser keys (days to months, modes to all)."""
+    return bitmaps.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("users").alias("users"))
+
+
+def bitmap_users(bitmaps: DataFrame, keys: Sequence[str], name: str = "monthly_users") -> DataFrame:
+    """Exact number of distinct users per ``keys`` (column names)."""
+    return merge_bitmaps(bitmaps, keys).groupBy(*keys).agg(F.sum(F.bitmap_count("users")).alias(name))
+
+
 def weekly_mean(df: DataFrame, date_col: str, value: str, week_col: str = "reference_week",
                 name: str | None = None) -> DataFrame:
     """Mean of ``value`` per Monday-started week."""

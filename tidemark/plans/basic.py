@@ -402,6 +402,20 @@ def monthly_active(spark: SparkSession, sf: str) -> DataFrame:
         "reference_date", "event_type", "n_events", "monthly_users")
 
 
+@register("monthly_users_bitmap", """
+SELECT CAST(date_trunc('month', ts) AS DATE) AS month, coalesce(event_type, 'GENERAL') AS event_type,
+  count(DISTINCT user_id) AS monthly_users
+FROM events GROUP BY GROUPING SETS ((1), (1, event_type))
+""")
+def monthly_users_bitmap(spark: SparkSession, sf: str) -> DataFrame:
+    """Sets of users kept per day and type, merged to months and to all types (exact)."""
+    ev = Tables(spark, sf).events.select(F.to_date("ts").alias("day"), "event_type", "user_id")
+    days = aggs.user_bitmaps(ev, ["day", "event_type"], "user_id").withColumn("month", month_start("day"))
+    months = aggs.merge_bitmaps(days, ["month", "event_type"])
+    return aggs.with_general(aggs.bitmap_users(months, ["month"]), aggs.bitmap_users(months, ["month", "event_type"]),
+                             "event_type").select("month", "event_type", "monthly_users")
+
+
 # ------------------------------------------------------------ aggregates
 @register("grouped_aggs", """
 SELECT l_returnflag, l_linestatus, year(l_shipdate) AS ship_year,

@@ -34,7 +34,8 @@ def build_financial_marts(spark: SparkSession, inputs: dict, out_dir: str, *,
         inputs["transactions"], inputs["transaction_items"], inputs["wallets"], inputs["accounts"],
         inputs["super_tips"], inputs["coupon_items"], inputs.get("reputations"), inputs.get("match_players"),
         inputs.get("players"))
-    paths["coupons_finished"] = materialize(coupons, f"{out}/coupons_finished", cluster_by=COUPONS_CLUSTER_BY)
+    paths["coupons_finished"] = materialize(coupons, f"{out}/coupons_finished", cluster_by=COUPONS_CLUSTER_BY,
+                                            interleave=True)
     financial = marts.financial_daily(
         inputs["transactions_finished"], spark.read.parquet(paths["coupons_finished"]), inputs["league_points"],
         inputs["coupon_items"], inputs["challenges"], inputs["users"], league_since=league_since,

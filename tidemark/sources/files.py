@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import checkpoint_dir
+from tidemark.sources.layout import z_ordered
+from tidemark.sources.publish import refresh
 
 # Sinks the materialiser knows; anything else is rejected before any write.
 SINK_FORMATS = ("parquet", "orc", "delta", "jdbc", "table")
@@ -59,47 +61,6 @@ def _delta_available(spark: SparkSession) -> bool:
         return False
 
 
-def _norm_path(p: str) -> str:
-    for prefix in ("file://", "file:"):
-        if p.startswith(prefix):
-            p = p[len(prefix):]
-    return "/" + p.lstrip("/").rstrip("/")
-
-
-def _reads_target(df: DataFrame, target: str) -> bool:
-    """True when ``df`` reads the path or catalog table being overwritten.
-
-    The scans' root paths are compared (not their file lists, which grow
-    with the table); a catalog table stands for its location.
-    """
-    spark = df.sparkSession
-    if _is_path(target):
-        root = _norm_path(target)
-    elif spark.catalog.tableExists(target):
-        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {target}").where("col_name = 'Location'").select("data_type")
-        location = rows.first()
-        if location is None:
-            return False
-        root = _norm_path(location[0])
-    else:
-        return False
-    roots = (_norm_path(p) for p in _scan_roots(df))
-    return any(p == root or p.startswith(root + "/") or root.startswith(p + "/") for p in roots)
-
-
-def _scan_roots(df: DataFrame) -> list[str]:
-    """Root paths of the file scans in the plan."""
-    found, leaves = [], df._jdf.queryExecution().analyzed().collectLeaves()
-    for i in range(leaves.size()):
-        leaf = leaves.apply(i)
-        if leaf.getClass().getSimpleName() == "LogicalRelation":
-            relation = leaf.relation()
-            if relation.getClass().getSimpleName() == "HadoopFsRelation":
-                paths = relation.location().rootPaths()
-                found += [paths.apply(k).toString() for k in range(paths.size())]
-    return found
-
-
 def materialize(
     df: DataFrame,
     target: str,
@@ -111,54 +72,57 @@ def materialize(
     jdbc_url: str | None = None,
     jdbc_properties: dict | None = None,
     files_per_partition: int | None = None,
+    interleave: bool = False,
+    not_null: Sequence = (),
+    unique: Sequence = (),
 ) -> str:
     """IO10/IO12/IO14: write a model output as a full refresh.
 
     * ``format`` picks the sink ("parquet", "orc", "delta", "jdbc" or
-      "table" for a catalog table in the session's default format); an
-      unknown sink raises before anything is written.
+      "table" for a catalog table in parquet); an unknown sink raises before
+      anything is written.
     * ``cluster_by`` lays rows out by range of those columns and sorts each
-      file, so parquet min/max statistics skip files on later filters —
-      the open-source counterpart of a clustered table.
-    * Overwriting a table the plan itself reads is staged through the
-      shared checkpoint folder first, since Spark refuses to overwrite a
-      relation it is reading.
+      file, so parquet min/max statistics skip files on later filters, the
+      open-source counterpart of a clustered table. ``interleave`` does so
+      for all of the columns alike (:mod:`tidemark.sources.layout`), not for
+      the leading one first.
+    * An overwrite goes to a fresh folder that takes the target's place when
+      it is complete (:mod:`tidemark.sources.publish`), so the plan may read
+      its own target and a write that fails leaves the old rows. ``not_null``
+      and ``unique`` are tested on the rows as they are written.
     """
     if format not in SINK_FORMATS:
         raise ValueError(f"unknown sink format {format!r}; expected one of {SINK_FORMATS}")
     if format == "delta" and not _delta_available(df.sparkSession):
         raise RuntimeError("the delta sink needs the Delta Lake package on the classpath; "
                            "use format='parquet' or 'table' otherwise")
-    def laid_out(frame: DataFrame) -> DataFrame:
-        if not cluster_by:
-            return frame
+    out = df
+    if cluster_by and interleave:
+        out = z_ordered(df, cluster_by, files_per_partition)
+    elif cluster_by:
         cols = list(cluster_by)
-        ranged = (frame.repartitionByRange(files_per_partition, *cols) if files_per_partition
-                  else frame.repartitionByRange(*cols))
-        return ranged.sortWithinPartitions(*cols)
-
-    out = laid_out(df)
+        ranged = (df.repartitionByRange(files_per_partition, *cols) if files_per_partition
+                  else df.repartitionByRange(*cols))
+        out = ranged.sortWithinPartitions(*cols)
+    is_path = _is_path(target) and format != "table"
+    if mode == "overwrite" and format in ("parquet", "orc", "table"):
+        refresh(out, target, is_path=is_path, format="parquet" if format == "table" else format,
+                partition_by=tuple(partition_by or ()), not_null=not_null, unique=unique)
+        return target
+    if not_null or unique:
+        raise ValueError("checks in the write pass need mode='overwrite' and a parquet, orc or table sink")
     if format == "jdbc":
         if not jdbc_url:
             raise ValueError("jdbc sink needs jdbc_url")
         out.write.jdbc(jdbc_url, target, mode=mode, properties=jdbc_properties or {})
         return target
-
-    if mode == "overwrite" and _reads_target(df, target):
-        staging = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/staging-{uuid.uuid4().hex}"
-        df.write.mode("overwrite").parquet(staging)
-        out = laid_out(df.sparkSession.read.parquet(staging))
-
-    writer = out.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    writer = out.write.mode(mode).partitionBy(*(partition_by or ()))
     if format == "table":
-        writer.saveAsTable(target)
-    elif format in ("parquet", "orc", "delta"):
-        if _is_path(target):
-            writer.format(format).save(target)
-        else:
-            writer.format(format).saveAsTable(target)
+        writer.format("parquet").saveAsTable(target)
+    elif is_path:
+        writer.format(format).save(target)
+    else:
+        writer.format(format).saveAsTable(target)
     return target
 
 
@@ -178,8 +142,18 @@ def stage_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
     return spark.read.parquet(path)
 
 
-def create_view(spark: SparkSession, df_or_sql, name: str) -> DataFrame:
-    """IO11: create or replace a (temporary) view from a DataFrame or SQL text."""
+def create_view(spark: SparkSession, df_or_sql, name: str, lasting: bool = False) -> DataFrame:
+    """IO11: create or replace a view.
+
+    ``lasting`` puts it into the catalog, where other sessions find it; that
+    takes SQL text over catalog tables or views (a frame lives in its session). Otherwise it is a
+    temporary view of this session, from a DataFrame or SQL text.
+    """
+    if lasting:
+        if not isinstance(df_or_sql, str):
+            raise ValueError("a lasting view is defined by SQL text")
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS {df_or_sql}")
+        return spark.table(name)
     df = spark.sql(df_or_sql) if isinstance(df_or_sql, str) else df_or_sql
     df.createOrReplaceTempView(name)
     return spark.table(name)
