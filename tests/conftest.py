@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def spark():
     from tidemark.session import build_session
 
-    session = build_session(master="local[*]", shuffle_partitions=8, app_name="tidemark-tests")
+    session = build_session(master="local[*]", shuffle_partitions=8, app_name="tidemark-tests", driver_memory="8g")
     yield session
     session.stop()
 

@@ -23,7 +23,7 @@ from tidemark.session import build_session  # noqa: E402
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
-    spark = build_session()
+    spark = build_session(driver_memory="8g")
     q, o = entry.queries(), entry.oracle_sql()
     report = {}
     for name in names or sorted(q):

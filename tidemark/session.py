@@ -31,12 +31,14 @@ def shuffle_partitions_for(input_bytes: int, cores: int = 8, partition_bytes: in
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "tidemark", input_bytes: int | None = None) -> SparkSession:
+                  app_name: str = "tidemark", input_bytes: int | None = None,
+                  driver_memory: str | None = None) -> SparkSession:
     """Create (or reuse) a session with the settings the marts rely on.
 
     ``input_bytes`` (the size of the largest input) sizes the shuffle width
     with :func:`shuffle_partitions_for`, unless ``shuffle_partitions`` or
-    ``TIDEMARK_SHUFFLE_PARTITIONS`` says otherwise. What is not given (the
+    ``TIDEMARK_SHUFFLE_PARTITIONS`` says otherwise. ``driver_memory`` (or
+    ``TIDEMARK_DRIVER_MEMORY``) is for local runs that start their own JVM. What is not given (the
     master too) is left to the cluster's own settings.
     """
     parts = shuffle_partitions or os.environ.get("TIDEMARK_SHUFFLE_PARTITIONS")
@@ -45,6 +47,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     builder = SparkSession.builder
     if master:
         builder = builder.master(master)
+    memory = driver_memory or os.environ.get("TIDEMARK_DRIVER_MEMORY")
+    if memory:
+        builder = builder.config("spark.driver.memory", memory)
     if parts:
         builder = builder.config("spark.sql.shuffle.partitions", str(parts))
     builder = (
@@ -62,7 +67,6 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         # Python call-site capture only enriches error messages but costs
         # several JVM round trips per Column call while plans are built
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "16g"))
         # the planner's static estimate is a compressed file size: keep its
         # threshold conservative; AQE decides again from measured shuffle
         # sizes and may broadcast up to the in-memory bound
