@@ -335,7 +335,9 @@ def financial_daily(tf: DataFrame, coupons: DataFrame, league_points: DataFrame,
     since = users.where(F.col("created_at") >= F.to_timestamp(F.lit(subscription_users_since))).select("user_id")
     per_user = stage.stack_rows(feed("subscription").join(since, "user_id", "inner").select("reference_date", "user_id", *sums),
                                 feed("bonus", "pay").select("reference_date", "user_id", *sums))
-    own = stage.stack_rows(league, revenue, converted)
+    # summed by mode here, so that the GENERAL and the per-mode pivots share one exchange
+    own = stage.stack_rows(league, revenue, converted).groupBy("reference_date", "gamemode", "type").agg(
+        F.sum("__tm_v").alias("__tm_v"), F.sum("__tm_abs").alias("__tm_abs"))
     modes = coupons.select("user_id", "gamemode").distinct()
     general_t = stage.stack_rows(own.drop("gamemode"), per_user.drop("user_id"))
     mode_t = stage.stack_rows(own, joins.fan_out(per_user, modes, "user_id", "gamemode", DEFAULT_GAMEMODE).drop("user_id"))
