@@ -28,7 +28,8 @@ def odd(spark):
         (8, "ñandú çà é à \U0001F600 über straße", "es", "b", 8),
     ]
     extra = {n: F.lit("clash") for n in ("fp", "key", "x", "n", "label", "score", "text_hash", "hash", "w", "word",
-                                         "uid", "part", "kept", "hot", "redacted", "rules_kept", "learn")}
+                                         "uid", "part", "kept", "hot", "redacted", "rules_kept", "learn",
+                                         "raw_", "gaps_", "hit_id_", "hit_key_", "hit_spans", "text_hash")}
     return spark.createDataFrame(rows, SCHEMA).withColumns(extra)
 
 

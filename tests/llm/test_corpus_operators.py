@@ -154,6 +154,40 @@ def test_contamination_shuffled_join_agrees(spark, contaminated, monkeypatch):
     assert sorted(map(tuple, decontaminate.contamination_report(d, b).collect())) == want
 
 
+def test_contamination_of_long_texts_and_shared_templates(spark, monkeypatch):
+    """Windows over chunk borders, a text much longer than a chunk, and items that share windows or differ in one."""
+    rng = np.random.default_rng(8)
+    words = [f"w{k}" for k in range(300)]
+    long = " ".join(rng.choice(words, 5000))
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron"
+    docs = [(k, " ".join(["x"] * k + [item, "and more"])) for k in range(0, 140, 7)]
+    docs += [(500, f"{long} {item} {long}"), (501, long), (502, None), (503, "")]
+    items = [(k, item) for k in range(30)] + [(100, item + " pi"), (101, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu rho"),
+                                              (102, "w1 w2"), (103, " ".join(long.split()[70:90])), (104, None), (5, "nu xi")]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = brute_contamination(docs, items)
+    for rows, size in ((10**6, 64 << 20), (0, 64 << 20), (10**6, 10)):
+        monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", rows)
+        monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", size)
+        got = {r[0]: tuple(r)[1:] for r in decontaminate.contamination_report(d, b).collect()}
+        assert got == want
+
+
+def test_contamination_cost_is_linear(spark):
+    """Rows that the scan makes: one a window and document, each with the words of a chunk at most, and
+    one hit a window however many items are equal."""
+    text = " ".join(f"w{k}" for k in range(4000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    src = docs.select("doc_id", decontaminate.text_key("text").alias("key"), decontaminate.normalised_words("text").alias("w"))
+    src = src.withColumn("n", F.size("w"))
+    rows = decontaminate._scanned(decontaminate._chunks(src), [13])
+    assert rows.count() == 4000 - 13 + 1 + 1 and rows.agg(F.max(F.size("c"))).first()[0] <= decontaminate.CHUNK + 12
+    items = spark.createDataFrame([(k, " ".join(f"w{k}" for k in range(20))) for k in range(500)], "item_id long, text string")
+    side, members = decontaminate._item_sets(decontaminate.test_windows(items))
+    assert side.count() == 8 and side.select("items").distinct().count() == 1 and members.count() == 500
+    assert decontaminate._by_broadcast(src, side, [13]).where("span is not null").count() == 8
+
+
 def test_contamination_oracle_and_odd_rows(spark, sf_small, odd, none):
     s, d, *_ = compare(spark, sf_small, REGISTRY["op5_decontamination"], ORACLE["op5_decontamination"])
     assert s == d
@@ -166,8 +200,12 @@ def test_contamination_oracle_and_odd_rows(spark, sf_small, odd, none):
 
 
 def test_contamination_is_native(spark, sf_small):
-    plan = REGISTRY["op5_decontamination"](spark, sf_small)._jdf.queryExecution().toString()
-    assert not re.search("Python|Arrow|Pandas", plan) and "BroadcastHashJoin" in plan
+    docs, items = (spark.read.parquet(f"{sf_small}/{t}.parquet") for t in ("documents", "benchmark"))
+    side, _ = decontaminate._item_sets(decontaminate.test_windows(items))
+    src = docs.select("doc_id", decontaminate.text_key("text").alias("key"), decontaminate.normalised_words("text").alias("w"))
+    scan = decontaminate._by_broadcast(src.withColumn("n", F.size("w")), side, [13])
+    plans = [df._jdf.queryExecution().toString() for df in (REGISTRY["op5_decontamination"](spark, sf_small), scan)]
+    assert not any(re.search("Python|Arrow|Pandas", p) for p in plans) and "BroadcastHashJoin" in plans[1]
 
 
 # near-duplicates
