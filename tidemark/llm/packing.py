@@ -37,8 +37,8 @@ class Encoder:
     """Ids of the byte-level BPE vocabulary.
 
     The rank form of the vocabulary gives the same ids as the JSON form and is
-    several times faster, but slows down on unbroken runs; texts with such
-    runs go through the JSON form.
+    several times faster, but slows down on unbroken runs and knows no special tokens; texts with such
+    runs, or with a special token's string, go through the JSON form.
     """
 
     def __init__(self, json_path: str, rank_path: str):
@@ -46,7 +46,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(json_path)
-        self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         with open(rank_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.fast = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
@@ -56,7 +56,7 @@ class Encoder:
         value = text.decode("utf-8", "replace")
         words = text.split()
         blank = len(text) - sum(map(len, words))
-        if max(map(len, words), default=0) >= LONG_RUN or blank >= 2 * len(words) + LONG_RUN:
+        if any(s in value for s in self.special) or max(map(len, words), default=0) >= LONG_RUN or blank >= 2 * len(words) + LONG_RUN:
             return np.array(self.whole.encode(value, add_special_tokens=False).ids, "<u4")
         return np.array(self.fast.encode_ordinary(value), "<u4")
 
