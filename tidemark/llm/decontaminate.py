@@ -170,9 +170,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     own = rows.where(F.size("sets") > 0).select("sets").distinct()
     named = own.withColumn("items", F.explode("sets")).join(members, "items").groupBy("sets").agg(
         F.array_sort(F.collect_set("item_id")).alias("ids")).withColumnRenamed("sets", "own_sets")
-    rows = rows.join(named, F.col("sets") == F.col("own_sets"), "left").select(
-        "doc_id", "key", "n_words", "n_hit", F.coalesce("ids", F.array().cast("array<string>")).alias("items"), "spans",
-        "copies")
+    columns = ["doc_id", "key", "n_words", "n_hit", "items", "spans", "copies"]
+    hit = rows.join(named, F.col("sets") == F.col("own_sets")).withColumn("items", F.col("ids")).select(columns)
+    # documents without a hit, most of them, need no join
+    clean = rows.where(F.size("sets") == 0).withColumn("items", F.col("sets")).select(columns)
+    rows = hit.unionByName(clean)
     return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copy", "copies")
 
 
