@@ -9,8 +9,10 @@ The forest learns from labelled findings. Where none are given it labels
 candidates of the corpus itself by distant supervision: a known key format or
 a value assigned to a credential name that mixes letters and digits is a
 secret; tokens of letters only, numbers and values named as digests are not;
-other candidates are not learned from. The known format and the credential
-name are not features, so the forest has to find them by shape and words.
+other candidates are not learned from. The kind of a candidate is not a
+feature; the words before it are, as the method asks, and they hold the credential or digest name that
+the label came from. So without given findings the forest generalises the rules to
+candidates that they leave open (long tokens, letters-only values), and is no independent judge of them.
 At most about ``SAMPLE_ROWS`` findings (a documented bound, chosen by hash)
 are learned from. The dictionary is corpus-wide: words that make up at least
 1/``DICTIONARY`` of all dictionary-like words, so at most that many.
@@ -56,7 +58,8 @@ FORMAT_MARKS = ("AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_
                 "glpat-", "eyJ", "-----BEGIN ")
 _SIGN = re.compile("[:=]")
 _NAMED = re.compile(rf"(?i)(?:{_NAMES})[A-Za-z0-9_-]{{0,20}}[\"']?[ \t]{{0,3}}$")
-_VALUE = re.compile(r"(?::=|=>|=|:)[ \t]{0,3}[\"']?([^\s\"'<>,;(){}\[\]]{6,})")
+# A quoted value goes to its closing quote on the line, any other to white space.
+_VALUE = re.compile(r"""(?::=|=>|=|:)[ \t]{0,3}(?:"((?:[^"\\\r\n]|\\.)+)"|'((?:[^'\\\r\n]|\\.)+)'|["']?([^\s"']\S*))""")
 TOKEN = re.compile(rf"[A-Za-z0-9_+/-]{{{MIN_TOKEN},}}={{0,2}}")
 _NAME = re.compile(rf"(?i)(?:{_NAMES})")
 _DIGEST = re.compile(r"(?i)sha-?\d*|md5|hash|digest|checksum|commit|uuid|revision|etag")
@@ -66,6 +69,19 @@ FEATURES = ("length", "transitions", "digits", "upper", "hex", "entropy", "cover
             "name_before", "digest_before", "assigned", "quoted", "mock", "distinct", "vowels")
 
 
+def _bare(value: str) -> str:
+    """An unquoted value without the punctuation of the text around it: stops, quotes and
+    closing brackets that it does not open."""
+    while value:
+        last = value[-1]
+        opened = {")": "(", "]": "[", "}": "{", ">": "<"}.get(last)
+        if last in ".,;\"'" or (opened and value.count(last) > value.count(opened)):
+            value = value[:-1]
+        else:
+            break
+    return value
+
+
 def candidates(text: str) -> list[tuple[int, int, str, int]]:
     """Spans (start, end, kind, distant label); label -1 is unlabelled."""
     found: list[tuple[int, int, str, int]] = []
@@ -77,13 +93,14 @@ def candidates(text: str) -> list[tuple[int, int, str, int]]:
         if at < after or not _NAMED.search(text[max(after, at - 48):at]):
             continue
         m = _VALUE.match(text, at)
-        value = m[1].rstrip(".") if m else ""
+        value = _bare(m[3]) if m and m[3] else m[m.lastindex] if m else ""
         if len(value) >= 6:
-            after = m.end()
+            after = m.start(m.lastindex) + len(value)
             mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
             mock = _MOCK.search(value) is not None
-            found.append((m.start(1), m.start(1) + len(value), "assigned",
-                          0 if mock else 1 if mixed and len(value) >= 8 else -1))
+            plain = any(c.isspace() for c in value)
+            found.append((m.start(m.lastindex), after, "assigned",
+                          0 if mock else 1 if mixed and len(value) >= 8 and not plain else -1))
     if max(map(len, text.split()), default=0) >= MIN_TOKEN:
         for m in TOKEN.finditer(text):
             value = m.group()
@@ -266,7 +283,7 @@ def labelled_findings(docs: DataFrame, words: frozenset[str], text: str = "text"
 def fit(findings: DataFrame) -> Forest | None:
     """The forest from labelled findings (x, label); None if one class lacks.
     Equal findings count once, so a hot group of copies weighs as one."""
-    rows = findings.where(F.col("label").isin(0, 1)).distinct()
+    rows = cut(findings.where(F.col("label").isin(0, 1)).distinct())  # candidates are looked for once
     sizes = dict(rows.groupBy("label").count().collect())
     if len(sizes) < 2:
         return None
