@@ -1,12 +1,13 @@
-"""SimHash near-duplicates through a byte-position inverted index.
-
-Fingerprints of 64 bits are indexed by (position, byte) entries. Two
-fingerprints that differ in at most ``k`` bits differ in at most ``k`` of the
-eight bytes, so they share at least ``8 - k`` positional bytes: that is the
-guaranteed minimum of the count filter. A posting key is a set of ``8 - k``
-positional entries, so the fingerprints that meet under one key are exactly
-those whose tally of shared positional bytes reaches the minimum, and a key
-can hold at most 256^k different fingerprints however large the corpus is.
+"""SimHash near-duplicates through keys of several positional bytes.
+
+Two fingerprints of 64 bits that differ in at most ``k`` bits differ in at most ``k`` of their
+eight bytes, so they share at least ``8 - k`` (position, byte) entries: the
+guaranteed minimum of a count filter. The dealt method, a tally per pair over the postings of
+single entries, is replaced: there are only 2,048 such postings, so each grows
+with the corpus and the pairs to tally with its square (884 million for the 235,850 distinct
+fingerprints of 0.5 GB of text, 3,750 for each of them). Here a key is a set of ``8 - k``
+entries, so two fingerprints meet under a key exactly when they share the minimum, no tally is
+needed, and a key can hold at most 256^k different fingerprints however large the corpus is.
 Under a key, the bit distance is verified on the remaining bytes; the
 components found there leave as links to one member (never as all pairs).
 Links of all keys are joined into components by alternating star steps.
