@@ -368,6 +368,37 @@ def test_lm_training_is_not_cut():
     assert gru_lm.WARM_ROUNDS == 4
 
 
+def test_lm_does_not_depend_on_the_partitions(spark, small, monkeypatch):
+    """Several learners; their average equals that of learners run one by one."""
+    monkeypatch.setattr(gru_lm, "LEARNER_TOKENS", 40_000)
+    learn = F.col("doc_id") % 5 != 1
+    runs = [gru_lm.lm_scores(small.repartition(n), learn).select("doc_id", "score").collect() for n in (1, 7)]
+    one, other = (dict(map(tuple, r)) for r in runs)
+    assert len(one) == small.count() and one == pytest.approx(other, rel=1e-6)  # batches of scoring round differently
+
+
+def test_lm_average_against_plain(spark, monkeypatch):
+    monkeypatch.setattr(gru_lm, "SUM_GROUPS", 2)
+    rng = np.random.default_rng(6)
+    texts = [(k, rng.integers(0, gru_lm.SIZE, 3 + 40 * k).astype(np.int16).tobytes()) for k in (0, 0, 1, 2, 2, 4)]
+    flat = gru_lm.Network.fresh(tiny_vocabulary().mass).flat
+    rows = spark.createDataFrame(texts, "learner int, ids binary").coalesce(1).sortWithinPartitions("learner")
+    got = gru_lm._averaged(rows.mapInArrow(gru_lm._networks(flat, 0.01), gru_lm.NETWORKS), flat)
+    total, tokens = 0, 0
+    for k in (0, 1, 2, 4):
+        learner = gru_lm.Learner(gru_lm.Network(flat.copy()), 0.01)
+        learner.learn([np.frombuffer(b, np.int16) for i, b in texts if i == k])
+        total, tokens = total + learner.net.flat.astype(float) * learner.tokens, tokens + learner.tokens
+    assert tokens == sum(len(b) // 2 for _, b in texts)
+    assert got == pytest.approx(total / tokens, rel=1e-5, abs=1e-6)
+
+
+def test_lm_first_texts_go_by_tokens():
+    texts = [np.zeros(n, np.int16).tobytes() for n in (4, 5, 1, 90)]
+    assert list(gru_lm._first(texts, 10)) == texts[:3] and list(gru_lm._first(texts, 9)) == texts[:2]
+    assert gru_lm.WARM_TOKENS == 500_000 and gru_lm.LEARNER_TOKENS < gru_lm.CHUNK
+
+
 def test_lm_memory_goes_by_tokens():
     """A long text beside 255 short ones: dense lanes would be 92 MB and more."""
     docs = [np.full(40_000, 3, np.int16), *[np.full(2, 5, np.int16)] * 255]

@@ -8,11 +8,17 @@ softmax factored into classes: P(class) * P(word | class); a rare word's
 probability is its bucket's times its smoothed share of the bucket's counts.
 
 Learning is truncated backpropagation through windows of ``WINDOW`` steps.
-One task first learns from about ``WARM_DOCS`` documents (a documented bound,
-chosen by a hash); from there every partition learns from all its learning
-documents and the networks are averaged by their numbers of tokens. Scoring
-carries the state across windows, from a document's first token to its end,
-so the log-likelihood is that of the whole document.
+One task first learns from about ``WARM_TOKENS`` tokens (a documented bound:
+documents of at most ``WARM_LONGEST`` tokens, chosen by a hash). From there
+all learning documents are dealt by a hash of id and text to learners of
+about ``LEARNER_TOKENS`` tokens each, ``MAX_LEARNERS`` at most; each starts
+from the first network and learns from all its documents in the hash's order,
+and the networks are averaged by their numbers of tokens. So the network does not depend on
+the input's partitions or on retried tasks (scores do by the rounding of
+their batches only), and what is shuffled for the average is one array for
+each learner. Copies under one id go to one learner.
+Scoring carries the state across windows, from a document's first token to
+its end, so the log-likelihood is that of the whole document.
 
 Frequent words' counts go to every task: a word is frequent with at least
 1/``FREQUENT`` of all tokens, so there are at most ``FREQUENT`` of them.
@@ -29,8 +35,9 @@ import heapq
 import uuid
 import zlib
 from collections import Counter
-from collections.abc import Iterator
-from itertools import repeat
+from collections.abc import Iterable, Iterator
+from itertools import groupby, repeat
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +56,12 @@ EMBED = HIDDEN = 16
 LANES = 256
 WINDOW = 32
 CHUNK = 2_000_000  # tokens handled at once
-WARM_DOCS = 1500
+WARM_TOKENS = 500_000
+WARM_LONGEST = WARM_TOKENS // 8
 WARM_ROUNDS = 4
+LEARNER_TOKENS = 1_700_000  # of a learner, on average; below CHUNK
+MAX_LEARNERS = 8192
+SUM_GROUPS = 128  # networks are summed within groups first
 WARM_RATE, RATE = 0.01, 0.002
 LIMIT = 3.0  # of an output weight
 END = b"\n"  # not a word: words hold no white space
@@ -411,57 +422,90 @@ def encoded(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
     return add_columns(docs, "text", fields, encode, drop=("text",))
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+def _chunks(texts: Iterable[bytes]) -> Iterator[list[np.ndarray]]:
     held, size = [], 0
-    for batch in batches:
-        for b in batch.column(0).to_pylist():
-            held.append(np.frombuffer(b, np.int16))
-            size += len(held[-1])
-            if size >= CHUNK:
-                yield held
-                held, size = [], 0
+    for b in texts:
+        held.append(np.frombuffer(b, np.int16))
+        size += len(held[-1])
+        if size >= CHUNK:
+            yield held
+            held, size = [], 0
     if held:
         yield held
 
 
-def train(coded: DataFrame, vocab: Vocabulary) -> Network:
-    """The network learned from all rows of ``coded`` (doc_id, ids)."""
-    src = coded.select("ids", "doc_id")
+def _first(texts: Iterable[bytes], most: int) -> Iterator[bytes]:
+    """The first texts of at most ``most`` tokens together."""
+    size = 0
+    for b in texts:
+        size += len(b) // 2
+        if size > most:
+            return
+        yield b
 
-    def learn(net_flat: np.ndarray, rate: float, rounds: int):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            learner = Learner(Network(net_flat.copy()), rate)
-            kept = list(_chunks(batches)) if rounds > 1 else _chunks(batches)
+
+NETWORKS = "learner int, flat array<double>, tokens double"
+
+
+def _networks(flat: np.ndarray, rate: float, rounds: int = 1, most: int | None = None):
+    """For rows (learner, ids) in the learners' order: one row (learner, sum,
+    tokens) each, the network learned from ``flat`` times its tokens. With
+    ``most``, from the first that many tokens, which are held for all rounds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for batch in batches for r in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+        for k, own in groupby(rows, itemgetter(0)):
+            learner = Learner(Network(flat.copy()), rate)
+            texts = map(itemgetter(1), own)
+            kept = _chunks(texts) if most is None else list(_chunks(_first(texts, most)))
             for _ in range(rounds):
                 for chunk in kept:
                     learner.learn(chunk)
             if learner.tokens:
-                flat = learner.net.flat.astype(np.float64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat * learner.tokens),
-                     pa.array(np.full(len(flat), learner.tokens, np.float64))], names=["i", "x", "w"])
+                    [pa.array([k], pa.int32()), pa.array([learner.net.flat.astype(np.float64) * learner.tokens]),
+                     pa.array([float(learner.tokens)])], names=["learner", "flat", "tokens"])
+
+    return run
+
+
+def _summed(networks: pa.Table) -> pa.Table:
+    """One row: the sums of the arrays, in the learners' order, and of the tokens."""
+    networks = networks.sort_by("learner")
+    total = 0.0
+    for flat in networks.column("flat"):
+        total = total + flat.values.to_numpy()
+    return pa.table({"learner": pa.array([networks.column("learner")[0].as_py()], pa.int32()),
+                     "flat": pa.array([total]), "tokens": pa.array([sum(networks.column("tokens").to_pylist())])})
+
 
-        return run
+def _averaged(networks: DataFrame, before: np.ndarray) -> np.ndarray:
+    """The mean network; ``before`` if there is none. Arrays are summed within
+    groups of learners, then over the groups; one reaches the driver."""
+    for groups in (SUM_GROUPS, 1):
+        networks = networks.groupBy(F.pmod("learner", F.lit(groups))).applyInArrow(_summed, NETWORKS)
+    got = networks.first()
+    return before if got is None else np.array(got["flat"]) / got["tokens"]
 
-    def averaged(rows: DataFrame, before: np.ndarray) -> np.ndarray:
-        # one row per parameter reaches the driver
-        got = rows.groupBy("i").agg((F.sum("x") / F.sum("w")).alias("x")).toPandas()
-        flat = before.copy()
-        flat[got["i"]] = got["x"]
-        return flat
 
+def train(coded: DataFrame, vocab: Vocabulary, tokens: int) -> Network:
+    """The network learned from all rows of ``coded`` (doc_id, n_tokens, ids),
+    which hold ``tokens`` tokens."""
     flat = Network.fresh(vocab.mass).flat
     if not vocab.ends:
         return Network(flat)
-    share = max(1, int(1_000_000 * min(1.0, WARM_DOCS / vocab.ends)))
-    # by id and ids, so that copies are chosen like any other; in a fixed order
-    at = F.xxhash64("doc_id", "ids")
-    few = (src.where(F.pmod(at, F.lit(1_000_000)) < F.lit(share)).orderBy(at, "doc_id", "ids").limit(2 * WARM_DOCS)
-           .coalesce(1))
-    schema = "i int, x double, w double"
-    flat = averaged(few.mapInArrow(learn(flat, WARM_RATE, WARM_ROUNDS), schema), flat)
-    flat = averaged(src.mapInArrow(learn(flat, RATE, 1), schema), flat)
-    return Network(flat)
+    at = F.xxhash64("doc_id", "ids")  # of id and ids, so that copies are chosen like any other
+    short = coded.where(F.col("n_tokens") <= WARM_LONGEST)
+    size = short.agg(F.sum("n_tokens")).first()[0] or 0
+    share = int((1 << 40) * min(1.0, WARM_TOKENS / max(1, size)))
+    few = (short.where(F.pmod(at, F.lit(1 << 40)) < F.lit(share)).select(F.lit(0).alias("learner"), "ids", "doc_id")
+           .coalesce(1).sortWithinPartitions(at, "doc_id", "ids").select("learner", "ids"))
+    # about WARM_TOKENS by their share; a little more by chance
+    flat = _averaged(few.mapInArrow(_networks(flat, WARM_RATE, WARM_ROUNDS, WARM_TOKENS * 5 // 4), NETWORKS), flat)
+    n = max(1, min(MAX_LEARNERS, -(-tokens // LEARNER_TOKENS)))
+    dealt = (coded.select(F.pmod(at, F.lit(n)).cast("int").alias("learner"), at.alias("at"), "doc_id", "ids")
+             .repartitionById(n, "learner").sortWithinPartitions("learner", "at", "doc_id", "ids"))
+    return Network(_averaged(dealt.select("learner", "ids").mapInArrow(_networks(flat, RATE), NETWORKS), flat))
 
 
 def _model_scores(coded: DataFrame, net: Network) -> DataFrame:
@@ -498,7 +542,7 @@ def lm_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text: str
     total, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     vocab = vocabulary(counts, total)
     coded = cut(encoded(src.select("doc_id", "learn", text_key("text").alias("key"), "text"), vocab))
-    heads = _model_scores(coded, train(coded.where("learn"), vocab))
+    heads = _model_scores(coded, train(coded.where("learn"), vocab, total))
     rare = coded.select("doc_id", "key", F.posexplode(F.arrays_zip("rare", "rare_n")).alias("at", "r")).select(
         F.col("doc_id").alias("r_id"), F.col("key").alias("r_key"), F.col("r.rare").alias("word"),
         F.col("r.rare_n").alias("n"), (F.col("at") == 0).cast("int").alias("lead"))
