@@ -1,7 +1,9 @@
 """Language identification as a mixture of languages per document.
 
 Learning counts hashed character trigrams (words padded with spaces) per
-language over all learning documents. A word's likelihood under a language is
+language over all learning documents. At most ``LANGUAGES`` languages are
+learned (a documented bound: those of the most learning documents), so a
+column of dirty tags makes neither the model nor the driver's counts grow. A word's likelihood under a language is
 the product of its trigrams' smoothed probabilities. For each document,
 expectation-maximisation estimates the share of every language over its
 words; nested sets of the strongest languages are then refitted and the set
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import add_columns, field, text_bytes
 
 BUCKETS = 1 << 15
+LANGUAGES = 256
 SMOOTHING = 0.5
 MAX_STEPS = 30
 TOLERANCE = 1e-4
@@ -77,6 +80,8 @@ class Model:
 def _learn(docs: DataFrame, lang: str, text: str) -> Model:
     src = docs.where(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"),
                                                      F.col(text).alias("text"))
+    tags = src.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(LANGUAGES).collect()
+    src = src.where(F.col("lang").isin([r["lang"] for r in tags]))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -106,7 +111,7 @@ def _learn(docs: DataFrame, lang: str, text: str) -> Model:
                 [pa.array([lang] * len(hit), pa.string()), pa.array(hit), pa.array(n[hit].astype(np.int64))],
                 names=["lang", "bucket", "n"])
 
-    # the driver gets at most BUCKETS rows for each language
+    # the driver gets at most BUCKETS rows for each of the languages
     rows = (src.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket")
             .agg(F.sum("n").alias("n")).toPandas())
     languages = sorted(rows["lang"].unique())
