@@ -10,7 +10,7 @@ Stand-ins: customers are users (their first order is the sign-up), orders
 are coupons / page visits / referrals / identity edges, line items are
 wallet and ledger transactions and ad-network cost rows, suppliers are
 challenges, events are bans (error), payouts (purchase) and gateway
-attempts (click).
+attempts (all others); line items belong to one of two ad networks.
 """
 
 from __future__ import annotations
@@ -120,7 +120,7 @@ FROM events WHERE event_type = 'purchase'""",
     "gateway_transactions": """
 SELECT user_id AS account_id, ts AS created_at, event_id AS transaction_id, CAST(value AS DECIMAL(18,2)) AS amount,
   CASE WHEN value > 250 THEN 'PAID' ELSE 'FAILED' END AS status, 'STARKBANK' AS gateway_name
-FROM events WHERE event_type = 'click'""",
+FROM events WHERE event_type NOT IN ('error', 'purchase')""",
     "pages": """
 SELECT o_orderkey AS page_id, CONCAT('s', CAST(o_custkey AS STRING)) AS segment_id,
   o_orderdate - CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN INTERVAL 1 DAY WHEN '2' THEN INTERVAL 3 DAY
@@ -168,7 +168,7 @@ FROM part""",
 SELECT DISTINCT o_orderstatus AS id FROM orders WHERE o_orderstatus <> 'P'""",
     "google_reports": """
 SELECT l_shipdate AS date_stop, l_linestatus AS campaign_id, CAST(round(l_extendedprice * 10000) AS BIGINT) AS cost
-FROM lineitem WHERE l_returnflag = 'A'""",
+FROM lineitem WHERE l_returnflag <> 'N'""",
     "wallet_transactions": """
 SELECT o.o_custkey * 2 + CASE WHEN l.l_discount >= 0.08 THEN 1 ELSE 0 END AS wallet_id, l.l_shipdate AS created_at,
   CASE WHEN l.l_linestatus = 'O' THEN 'CREDIT' ELSE 'DEBIT' END AS transaction_balance,

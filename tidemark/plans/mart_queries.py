@@ -278,8 +278,9 @@ def message_log(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------- M24 / M25
 @register("exchange_series", """
-WITH rates AS (SELECT CAST(o_orderdate AS DATE) AS reference_date, CAST(min(o_totalprice) AS DECIMAL(18,2)) AS exchange
-               FROM orders WHERE o_orderpriority <> '3-MEDIUM' GROUP BY 1),
+WITH rates AS (SELECT CAST(o_orderdate AS DATE) - CAST((CAST(o_orderdate AS DATE) - DATE '1992-01-01') % 10 AS INTEGER)
+                 AS reference_date, CAST(min(o_totalprice) AS DECIMAL(18,2)) AS exchange
+               FROM orders GROUP BY 1),
 spine AS (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-08-01', INTERVAL 1 DAY)) AS DATE) AS _date),
 weekly AS (SELECT CAST(date_trunc('week', reference_date) AS DATE) AS wk, avg(exchange) AS exchange FROM rates GROUP BY 1)
 SELECT s._date AS reference_date, CAST(round(coalesce(r.exchange, w.exchange), 4) AS DECIMAL(18,4)) AS exchange
@@ -289,10 +290,12 @@ LEFT JOIN weekly w ON CAST(date_trunc('week', s._date) AS DATE) = w.wk AND r.exc
 """)
 def exchange_series(spark: SparkSession, sf: str) -> DataFrame:
     """M24 on a calendar from a fixed start to ``as_of`` (here the last order
-    day); rates of one priority are dropped so whole weeks go missing."""
+    day). Every order counts for the first of its ten days, so most days and
+    some whole weeks have no rate of their own."""
     from tidemark.sources.files import Tables
-    o = Tables(spark, sf).orders.where(F.col("o_orderpriority") != "3-MEDIUM")
-    rates = o.groupBy(F.to_date("o_orderdate").alias("reference_date")).agg(
+    day = F.to_date("o_orderdate")
+    first = F.date_sub(day, F.date_diff(day, F.lit("1992-01-01").cast("date")) % 10)
+    rates = Tables(spark, sf).orders.groupBy(first.alias("reference_date")).agg(
         F.min("o_totalprice").cast("decimal(18,2)").alias("exchange"))
     out = marts.exchange_series(rates, date_spine(spark, SPINE_START, SPINE_END))
     return out.withColumn("exchange", F.col("exchange").cast("decimal(18,4)"))
