@@ -3,7 +3,9 @@
 ``STAGES`` lists the stages in order. Each takes (spark, docs, sf_dir) and
 returns the documents it keeps, with the columns of documents (the last one
 returns the packed pieces). ``run`` writes every stage's result as Parquet in
-the session's shared folder and reads it back for the next stage.
+the session's shared folder and reads it back for the next stage. Once a stage's result
+is written its predecessor's is removed, so at most two copies of the corpus stand there; the
+last one stays and is the caller's.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from tidemark.llm.quality_rules import keep_quality
 from tidemark.llm.secrets import redact
 from tidemark.llm.simhash import keep_one
 from tidemark.session import checkpoint_dir
+from tidemark.sources.publish import drop_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +64,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     folder = f"{checkpoint_dir(spark).rstrip('/')}/corpus_pipeline-{uuid.uuid4().hex}"
+    before = None
     for k, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
-        docs = spark.read.parquet(f"{folder}/{k}-{name}")
+        here = f"{folder}/{k}-{name}"
+        stage(spark, docs, sf_dir).write.parquet(here)
+        docs = spark.read.parquet(here)
+        if before is not None:
+            drop_folder(spark, before)
+        before = here
     return docs

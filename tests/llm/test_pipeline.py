@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
@@ -61,7 +63,11 @@ def test_packed_pieces(stages):
 
 
 def test_run_and_odd_rows(spark, sf_small, stages, odd, none):
-    assert corpus_pipeline.run(spark, sf_small).count() == stages[5].count()
+    out = corpus_pipeline.run(spark, sf_small)
+    assert out.count() == stages[5].count()
+    folders = {os.path.dirname(os.path.dirname(f)) for f in out.inputFiles()}
+    own = [os.listdir(f.removeprefix("file://")) for f in folders]
+    assert own == [["4-best_fit_packing"]]  # its predecessors' copies are gone
     for docs in (odd, none):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             assert stage(spark, docs, sf_small).columns == docs.columns

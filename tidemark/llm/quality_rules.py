@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import add_columns, field, text_bytes, unused
 
 BUCKETS = 1 << 15
+# Below the ratio of every document labelled good (lowest: -0.10 on 100,000 x 0.1 documents)
+# that passes the base rules, and above that of most labelled bad (their median: -0.40).
 THRESHOLD = -0.18
 SMOOTHING = 5.0
 MIN_WORDS = 10
