@@ -180,75 +180,82 @@ FINANCIAL_MEASURES = (
     ("payout_abs", ("PAYOUT",), "amount"),
 )
 
-_LEDGER_COLS = ("reference_date", "user_id", "gamemode", "coupon_id", "transaction_id", "bet_amount", "amount", "type")
-
-
 # Ledger amounts keep six places through the sums (revenue has four); the
 # measures are rounded to cents last.
 LEDGER_AMOUNT_TYPE = "decimal(38,6)"
 
+LEDGER_COLUMNS = ("feed", "reference_date", "user_id", "gamemode", "coupon_id", "transaction_id", "bet_amount", "amount",
+                  "type")
+
 
-def _ledger(df: DataFrame, **cols) -> DataFrame:
-    exprs = []
-    for name in _LEDGER_COLS:
-        v = cols[name]
-        c = v if isinstance(v, Column) else F.col(v) if isinstance(v, str) else F.lit(v)
-        if name == "amount":
-            c = c.cast(LEDGER_AMOUNT_TYPE)
-        exprs.append(c.alias(name))
-    return df.select(*exprs)
+def _routed(tf: DataFrame, league_since: str) -> DataFrame:
+    """The ledger rows that belong to a feed, tagged with it, with their day, type and amount there.
+
+    The feeds' rules exclude one another (a type is in one feed, but for coupon refunds, which are told
+    apart by wallet), so a row needs one tag and no copy.
+    """
+    kind, side, money = F.col("transaction_type"), F.col("debit_credit"), F.col("wallet_currency")
+    feed = (F.when(kind.isin("LEAGUE_REGISTRATION", "LEAGUE_TICKET") & (side == "CREDIT") & (money == "BRL")
+                   & (F.to_date("created_at") >= F.to_date(F.lit(league_since))), "league")
+            .when((kind == "SUBSCRIPTION_OLD_USER") & (side == "CREDIT"), "subscription")
+            .when(kind.isin("COUPON", "COUPON_REFUND") & (money == "BRL"), "coupon")
+            .when((money == "BONUS_BRL") & kind.isin("ROLLOVER", "BONUS", "LEAGUE_PRIZE", "COUPON_REFUND",
+                                                    "BACKOFFICE_BONUS") & (side == "DEBIT"), "bonus")
+            .when(kind.isin("PAYIN", "PAYOUT"), "pay"))
+    coupon_type = (F.when(side == "ARTIFICIAL", "RECOVERED_REVENUE").when(side == "ARTIFICIAL_UNBANNED", side)
+                   .when(side.isNotNull(), kind))
+    f = F.col("feed")
+    return tf.withColumn("feed", feed).where("feed IS NOT NULL").select(
+        "feed", F.to_date(F.when(f == "pay", F.col("updated_at")).otherwise(F.col("created_at"))).alias("reference_date"),
+        F.when(f == "league", "LEAGUE_ENTRANCE").when(f == "bonus", "BONUS").when(f == "coupon", coupon_type)
+        .otherwise(kind).alias("type"), "league_id", "coupon_id", "user_id", "transaction_id",
+        F.when(f == "coupon", F.col("amount_rev")).otherwise(F.col("absolut_amount")).cast(LEDGER_AMOUNT_TYPE).alias("amount"))
+
+
+def _converted(coupons: DataFrame) -> DataFrame:
+    """The won bonus coupons: the feed that does not come from the ledger."""
+    return coupons.where((F.col("currency") == "BONUS_BRL") & (F.col("coupon_status") == "WON"))
 
 
 def typed_ledger(tf: DataFrame, coupons: DataFrame, league_points: DataFrame, coupon_items: DataFrame,
                  challenges: DataFrame, users: DataFrame, *, league_since: str = "2024-01-01",
-                 subscription_users_since: str = "2023-10-11") -> dict[str, DataFrame]:
-    """The six typed feeds of the daily financial mart, each with the
-    same eight columns. Returns them by name; ``gamemode`` is null where the
-    feed has none."""
-    gm_null = F.lit(None).cast("string")
-    txt_null = F.lit(None).cast("string")
-    int_null = F.lit(None).cast("int")
-    lg = _league_modes(league_points, coupon_items, challenges)
-    le = tf.where(F.col("transaction_type").isin("LEAGUE_REGISTRATION", "LEAGUE_TICKET")
-                  & (F.col("debit_credit") == "CREDIT") & (F.col("wallet_currency") == "BRL")
-                  & (F.to_date("created_at") >= F.to_date(F.lit(league_since))))
-    le = le.join(lg, "league_id", "left")
-    league_entrance = _ledger(le, reference_date=F.to_date("created_at"), user_id="user_id",
-                              gamemode=F.coalesce("gamemode", F.lit(DEFAULT_GAMEMODE)), coupon_id=txt_null,
-                              transaction_id="transaction_id", bet_amount=int_null, amount="absolut_amount",
-                              type=F.lit("LEAGUE_ENTRANCE"))
-    sub = (tf.where((F.col("transaction_type") == "SUBSCRIPTION_OLD_USER") & (F.col("debit_credit") == "CREDIT"))
-           .join(users.select("user_id", F.col("created_at").alias("__tm_uc")), "user_id", "inner")
-           .where(F.col("__tm_uc") >= F.to_timestamp(F.lit(subscription_users_since))))
-    subscription = _ledger(sub, reference_date=F.to_date("created_at"), user_id="user_id", gamemode=gm_null,
-                           coupon_id=txt_null, transaction_id="transaction_id", bet_amount=int_null,
-                           amount="absolut_amount", type=F.lit("SUBSCRIPTION_OLD_USER"))
-    cr = (tf.where(F.col("transaction_type").isin("COUPON", "COUPON_REFUND") & (F.col("wallet_currency") == "BRL"))
-          .select(F.col("created_at").alias("__tm_at"), "coupon_id", "transaction_id", "amount_rev",
-                  "debit_credit", "transaction_type")
-          .join(coupons.select("coupon_id", "user_id", "gamemode", "bet_amount"), "coupon_id", "left"))
-    cr_type = (F.when(F.col("debit_credit") == "ARTIFICIAL", F.lit("RECOVERED_REVENUE"))
-               .when(F.col("debit_credit") == "ARTIFICIAL_UNBANNED", F.lit("ARTIFICIAL_UNBANNED"))
-               .when(F.col("debit_credit") != "ARTIFICIAL", F.col("transaction_type")))
-    coupons_revenue = _ledger(cr, reference_date=F.to_date("__tm_at"), user_id="user_id", gamemode="gamemode",
-                              coupon_id=F.col("coupon_id").cast("string"), transaction_id="transaction_id",
-                              bet_amount="bet_amount", amount="amount_rev", type=cr_type)
-    bc = coupons.where((F.col("currency") == "BONUS_BRL") & (F.col("coupon_status") == "WON"))
-    bonus_converted = _ledger(bc, reference_date=F.to_date("created_at"), user_id="user_id", gamemode="gamemode",
-                              coupon_id=F.col("coupon_id").cast("string"), transaction_id=F.lit(None).cast("long"),
-                              bet_amount="bet_amount", amount="balance_amount", type=F.lit("BONUS_CONVERTED"))
-    br = tf.where((F.col("wallet_currency") == "BONUS_BRL")
-                  & F.col("transaction_type").isin("ROLLOVER", "BONUS", "LEAGUE_PRIZE", "COUPON_REFUND", "BACKOFFICE_BONUS")
-                  & (F.col("debit_credit") == "DEBIT"))
-    bonus_received = _ledger(br, reference_date=F.to_date("created_at"), user_id="user_id", gamemode=gm_null,
-                             coupon_id=txt_null, transaction_id="transaction_id", bet_amount=int_null,
-                             amount="absolut_amount", type=F.lit("BONUS"))
-    pp = tf.where(F.col("transaction_type").isin("PAYIN", "PAYOUT"))
-    payin_payout = _ledger(pp, reference_date=F.to_date("updated_at"), user_id="user_id", gamemode=gm_null,
-                           coupon_id=txt_null, transaction_id="transaction_id", bet_amount=int_null,
-                           amount="absolut_amount", type="transaction_type")
-    return {"league_entrance": league_entrance, "subscription": subscription, "coupons_revenue": coupons_revenue,
-            "bonus_converted": bonus_converted, "bonus_received": bonus_received, "payin_payout": payin_payout}
+                 subscription_users_since: str = "2023-10-11") -> DataFrame:
+    """The rows of the six typed feeds of the daily financial mart, with
+    their feed (league, subscription, coupon, bonus, pay, converted); ``gamemode`` is null where a feed has none.
+
+    The ledger is scanned and joined once: a league's modes, a coupon's user
+    and mode and the subscribed users are one relation keyed by (feed, key).
+    A row without a key, or of a feed that joins nothing, takes its transaction as
+    key, which the relation does not hold, so such rows are spread and not one hot null key.
+    """
+    f, text = F.col("feed"), "string"
+    none = {c: F.lit(None).cast(t) for c, t in (("owner", users.schema["user_id"].dataType), ("mode", text),
+                                                ("bet_amount", coupons.schema["bet_amount"].dataType))}
+
+    def keyed(df: DataFrame, feed: str, key: str, **given) -> DataFrame:
+        return df.where(F.col(key).isNotNull()).select(
+            F.lit(feed).alias("feed"), F.concat(F.lit("key "), F.col(key).cast(text)).alias("key"),
+            *(F.col(given[c]).alias(c) if c in given else none[c].alias(c) for c in none), F.lit(True).alias("found"))
+
+    since = users.where(F.col("created_at") >= F.to_timestamp(F.lit(subscription_users_since)))
+    sides = stage.stack_rows(
+        keyed(_league_modes(league_points, coupon_items, challenges), "league", "league_id", mode="gamemode"),
+        keyed(coupons, "coupon", "coupon_id", owner="user_id", mode="gamemode", bet_amount="bet_amount"),
+        keyed(since, "subscription", "user_id"))
+    own = (F.when(f == "league", F.col("league_id").cast(text)).when(f == "coupon", F.col("coupon_id").cast(text))
+           .when(f == "subscription", F.col("user_id").cast(text)))
+    key = F.coalesce(F.concat(F.lit("key "), own), F.concat(F.lit("row "), F.col("transaction_id").cast(text)))
+    rows = _routed(tf, league_since).withColumn("key", key).join(sides, ["feed", "key"], "left")
+    rows = rows.where((f != "subscription") | F.col("found")).select(
+        "feed", "reference_date", F.when(f == "coupon", F.col("owner")).otherwise(F.col("user_id")).alias("user_id"),
+        F.when(f == "league", F.coalesce("mode", F.lit(DEFAULT_GAMEMODE))).otherwise(F.col("mode")).alias("gamemode"),
+        F.when(f == "coupon", F.col("coupon_id").cast(text)).alias("coupon_id"), "transaction_id", "bet_amount", "amount", "type")
+    converted = _converted(coupons).select(
+        F.lit("converted").alias("feed"), F.to_date("created_at").alias("reference_date"), "user_id", "gamemode",
+        F.col("coupon_id").cast(text).alias("coupon_id"), F.lit(None).cast(tf.schema["transaction_id"].dataType)
+        .alias("transaction_id"), "bet_amount", F.col("balance_amount").cast(LEDGER_AMOUNT_TYPE).alias("amount"),
+        F.lit("BONUS_CONVERTED").alias("type"))
+    return stage.stack_rows(rows, converted).select(*LEDGER_COLUMNS)
 
 
 def _financial_rules() -> tuple[dict, dict]:
@@ -263,32 +270,13 @@ FINANCIAL_COLUMNS = ("reference_date", "gamemode", "league_entrance", "subscript
 
 
 def ledger_totals(tf: DataFrame, league_since: str = "2024-01-01") -> DataFrame:
-    """M21 in one pass: every ledger row routed to its feed, then summed per
-    feed, day, type and the key that the feed is joined by (league, coupon or user).
-
-    The feeds' rules exclude one another (a type is in one feed, but for coupon refunds, which are told
-    apart by wallet), so a row needs one tag and no copy; the ledger is scanned and shuffled once.
-    """
-    kind, side, money = F.col("transaction_type"), F.col("debit_credit"), F.col("wallet_currency")
-    feed = (F.when(kind.isin("LEAGUE_REGISTRATION", "LEAGUE_TICKET") & (side == "CREDIT") & (money == "BRL")
-                   & (F.to_date("created_at") >= F.to_date(F.lit(league_since))), "league")
-            .when((kind == "SUBSCRIPTION_OLD_USER") & (side == "CREDIT"), "subscription")
-            .when(kind.isin("COUPON", "COUPON_REFUND") & (money == "BRL"), "coupon")
-            .when((money == "BONUS_BRL") & kind.isin("ROLLOVER", "BONUS", "LEAGUE_PRIZE", "COUPON_REFUND",
-                                                    "BACKOFFICE_BONUS") & (side == "DEBIT"), "bonus")
-            .when(kind.isin("PAYIN", "PAYOUT"), "pay"))
-    coupon_type = (F.when(side == "ARTIFICIAL", "RECOVERED_REVENUE").when(side == "ARTIFICIAL_UNBANNED", side)
-                   .when(side.isNotNull(), kind))
-    rows = tf.withColumn("feed", feed).where("feed IS NOT NULL")
+    """M21 summed in one pass: every ledger row in its feed, summed per feed, day, type and the key that
+    the feed is joined by (league, coupon or user); the ledger is scanned and shuffled once."""
     f = F.col("feed")
-    rows = rows.select(
-        "feed", F.to_date(F.when(f == "pay", F.col("updated_at")).otherwise(F.col("created_at"))).alias("reference_date"),
-        F.when(f == "league", "LEAGUE_ENTRANCE").when(f == "bonus", "BONUS").when(f == "coupon", coupon_type)
-        .otherwise(kind).alias("type"),
-        F.when(f == "league", F.col("league_id")).alias("league_id"),
+    rows = _routed(tf, league_since).select(
+        "feed", "reference_date", "type", F.when(f == "league", F.col("league_id")).alias("league_id"),
         F.when(f == "coupon", F.col("coupon_id")).alias("coupon_id"),
-        F.when(f.isin("subscription", "bonus", "pay"), F.col("user_id")).alias("user_id"),
-        F.when(f == "coupon", F.col("amount_rev")).otherwise(F.col("absolut_amount")).cast(LEDGER_AMOUNT_TYPE).alias("amount"))
+        F.when(f.isin("subscription", "bonus", "pay"), F.col("user_id")).alias("user_id"), "amount")
     return aggs.type_totals(rows, ["feed", "reference_date", "league_id", "coupon_id", "user_id"], "type", "amount")
 
 
@@ -328,7 +316,7 @@ def financial_daily(tf: DataFrame, coupons: DataFrame, league_points: DataFrame,
         "reference_date", F.coalesce("gamemode", F.lit(DEFAULT_GAMEMODE)).alias("gamemode"), *sums)
     revenue = feed("coupon").join(coupons.select("coupon_id", "gamemode"), "coupon_id", "left").select(
         "reference_date", "gamemode", *sums)
-    won = coupons.where((F.col("currency") == "BONUS_BRL") & (F.col("coupon_status") == "WON")).select(
+    won = _converted(coupons).select(
         F.to_date("created_at").alias("reference_date"), "gamemode", F.lit("BONUS_CONVERTED").alias("type"),
         F.col("balance_amount").cast(LEDGER_AMOUNT_TYPE).alias("amount"))
     converted = aggs.type_totals(won, ["reference_date", "gamemode"], "type", "amount")
