@@ -73,6 +73,15 @@ def test_strange_rows(spark):
     assert hn.hard_negatives(df.limit(0)).columns == hn.hard_negatives(df).columns
 
 
+def test_blocks_without_positives(spark, monkeypatch):
+    monkeypatch.setattr(hn, "CHUNK_ROWS", 5)
+    monkeypatch.setattr(hn, "BLOCK_ROWS", 1)
+    rnd = random.Random(4)
+    rows = near(rnd, 60, 8, labels=2) + [(k, [rnd.gauss(0, 1) for _ in range(8)], k) for k in range(100, 1100, 100)]
+    assert mined(spark.createDataFrame(rows, SCHEMA), every=20) == plain(rows, 20)
+    assert mined(spark.createDataFrame(rows[60:], SCHEMA)) == []
+
+
 def test_one_vector_holds_a_third(spark):
     rows = near(random.Random(9), 400, 16) + [(1000 + k, [0.3] * 16, 1) for k in range(200)]
     df = spark.createDataFrame(rows, SCHEMA).repartition(6)

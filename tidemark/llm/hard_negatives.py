@@ -9,11 +9,13 @@ are tested with the whole, then with ever shorter segments, and only those that
 may still enter a list are scored exactly.
 
 Anchors (rows whose id is divisible by ``every``) are a stated query set; they are
-packed into blocks, and each (block, chunk) is one cell of work dealt by both
-numbers, so a label or a vector that holds a third of the rows is spread evenly. A
+packed into blocks. A block and every so many chunks are one cell of work; the cells are
+dealt one after another to the tasks, so a label or a vector that holds a third of
+the rows is spread evenly, a block travels once for each of its cells and a chunk once for
+each block. Within a cell the block comes first and the chunks stream past it. A
 first pass finds each anchor's ``positives`` best rows of the same label, a second the
-``negatives`` best of other labels for each positive; a task hands on
-at most that many rows for each list and block, whatever it has read.
+``negatives`` best of other labels for each positive; a cell hands on
+at most that many rows for each list, whatever it has read.
 
 Defined cases: rows with a null label or vector, or a null or non-finite
 component, take no part; a null id is never an anchor and comes last among equal
@@ -35,7 +37,8 @@ from tidemark.llm.common import cut
 
 SCALE = 256
 CHUNK_ROWS, CHUNK_BYTES = 16_384, 4 << 20  # a chunk of rows: whichever comes first
-BLOCK_ROWS, BLOCK_BYTES = 16_384, 4 << 20  # a block of anchors
+BLOCK_ROWS, BLOCK_BYTES = 16_384, 16 << 20  # a block of anchors: a task holds one and its lists
+CELLS = 4  # cells for each task, as nearly as whole blocks and chunks allow
 TILE_ANCHORS, TILE_ROWS = 256, 2_048  # pairs looked at together
 _END = 2**63 - 1
 
@@ -254,7 +257,7 @@ def _scored(dim: int, most: int, positives: int | None):
         given = None
         if positives is not None:
             score, have = np.zeros((len(own), positives), np.int64), np.zeros((len(own), positives), bool)
-            for p in row["lists"]:
+            for p in row["lists"] or ():
                 score[p["list"], p["k"]], have[p["list"], p["k"]] = p["score"], True
             given = score, have
         vectors = Vectors(np.zeros(len(own), np.int64), np.ones(len(own), bool), labels, x, *finest(x))
@@ -271,11 +274,12 @@ def _scored(dim: int, most: int, positives: int | None):
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
-                if number != row["block"]:
-                    if block is not None:
-                        yield out(number, block)
-                    number, block = row["block"], block_of(row)
-                block.add(row["chunk"], _vectors(row, dim))
+                if row["anchors"] is None:
+                    block.add(row["chunk"], _vectors(row, dim))
+                    continue
+                if block is not None:
+                    yield out(number, block)
+                number, block = row["block"], block_of(row)
         if block is not None:
             yield out(number, block)
 
@@ -293,12 +297,18 @@ def _numbered(chunks: DataFrame) -> tuple[DataFrame, int]:
 
 
 def _cells(blocks: DataFrame, n_blocks: int, chunks: DataFrame, n_chunks: int, run) -> DataFrame:
-    """``run`` over every (block, chunk), dealt by both numbers, a task's cells in order of blocks."""
+    """``run`` over cells of a block (first, without a chunk number) and every ``parts``-th chunk."""
     width = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left = blocks.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_chunks - 1).cast("long"))))
-    right = chunks.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
-    cells = left.repartition(width, "block", "chunk").join(right.repartition(width, "block", "chunk"), ["block", "chunk"])
-    return cells.sortWithinPartitions("block", "chunk").mapInArrow(run, _LISTS)
+    parts = min(n_chunks, max(1, -(-CELLS * width // n_blocks)))
+
+    def each(n: int):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    heads = blocks.withColumn("part", each(parts))
+    rows = chunks.withColumn("block", each(n_blocks)).withColumn("part", F.col("chunk") % parts)
+    cells = heads.unionByName(rows, allowMissingColumns=True).withColumn("cell", F.col("block") * parts + F.col("part"))
+    dealt = cells.repartitionById(width, (F.col("cell") % width).cast("int"))
+    return dealt.sortWithinPartitions("cell", F.col("chunk").asc_nulls_first()).drop("part", "cell").mapInArrow(run, _LISTS)
 
 
 def _first(rows: DataFrame, most: int, name: str) -> DataFrame:
@@ -331,7 +341,7 @@ def hard_negatives(df: DataFrame, label: str = "label", vector: str = "embedding
     best = _cells(blocks, n_blocks, chunks, n_chunks, _scored(dim, positives, None))
     best = cut(_first(best, positives, "k").withColumn("k", F.col("k") - 1))
     lists = best.groupBy("block").agg(F.collect_list(F.struct("list", "k", "score")).alias("lists"))
-    worst = _cells(blocks.join(lists, "block"), n_blocks, chunks, n_chunks, _scored(dim, negatives, positives))
+    worst = _cells(blocks.join(lists, "block", "left"), n_blocks, chunks, n_chunks, _scored(dim, negatives, positives))
     worst = _first(worst, negatives, "rank").withColumns({"k": (F.col("list") % positives).cast("int"),
                                                           "list": F.expr(f"list div {positives}")})
     ids = blocks.select("block", F.posexplode(F.col("anchors.id")).alias("list", "anchor_id"))
