@@ -275,7 +275,8 @@ def _scored(dim: int, most: int, positives: int | None):
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
                 if row["anchors"] is None:
-                    block.add(row["chunk"], _vectors(row, dim))
+                    if row["block"] == number:  # a block's number may have no anchors
+                        block.add(row["chunk"], _vectors(row, dim))
                     continue
                 if block is not None:
                     yield out(number, block)
