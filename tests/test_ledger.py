@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from decimal import Decimal
 
+from tidemark.operators import joins
 from tidemark.plans import marts
 
 T = datetime(2024, 5, 1, 12)
@@ -59,3 +60,20 @@ def test_ledger_is_scanned_once(spark, tmp_path):
     for frame in (marts.typed_ledger(**given), marts.ledger_totals(given["tf"])):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert plan.count("FileScan parquet") == 1
+
+
+def test_fan_out_over_sets_of_segments(spark):
+    rows = spark.createDataFrame([(1, 10), (1, 20), (2, 30), (3, 40), (None, 50)], "user_id long, v long")
+    pairs = spark.createDataFrame([(1, "B"), (1, "A"), (1, "B"), (2, None), (2, "A"), (2, None), (2, "X"), (None, "A"), (9, "A")],
+                                  "user_id long, mode string")
+    sets = joins.with_segments(rows, pairs, "user_id", "mode", "X", "modes")
+    # the null segment of user 2 is one more default beside its own
+    assert {(r["v"], tuple(r["modes"])) for r in sets.collect()} == {
+        (10, ("A", "B")), (20, ("A", "B")), (30, ("A", "X", "X")), (40, ("X",)), (50, ("X",))}
+    fanned = joins.fan_out(rows.selectExpr("*", "'old' AS mode"), pairs, "user_id", "mode", "X")
+    assert sorted((r["v"], r["mode"]) for r in fanned.collect()) == [
+        (10, "A"), (10, "B"), (20, "A"), (20, "B"), (30, "A"), (30, "X"), (30, "X"), (40, "X"), (50, "X")]
+    # the same as the join with the distinct pairs
+    plain = rows.join(pairs.distinct(), "user_id", "left").selectExpr("v", "coalesce(mode, 'X') AS mode")
+    assert sorted(map(tuple, plain.collect())) == sorted((r["v"], r["mode"]) for r in fanned.collect())
+    assert joins.fan_out(rows, pairs.limit(0), "user_id", "mode", "X").select("mode").distinct().collect() == [("X",)]

@@ -163,14 +163,28 @@ def star(df: DataFrame, dims: Sequence[tuple]) -> DataFrame:
     return out
 
 
+def with_segments(df: DataFrame, segments: DataFrame, key: str, segment: str, default, name: str) -> DataFrame:
+    """``df`` with the array ``name`` of the segments that each row's key ever had (sorted; ``[default]``
+    without any). A key's null segments count once, as one more ``default``.
+
+    ``segments`` may hold a pair any number of times: a key's array is a set, gathered with map-side
+    combine, and a segment has few values. The join adds no rows, so totals per
+    (..., array) can be summed before they fan out.
+    """
+    seg = F.col(segment)
+    extra = F.when(F.max(seg.isNull()), F.array(F.lit(default))).otherwise(F.array().cast("array<string>"))
+    sets = segments.groupBy(key).agg(F.concat(F.array_sort(F.collect_set(seg)), extra).alias(name))
+    out = df.join(sets, on=key, how="left")
+    return out.withColumn(name, F.coalesce(F.col(name), F.array(F.lit(default))))
+
+
 def fan_out(df: DataFrame, segments: DataFrame, key: str, segment: str, default) -> DataFrame:
     """One row per (row, segment the key ever had); rows whose key
     has no segment get ``default``. Intended many-to-many: totals must come
     from the un-fanned input."""
-    segs = segments.select(key, F.col(segment).alias("__tm_seg"))
     out = df.drop(segment) if segment in df.columns else df
-    out = out.join(segs, on=key, how="left")
-    return out.withColumn(segment, F.coalesce(F.col("__tm_seg"), F.lit(default))).drop("__tm_seg")
+    out = with_segments(out, segments, key, segment, default, "__tm_segs")
+    return out.withColumn(segment, F.explode("__tm_segs")).drop("__tm_segs")
 
 
 def _day_number(ts) -> Column:

@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import days_between, flag, local_date, month_start, to_local
+from tidemark.functions import coalesce_diff, days_between, flag, local_date, month_start, to_local
 from tidemark.operators import aggs, attribution, joins, reshape, stage
 
 # ====================================================================== M17
@@ -297,7 +297,8 @@ def financial_daily(tf: DataFrame, coupons: DataFrame, league_points: DataFrame,
 
     ``GENERAL`` sums the plain feeds; per-mode sums use the feeds whose rows
     are fanned out over every mode the user ever played (J17/M22), so the two
-    inputs differ and a ``rollup`` would be wrong (T12). ``coupons`` is the
+    inputs differ and a ``rollup`` would be wrong (T12). Users of one set of modes
+    are summed together before that. ``coupons`` is the
     output of :func:`coupons_finished`. Three joins read the ledger's totals
     (:func:`ledger_totals`); ``staged`` (if given) is the caller's step that
     writes them once (by ``feed``), so the ledger is scanned once.
@@ -326,9 +327,11 @@ def financial_daily(tf: DataFrame, coupons: DataFrame, league_points: DataFrame,
     # summed by mode here, so that the GENERAL and the per-mode pivots share one exchange
     own = stage.stack_rows(league, revenue, converted).groupBy("reference_date", "gamemode", "type").agg(
         F.sum("__tm_v").alias("__tm_v"), F.sum("__tm_abs").alias("__tm_abs"))
-    modes = coupons.select("user_id", "gamemode").distinct()
-    general_t = stage.stack_rows(own.drop("gamemode"), per_user.drop("user_id"))
-    mode_t = stage.stack_rows(own, joins.fan_out(per_user, modes, "user_id", "gamemode", DEFAULT_GAMEMODE).drop("user_id"))
+    # and the users' rows by the set of modes of their user: summed once, before they fan out over the modes
+    per_set = (joins.with_segments(per_user, coupons.select("user_id", "gamemode"), "user_id", "gamemode", DEFAULT_GAMEMODE, "modes")
+               .groupBy("reference_date", "modes", "type").agg(F.sum("__tm_v").alias("__tm_v"), F.sum("__tm_abs").alias("__tm_abs")))
+    general_t = stage.stack_rows(own.drop("gamemode"), per_set.drop("modes"))
+    mode_t = stage.stack_rows(own, per_set.withColumn("gamemode", F.explode("modes")).drop("modes"))
     rules, derived = _financial_rules()
     general = aggs.pivot_type_totals(general_t, ["reference_date"], "type", rules, derived)
     per_mode = aggs.pivot_type_totals(mode_t, ["reference_date", "gamemode"], "type", rules, derived)
@@ -517,7 +520,7 @@ def user_attribution(*, users: DataFrame, pages: DataFrame, id_graph: DataFrame,
     for name, _, _ in attribution.COHORT_SUMS:
         sums[name] = F.coalesce(F.col(name), F.lit(0))
     for d in (7, 30, 60, 90):
-        sums[f"net_value_{d}d"] = F.coalesce(F.col(f"value_spent_{d}d") - F.col(f"value_received_{d}d"), F.lit(0))
+        sums[f"net_value_{d}d"] = coalesce_diff(f"value_spent_{d}d", f"value_received_{d}d")
     return out.select(
         "user_id",
         F.when(F.col("active_ban").eqNullSafe(F.lit(True)), F.lit("Banned")).otherwise(F.lit("Not Banned")).alias("ban_status"),
