@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import stage
+from tidemark.plans import build, marts
+from tidemark.sources import layout
 
 
 def _plan(df) -> str:
@@ -52,3 +56,34 @@ def test_legacy_rows_stay_where_few_are_kept(spark, monkeypatch, limit):
         assert sorted(map(tuple, out.collect()), key=str) == sorted(want, key=str)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_marts_join_the_coupons_once(spark, tmp_path, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(x):
+        made.add(1)
+        return x
+
+    rows = spark.range(500).select(F.lit("CS").alias("gamemode"), counted("id").alias("coupon_id"),
+                                   (F.col("id") % 9).alias("user_id"), "id")
+    rows = rows.withColumn("external_match_id", F.col("coupon_id") + 1)
+    days = spark.range(3).select(F.lit("CS").alias("gamemode"), F.col("id").alias("reference_date"))
+    monkeypatch.setattr(marts, "banned_users", lambda *a: spark.range(2))
+    monkeypatch.setattr(marts, "coupons_finished", lambda *a: rows)
+    monkeypatch.setattr(marts, "financial_daily", lambda *a, **kw: days)
+    paths = build.build_financial_marts(spark, defaultdict(lambda: None), str(tmp_path))
+    assert made.value == 500
+    assert sorted(r["coupon_id"] for r in spark.read.parquet(paths["coupons_finished"]).collect()) == list(range(500))
+
+
+def test_interleaved_rows_travel_once(spark):
+    df = spark.range(2_000).select("id", (F.col("id") % 11).alias("a"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = layout.z_ordered(df, ["id", "a"], files=4)
+        assert "SortMergeJoin" not in _plan(out) and _same(out, df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
