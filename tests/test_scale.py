@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
+from test_ledger import _inputs, _row
 
 from tidemark.operators import stage
 from tidemark.plans import build, marts
@@ -87,3 +88,20 @@ def test_interleaved_rows_travel_once(spark):
         assert "SortMergeJoin" not in _plan(out) and _same(out, df)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_ledger_rows_are_not_summed_by_key(spark):
+    given = _inputs(spark, [_row(1, "PAYIN", None, None, user=5), _row(2, "PAYIN", None, None, user=5),
+                            _row(3, "PAYOUT", None, None, user=5)])
+    plans = []
+
+    def staged(df):
+        plans.append(_plan(df))
+        return df
+
+    out = marts.financial_daily(**given, staged=staged)
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+    got = {r["gamemode"]: (int(r["payin"]), int(r["payout"]), int(r["payin_payout_balance"])) for r in out.collect()
+           if r["reference_date"] is not None and (r["payin"] or r["payout"])}
+    one = got["GENERAL"]
+    assert one[0] > 0 and one[1] == -one[0] // 2 and one[2] == one[0] + one[1] and set(got) > {"GENERAL"}
