@@ -105,3 +105,49 @@ def test_ledger_rows_are_not_summed_by_key(spark):
            if r["reference_date"] is not None and (r["payin"] or r["payout"])}
     one = got["GENERAL"]
     assert one[0] > 0 and one[1] == -one[0] // 2 and one[2] == one[0] + one[1] and set(got) > {"GENERAL"}
+
+
+def _coupon_inputs(spark):
+    def frame(rows, schema):
+        return spark.createDataFrame(rows, schema)
+
+    # coupon 1 stands for two users and a repeated row, match 100 has player 8 twice, 300 has a player without reputation
+    coupons = [(1, 7, 5, "WON"), (1, 8, 5, "LOST"), (1, 8, 5, "LOST"), (2, 7, 6, "WON"), (3, None, 5, "WON"), (None, 7, 5, "WON"),
+               (4, 7, None, "REFUND"), (5, 9, 5, "WON"), (6, 7, 5, "OPEN")]
+    return dict(
+        coupons=frame([(*r, 2.0, 3.0, "NORMAL", None, "x", 0) for r in coupons],
+                      "coupon_id long, user_id long, grouped_challenge_id long, coupon_status string, amount double, odd double, "
+                      "type string, rollover_id long, origin string, created_at long"),
+        grouped_challenges=frame([(5, "five", None, "LOL"), (6, "six", "CS", "ARAM")],
+                                 "grouped_challenge_id long, name string, gamemode string, external_gamemode string"),
+        banned=frame([(7,)], "user_id long"), transactions=frame([(1, "COUPON", 1)], "transaction_id long, type string, coupon_id long"),
+        transaction_items=frame([(1, 1, "CREDIT")], "transaction_id long, wallet_id long, status string"),
+        wallets=frame([(1, 1, "BRL")], "wallet_id long, account_id long, currency string"),
+        accounts=frame([(1, "PLAYER_ACCOUNT")], "account_id long, type string"), super_tips=frame([(2,)], "coupon_id long"),
+        coupon_items=frame([(1, 100, 1), (1, 200, 2), (2, 100, 1), (3, 100, 1), (4, 100, 1), (5, 300, 1), (None, 100, 1)],
+                           "coupon_id long, external_match_id long, created_at long"),
+        reputations=frame([(70, 1.5, "a"), (80, 2.5, "b"), (81, 3.5, "c"), (81, 4.5, "d"), (None, 9.0, "z")],
+                          "external_match_player_id long, max_amount double, metadata string"),
+        match_players=frame([(70, 100, 17), (80, 100, 18), (81, 100, 18), (90, 300, 19), (None, 100, 17), (91, 200, 17)],
+                            "external_match_player_id long, external_match_id long, external_player_id long"),
+        players=frame([(17, 7, "LOL"), (18, 8, "LOL"), (19, 9, "LOL"), (20, None, "LOL")],
+                      "external_player_id long, user_id long, external_gamemode string"))
+
+
+def test_reputations_of_repeated_coupons(spark):
+    out = marts.coupons_finished(**_coupon_inputs(spark)).select("coupon_id", "user_id", "max_amount", "reputation_metadata")
+    want = [(1, 7, 1.5, "a"), (1, 7, None, None), *[(1, 8, m, r) for m, r in ((2.5, "b"), (3.5, "c"), (4.5, "d"))] * 2,
+            (2, 7, None, None), (3, None, None, None), (None, 7, None, None), (4, 7, None, None), (5, 9, None, None)]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(want, key=str)
+
+
+def test_whole_coupons_do_not_travel_by_match(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = marts.coupons_finished(**_coupon_inputs(spark))
+        text = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        travel = [b for b in text.split("\n\n") if ") Exchange" in b and "hashpartitioning(external_match" in b]
+        assert travel and not any("origin" in b for b in travel)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
