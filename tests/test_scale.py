@@ -150,3 +150,23 @@ def test_whole_coupons_do_not_travel_by_match(spark):
         assert travel and not any("origin" in b for b in travel)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_league_is_one_row_in_its_aggregate(spark):
+    # 70 modes; league 1 has a repeated challenge, one without a mode, one that does not exist and a match without items
+    challenges = spark.createDataFrame([(i, f"m{i:02}") for i in range(70)] + [(5, "m69"), (99, None)],
+                                       "challenge_id long, external_gamemode string")
+    points = [(1, "a"), (1, "b"), (1, "none"), (2, "a"), (3, None), (4, "none"), (None, "b"), (5, "c"), (6, "d")]
+    items = [("a", 5), ("a", 5), ("a", 64), ("b", 0), ("b", 99), ("b", 1000), ("c", 99), ("d", None), *(("d", i) for i in range(70))]
+    given = (spark.createDataFrame(points, "league_id long, external_match_id string"),
+             spark.createDataFrame(items, "external_match_id string, challenge_id long"), challenges)
+    got = marts._league_modes(*given)
+    plain = (given[0].join(given[1], "external_match_id", "left").join(challenges, "challenge_id", "left")
+             .selectExpr("league_id", "external_gamemode AS gamemode").distinct())
+    assert _same(got, plain)
+    want = {(1, m) for m in ("m05", "m69", "m64", "m00", None)} | {(2, m) for m in ("m05", "m69", "m64")} | {
+        (3, None), (4, None), (5, None), (None, "m00"), (None, None), (6, None)} | {(6, f"m{i:02}") for i in range(70)}
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    held = [a for a in _plan(got).splitlines() if "HashAggregate(keys=[league_id" in a]
+    assert held and not any("gamemode" in a for a in held)
+    assert _same(marts._league_modes(*given[:2], challenges.limit(0)), given[0].selectExpr("league_id", "CAST(NULL AS STRING) AS gamemode").distinct())
