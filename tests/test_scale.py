@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import time
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +12,8 @@ from test_ledger import _inputs, _row
 
 from tidemark.operators import stage
 from tidemark.plans import build, marts
-from tidemark.sources import layout
+from tidemark.session import checkpoint_dir
+from tidemark.sources import files, layout
 
 
 def _plan(df) -> str:
@@ -170,3 +173,51 @@ def test_a_league_is_one_row_in_its_aggregate(spark):
     held = [a for a in _plan(got).splitlines() if "HashAggregate(keys=[league_id" in a]
     assert held and not any("gamemode" in a for a in held)
     assert _same(marts._league_modes(*given[:2], challenges.limit(0)), given[0].selectExpr("league_id", "CAST(NULL AS STRING) AS gamemode").distinct())
+
+
+def _shuffle_files(spark) -> set:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(k).getName() for k in range(files.size()))
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def test_marts_leave_only_themselves_on_disk(spark, tmp_path, monkeypatch):
+    given = _coupon_inputs(spark) | {k: _inputs(spark, [_row(1, "PAYIN", None, None, user=7), _row(2, "PAYOUT", None, None, user=5)])[k]
+                                     for k in ("tf", "users")}
+    given |= dict(
+        coupons=given["coupons"].withColumn("created_at", F.timestamp_seconds(F.lit(1_700_000_000))),
+        coupon_items=given["coupon_items"].withColumn("challenge_id", F.lit(11).cast("long")),
+        challenges=spark.createDataFrame([(11, "ARAM")], "challenge_id long, external_gamemode string"),
+        league_points=spark.createDataFrame([(1, 100)], "league_id long, external_match_id long"),
+        transactions_finished=given["tf"])
+    monkeypatch.setattr(marts, "banned_users", lambda *a: given["banned"])
+    setting, limit = (f"spark.sql.{x}" for x in ("classic.shuffleDependency.fileCleanup.enabled", "autoBroadcastJoinThreshold"))
+    value, before = spark.conf.get(setting), spark.conf.get(limit)
+    tables = Path(checkpoint_dir(spark).removeprefix("file:")) / "tables"
+    stood = set(tables.glob("*"))
+    spark.conf.set(limit, "-1")
+    try:
+        seen = _shuffle_files(spark)
+        paths = build.build_financial_marts(spark, defaultdict(lambda: None, given), str(tmp_path))
+        deadline = time.time() + 10  # executors remove the files when they hear of it
+        while _shuffle_files(spark) - seen and time.time() < deadline:
+            time.sleep(0.1)
+        assert not _shuffle_files(spark) - seen
+        assert set(tables.glob("*")) == stood and spark.conf.get(setting) == value
+        names = ("coupons", "grouped_challenges", "banned", "transactions", "transaction_items", "wallets", "accounts",
+                 "super_tips", "coupon_items", "reputations", "match_players", "players")
+        coupons = marts.coupons_finished(**{n: given[n] for n in names})
+        assert _same(spark.read.parquet(paths["coupons_finished"]), coupons)
+        plain = marts.financial_daily(given["tf"], coupons, *(given[n] for n in ("league_points", "coupon_items", "challenges", "users")))
+        assert plain.count() > 3 and _same(spark.read.parquet(paths["financial_daily"]), plain)
+    finally:
+        spark.conf.set(limit, before)
+
+
+def test_held_tables_go_when_a_step_fails(spark):
+    tables = Path(checkpoint_dir(spark).removeprefix("file:")) / "tables"
+    stood = set(tables.glob("*"))
+    with pytest.raises(ValueError, match="later"), files.held_tables(spark) as held:
+        assert held(spark.range(5), "five").count() == 5 and len(set(tables.glob("*")) - stood) == 1
+        raise ValueError("later")
+    assert set(tables.glob("*")) == stood
